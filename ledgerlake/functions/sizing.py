@@ -1,0 +1,21 @@
+"""Broadcast only behind a proven size bound."""
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A dimension up to this many rows is shipped to every executor.
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+
+
+def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Return ``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``.
+
+    The check is a bounded probe (``limit(max_rows + 1).count()``), so it
+    reads at most ``max_rows + 1`` rows whatever the table size.  Beyond the
+    bound the plain frame is returned and Spark plans a shuffle join (AQE can
+    still demote it to a broadcast at run time from real statistics).
+    """
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df
