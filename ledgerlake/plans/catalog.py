@@ -313,7 +313,10 @@ def c4(spark, sf):
 
 def wire_events(spark, sf) -> DataFrame:
     """v_events rendered as JSON wire messages (the Kafka ``value`` column)."""
-    v = fx.v_events(spark, sf)
+    return wire_from(fx.v_events(spark, sf))
+
+
+def wire_from(v: DataFrame) -> DataFrame:
     k = F.col("event_type")
     body = F.struct(
         "event_type",
@@ -760,3 +763,72 @@ FROM (SELECT 0 AS version, 'insert' AS op FROM s0
 GROUP BY 1 ORDER BY 1 DESC LIMIT 10""", SQL_ORDERS))
 def l2(spark, sf):
     return hi.history(_log(spark, sf), 10)
+
+
+# ----------------------------------------------------------- maintenance
+@register("m1_cluster_rows", "SELECT * FROM lineitem")
+def m1(spark, sf):
+    from ..operators.maintenance import cluster
+    li = fx.table(spark, sf, "lineitem")
+    return cluster(li, ["l_suppkey", "l_shipdate"], num_files=spark.sparkContext.defaultParallelism)
+
+
+@register("m2_incremental_gold", _sql("""
+SELECT merchant_id, cast(event_ts AS date) AS report_date, count(transaction_id) AS transaction_count,
+       cast(sum(amount_decimal) AS decimal(18,2)) AS total_amount,
+       cast(cast((2 * cast(sum(amount_decimal) * 100 AS bigint) + count(amount_decimal))
+                 // (2 * count(amount_decimal)) AS double) / 100 AS decimal(18,2)) AS avg_amount,
+       count(DISTINCT customer_id) AS unique_customers
+FROM li_payments GROUP BY 1, 2""", SQL_LI_PAYMENTS))
+def m2(spark, sf):
+    from .incremental import changed_dates, refresh_daily_summary
+    pay = fx.li_payments(spark, sf)
+    first = pay.filter(F.col("linestatus") == "F")      # batch already summarised
+    late = pay.filter(F.col("linestatus") != "F")       # rows arriving afterwards
+    old = go.daily_merchant_summary(first)
+    return refresh_daily_summary(old, pay, changed_dates(late))
+
+
+# ------------------------------------------------------------- synthetic
+def _synthetic(spark, sf, **kw):
+    from ..sources.synthetic import synthetic_events
+    return synthetic_events(fx.table(spark, sf, "events"), "event_id", ANCHOR, **kw)
+
+
+@register("s9_synthetic_events")
+def s9(spark, sf):
+    return _synthetic(spark, sf)
+
+
+@register("s10_settlement_discrepancies")
+def s10(spark, sf):
+    ev = _synthetic(spark, sf, discrepancy_rate=0.05)
+    return ev.filter(F.col("event_type") == "settlement_processed")
+
+
+@register("s11_backdated_days")
+def s11(spark, sf):
+    from ..functions.scalars import parse_event_ts
+    ev = _synthetic(spark, sf, days_back=30)
+    return ev.groupBy(F.to_date(parse_event_ts("timestamp")).alias("event_date"), "event_type") \
+        .agg(F.count(F.lit(1)).alias("event_count"))
+
+
+# ------------------------------------------------------------- streaming
+@register("t1_stream_ingest", ORACLE["f3_route_counts"])
+def t1(spark, sf):
+    import uuid
+
+    from ..lake import Lake
+    from ..session import checkpoint_dir
+    from ..streaming.ingest import start_bronze_stream, stream_source
+    root = f"{checkpoint_dir(spark).rstrip('/')}/t1-{uuid.uuid4().hex}"
+    lake = Lake(spark, root)
+    schema = fx.table(spark, sf, "events").schema
+    src = stream_source(spark, "parquet", sf, schema, pathGlobFilter="events.parquet",
+                        maxFilesPerTrigger="1")
+    q = start_bronze_stream(lake, src, f"{root}/_checkpoint/bronze_events",
+                            prepare=lambda b: wire_from(fx.events_as_payments(b)))
+    q.awaitTermination()
+    return lake.read("bronze", "events").groupBy("target_table", "reject_reason") \
+        .agg(F.count(F.lit(1)).alias("event_count"))

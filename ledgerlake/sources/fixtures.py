@@ -19,7 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # ---------------------------------------------------------------- v_events
 def v_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tagged union of the four event kinds with injected defects."""
-    e = table(spark, sf_dir, "events")
+    return events_as_payments(table(spark, sf_dir, "events"))
+
+
+def events_as_payments(e: DataFrame) -> DataFrame:
+    """The ``v_events`` projection of any frame with the ``events`` columns
+    (batch or streaming)."""
     eid = F.col("event_id")
     kind = (F.when(F.col("event_type") == "signup", F.lit(REFUND))
              .when(F.col("event_type") == "error", F.lit(CHARGEBACK))
