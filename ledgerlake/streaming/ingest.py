@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..functions.scalars import hour_of
 from ..operators.ingest import decode_events, ingest_frame
 from ..schemas import DEAD_LETTER, MONEY
 
@@ -81,11 +80,19 @@ def hourly_volume_stream(payments: DataFrame, watermark: str = "2 hours",
                          ts: str = "event_ts") -> DataFrame:
     """T5 (extension): A2 as a stream.  Drops replayed ``transaction_id``s
     within the watermark and emits each hour x currency x region once, in
-    append mode, after the watermark passes the hour."""
-    return (payments.withWatermark(ts, watermark)
+    append mode, after the watermark passes the hour.
+
+    Watermarks need an instant (TIMESTAMP); the UTC wall-clock NTZ column
+    maps to one through epoch microseconds, and the window start maps back,
+    so no session time zone is involved.
+    """
+    epoch = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+    instant = F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, F.col(ts)))
+    return (payments.withColumn("_event_instant", instant)
+                    .withWatermark("_event_instant", watermark)
                     .dropDuplicatesWithinWatermark(["transaction_id"])
-                    .groupBy(F.window(ts, "1 hour").alias("w"), "currency", "region")
+                    .groupBy(F.window("_event_instant", "1 hour").alias("w"), "currency", "region")
                     .agg(F.count("transaction_id").alias("transaction_count"),
                          F.sum("amount_decimal").cast(MONEY).alias("total_volume"))
-                    .select(F.col("w.start").alias("hour"), "currency", "region",
-                            "transaction_count", "total_volume"))
+                    .select(F.timestamp_add("MICROSECOND", F.unix_micros(F.col("w.start")), epoch)
+                             .alias("hour"), "currency", "region", "transaction_count", "total_volume"))
