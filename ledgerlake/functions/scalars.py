@@ -21,16 +21,23 @@ def parse_event_ts(c) -> Column:
     """ISO-8601 string -> TIMESTAMP_NTZ (UTC wall clock), NULL when unparseable.
 
     * ``...+00:00Z`` (tz-aware isoformat plus ``Z``) is normalised to ``...Z``.
-    * A string with a zone designator is read as an instant and shifted to
-      UTC through epoch microseconds (no session zone involved).
+    * A string with a zone designator (``Z`` or ``+HH:MM`` / ``-HHMM``) is
+      read as an instant and shifted to UTC through epoch microseconds (no
+      session zone involved).
     * A string without zone is taken as UTC wall clock as-is.
+
+    The common cases cost a suffix test and one cast; the regular
+    expression only runs when a sign sits where an offset would be.
     """
-    s = F.regexp_replace(_c(c), r"\+00:00Z$", "Z")
-    zoned = s.rlike(r"(Z|[+-]\d{2}:?\d{2})$")
-    as_instant = F.try_to_timestamp(s)
-    shifted = F.timestamp_add("MICROSECOND", F.unix_micros(as_instant), F.expr(_EPOCH_NTZ))
-    plain = s.try_cast("timestamp_ntz")
-    return F.when(zoned, shifted).otherwise(plain)
+    s = _c(c)
+    fixed = F.when(s.endswith("+00:00Z"), F.concat(F.left(s, F.length(s) - 7), F.lit("Z"))) \
+        .otherwise(s)
+    shifted = F.timestamp_add("MICROSECOND", F.unix_micros(F.try_to_timestamp(fixed)),
+                              F.expr(_EPOCH_NTZ))
+    signed = F.substring(s, -6, 1).isin("+", "-") | F.substring(s, -5, 1).isin("+", "-")
+    offset = signed & s.rlike(r"[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?[+-]\d{2}:?\d{2}$")
+    return (F.when(s.endswith("Z"), shifted).when(offset, shifted)
+             .otherwise(s.try_cast("timestamp_ntz")))
 
 
 def partition_strings(ts) -> list[Column]:

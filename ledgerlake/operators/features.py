@@ -11,7 +11,7 @@ Two exact methods:
               a merchant with a third of all payments is a third of the data
               in one task.
 
-``bucketed``  (default) skew-safe.  (1) rows collapse to one point per
+``bucketed``  (default for per-event output) skew-safe.  (1) rows collapse to one point per
               (entity, second) by a partial aggregate; (2) a running sum
               P(t) = sum of points at or before t is split into the total of
               earlier time buckets (a per-entity cumulative over at most
@@ -20,6 +20,10 @@ Two exact methods:
               P(t) - P(t - N*86400 - 1), the second term read by a probe
               row placed at t - N*86400 - 1.  No task ever holds more than
               one entity-bucket of points, whatever the skew.
+
+Entity features (N3/N4) only need the windows that end at each entity's
+last event; ``windows_at_latest`` computes exactly those from two partial
+aggregates and a join, with no per-event windows at all.
 """
 from __future__ import annotations
 
@@ -72,40 +76,55 @@ def _direct(df, entity, ts, value, id_col, windows, ps, pc, pa):
     return out.drop("_e")
 
 
+def _points(df, entity, ts, value, id_col) -> DataFrame:
+    """One point per (entity, second): value sum, id count, non-NULL value
+    count.  A partial aggregate, so a hot entity is collapsed map-side to
+    at most one row per active second before any shuffle."""
+    return (df.withColumn("_e", epoch_seconds(ts)).filter(F.col("_e").isNotNull())
+              .groupBy(entity, "_e")
+              .agg(F.coalesce(F.sum(value), F.lit(0)).alias("_s"),
+                   F.count(id_col).alias("_c"), F.count(value).alias("_nn")))
+
+
 def _bucketed_points(df, entity, ts, value, id_col, windows, bucket, ps, pc, pa) -> DataFrame:
-    # (1) one point per (entity, second); partial aggregation absorbs hot keys.
-    pts = (df.withColumn("_e", epoch_seconds(ts)).filter(F.col("_e").isNotNull())
-             .groupBy(entity, "_e")
-             .agg(F.coalesce(F.sum(value), F.lit(0)).alias("_s"),
-                  F.count(id_col).alias("_c"), F.count(value).alias("_nn")))
+    pts = _points(df, entity, ts, value, id_col)
     zero_s = F.lit(0).cast(pts.schema["_s"].dataType)
-    # (2) real points (kind -1) and one probe per window (kind = N).
-    real = pts.select(entity, F.col("_e").alias("_owner"), F.col("_e").alias("_t"),
-                      F.lit(-1).alias("_kind"), "_s", "_c", "_nn")
-    probes = pts.select(entity, F.col("_e").alias("_owner"),
-                        F.explode(F.array(*[F.lit(n) for n in windows])).alias("_kind")) \
-                .select(entity, "_owner", (F.col("_owner") - F.col("_kind") * DAY - 1).alias("_t"),
-                        "_kind", zero_s.alias("_s"), F.lit(0).cast("bigint").alias("_c"),
-                        F.lit(0).cast("bigint").alias("_nn"))
-    u = real.unionByName(probes).withColumn("_b", F.floor(F.col("_t") / bucket))
-    # running sums inside (entity, bucket): peers at the same second included.
+    zero_n = F.lit(0).cast("bigint")
+    # (2) each point once as itself (kind -1) and once per window as a probe
+    # at t - N*86400 - 1 carrying zeros: one pass, no union of two scans.
+    kinds = F.explode(F.array(F.lit(-1), *[F.lit(n) for n in windows])).alias("_kind")
+    real = F.col("_kind") == -1
+    u = (pts.select(entity, "_e", "_s", "_c", "_nn", kinds)
+            .select(entity, F.col("_e").alias("_owner"), "_kind",
+                    F.when(real, F.col("_e")).otherwise(F.col("_e") - F.col("_kind") * DAY - 1).alias("_t"),
+                    F.when(real, F.col("_s")).otherwise(zero_s).alias("_s"),
+                    F.when(real, F.col("_c")).otherwise(zero_n).alias("_c"),
+                    F.when(real, F.col("_nn")).otherwise(zero_n).alias("_nn"))
+            .withColumn("_b", F.floor(F.col("_t") / bucket)))
+    # running sums inside (entity, bucket) -- peers at the same second
+    # included -- and the bucket totals, both over the same partitioning.
     wb = (Window.partitionBy(entity, "_b").orderBy("_t")
                 .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    wall = Window.partitionBy(entity, "_b")
     run = u.select(entity, "_b", "_owner", "_kind",
                    F.sum("_s").over(wb).alias("_rs"), F.sum("_c").over(wb).alias("_rc"),
-                   F.sum("_nn").over(wb).alias("_rn"))
-    # totals of all earlier buckets per entity: one row per non-empty bucket.
-    tot = u.groupBy(entity, "_b").agg(F.sum("_s").alias("_ts"), F.sum("_c").alias("_tc"),
-                                      F.sum("_nn").alias("_tn"))
+                   F.sum("_nn").over(wb).alias("_rn"),
+                   F.sum("_s").over(wall).alias("_ts"), F.sum("_c").over(wall).alias("_tc"),
+                   F.sum("_nn").over(wall).alias("_tn"))
+    tot = run.groupBy(entity, "_b").agg(F.max("_ts").alias("_ts"), F.max("_tc").alias("_tc"),
+                                        F.max("_tn").alias("_tn"))
+    # totals of all earlier buckets: a per-entity window over at most
+    # span / bucket rows, whatever the number of events.
     we = (Window.partitionBy(entity).orderBy("_b")
                 .rowsBetween(Window.unboundedPreceding, -1))
     before = tot.select(entity, "_b",
                         F.coalesce(F.sum("_ts").over(we), zero_s).alias("_bs"),
-                        F.coalesce(F.sum("_tc").over(we), F.lit(0).cast("bigint")).alias("_bc"),
-                        F.coalesce(F.sum("_tn").over(we), F.lit(0).cast("bigint")).alias("_bn"))
+                        F.coalesce(F.sum("_tc").over(we), zero_n).alias("_bc"),
+                        F.coalesce(F.sum("_tn").over(we), zero_n).alias("_bn"))
     pref = run.join(before, [entity, "_b"]).select(
         entity, "_owner", "_kind", (F.col("_bs") + F.col("_rs")).alias("_ps"),
         (F.col("_bc") + F.col("_rc")).alias("_pc"), (F.col("_bn") + F.col("_rn")).alias("_pn"))
+
     # (3) window = P(t) - P(t - N*86400 - 1), gathered per point.
     def at(kind, col):
         return F.max(F.when(F.col("_kind") == kind, F.col(col)))
@@ -122,6 +141,39 @@ def _bucketed_points(df, entity, ts, value, id_col, windows, bucket, ps, pc, pa)
     return pref.groupBy(entity, F.col("_owner").alias("_e")).agg(*aggs)
 
 
+def windows_at_latest(df: DataFrame, entity: str, ts: str = "event_ts", value: str = "amount_decimal",
+                      id_col: str = "transaction_id", windows: Sequence[int] = DEFAULT_WINDOWS,
+                      prefix_sum: str = "spend", prefix_cnt: str = "tx_count",
+                      prefix_avg: str | None = None,
+                      max_broadcast_rows: int | None = None) -> DataFrame:
+    """N1/N2 + N3 without per-event windows: the RANGE-frame values of each
+    entity's latest event, i.e. sums over points with
+    ``e >= e_last - N*86400`` (every point is <= e_last).
+
+    Both inputs are partial aggregates (points per second, latest second
+    per entity), so a hot entity never reaches one task as raw rows; the
+    join is on ``entity`` (broadcast when ``max_broadcast_rows`` is given
+    and the entity table is proven below it).
+    """
+    from ..functions.sizing import sized_broadcast
+    pts = _points(df, entity, ts, value, id_col)
+    last = df.groupBy(entity).agg(epoch_seconds(F.max(ts)).alias("_last"))
+    if max_broadcast_rows:
+        last = sized_broadcast(last, max_broadcast_rows)
+    j = pts.join(last, entity)
+    aggs = []
+    for n in windows:
+        s_name, c_name, a_name = _names(prefix_sum, prefix_cnt, prefix_avg, n)
+        inside = F.col("_e") >= F.col("_last") - n * DAY
+        w_s = F.sum(F.when(inside, F.col("_s")))
+        w_n = F.sum(F.when(inside, F.col("_nn")))
+        aggs.append(F.when(w_n > 0, w_s).cast(MONEY).alias(s_name))
+        aggs.append(F.coalesce(F.sum(F.when(inside, F.col("_c"))), F.lit(0).cast("bigint")).alias(c_name))
+        if a_name:
+            aggs.append(F.try_divide(F.when(w_n > 0, w_s).cast("double"), w_n.cast("double")).alias(a_name))
+    return j.groupBy(entity).agg(*aggs)
+
+
 def latest_per_entity(df: DataFrame, entity: str, order: Sequence[str]) -> DataFrame:
     """The row with the greatest ``order`` tuple per entity (D15 tie-break).
 
@@ -134,25 +186,36 @@ def latest_per_entity(df: DataFrame, entity: str, order: Sequence[str]) -> DataF
 
 
 def customer_features(payments: DataFrame, windows: Sequence[int] = DEFAULT_WINDOWS,
-                      method: str = "bucketed", feature_ts: Column | None = None) -> DataFrame:
-    """N1 + N3: spend and count windows at each customer's last payment."""
-    r = rolling_features(payments.select("customer_id", "transaction_id", "event_ts", "amount_decimal"),
-                         "customer_id", windows=windows, method=method)
+                      method: str = "latest", feature_ts: Column | None = None) -> DataFrame:
+    """N1 + N3: spend and count windows at each customer's last payment.
+
+    ``latest`` (default) computes only the windows that end at the last
+    event; ``window`` / ``bucketed`` compute per-event windows and keep the
+    last row (D15 tie-break on ``transaction_id``).  All give equal results.
+    """
     cols = [c for n in windows for c in (f"spend_{n}d", f"tx_count_{n}d")]
-    out = latest_per_entity(r, "customer_id", ["event_ts", "transaction_id"]) \
-        .select("customer_id", *cols)
+    src = payments.select("customer_id", "transaction_id", "event_ts", "amount_decimal")
+    if method == "latest":
+        out = windows_at_latest(src, "customer_id", windows=windows).select("customer_id", *cols)
+    else:
+        r = rolling_features(src, "customer_id", windows=windows, method=method)
+        out = latest_per_entity(r, "customer_id", ["event_ts", "transaction_id"]) \
+            .select("customer_id", *cols)
     return out if feature_ts is None else out.withColumn("feature_ts", feature_ts)
 
 
 def merchant_features(payments: DataFrame, windows: Sequence[int] = DEFAULT_WINDOWS,
-                      method: str = "bucketed", feature_ts: Column | None = None) -> DataFrame:
+                      method: str = "latest", feature_ts: Column | None = None) -> DataFrame:
     """N2 + N3: GMV, average ticket and count windows at each merchant's last payment."""
-    r = rolling_features(payments.select("merchant_id", "transaction_id", "event_ts", "amount_decimal"),
-                         "merchant_id", windows=windows, prefix_sum="gmv", prefix_cnt="tx_count",
-                         prefix_avg="avg_ticket", method=method)
     cols = [c for n in windows for c in (f"gmv_{n}d", f"avg_ticket_{n}d", f"tx_count_{n}d")]
-    out = latest_per_entity(r, "merchant_id", ["event_ts", "transaction_id"]) \
-        .select("merchant_id", *cols)
+    src = payments.select("merchant_id", "transaction_id", "event_ts", "amount_decimal")
+    kw = dict(windows=windows, prefix_sum="gmv", prefix_cnt="tx_count", prefix_avg="avg_ticket")
+    if method == "latest":
+        out = windows_at_latest(src, "merchant_id", **kw).select("merchant_id", *cols)
+    else:
+        r = rolling_features(src, "merchant_id", method=method, **kw)
+        out = latest_per_entity(r, "merchant_id", ["event_ts", "transaction_id"]) \
+            .select("merchant_id", *cols)
     return out if feature_ts is None else out.withColumn("feature_ts", feature_ts)
 
 

@@ -129,7 +129,7 @@ def run_merchant_analytics(lake: Lake, clock: Column | None = None) -> dict:
 
 
 def run_feature_store(lake: Lake, windows: Sequence[int] = DEFAULT_WINDOWS,
-                      method: str = "bucketed", clock: Column | None = None) -> dict:
+                      method: str = "latest", clock: Column | None = None) -> dict:
     """Customer and merchant features, overwritten."""
     pay = lake.read("silver", "cleansed_transactions")
     ts = clock if clock is not None else F.current_timestamp()
@@ -140,7 +140,7 @@ def run_feature_store(lake: Lake, windows: Sequence[int] = DEFAULT_WINDOWS,
 
 def run_nightly(lake: Lake, report_date: str | date, run_id: str = "manual",
                 clock: Column | None = None, tolerance: str = DEFAULT_TOLERANCE,
-                optimize: bool = False, feature_method: str = "bucketed") -> dict:
+                optimize: bool = False, feature_method: str = "latest") -> dict:
     """Cleanse -> reconcile -> gold -> merchant analytics -> features.
 
     Fails fast (an exception stops the run); returns per-stage results and

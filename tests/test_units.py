@@ -293,3 +293,25 @@ def test_sla_comparison(spark):
                                ("b", "optimized", 6.0)], "stage string, variant string, seconds double")
     got = {r.stage: round(r.improvement_pct, 6) for r in sla_comparison(t).collect()}
     assert got == {"a": 60.0, "b": 40.0, "TOTAL": 50.0}
+
+
+def test_latest_features_equal_per_event_methods(spark):
+    from tests.conftest import SF01
+    from ledgerlake.sources import fixtures as fx
+    valid, _ = cl.cleanse(fx.v_payments(spark, SF01))
+    hot = valid.withColumn("merchant_id", F.lit("hot"))
+    for fn, df in ((fe.customer_features, valid), (fe.merchant_features, valid),
+                   (fe.merchant_features, hot)):
+        a = fn(df, method="latest")
+        for m in ("window", "bucketed"):
+            b = fn(df, method=m)
+            assert a.count() == b.count()
+            assert a.exceptAll(b.select(a.columns)).count() == 0, m
+
+
+def test_timestamp_offset_forms(spark):
+    df = spark.createDataFrame([("2026-03-15T08:00:00-0200",), ("2026-03-15T12:30:00.5+02:30",),
+                                ("2026-03-15",), ("2026-03-15T10:00:00",)], "s string")
+    got = [r[0] for r in df.select(parse_event_ts("s")).collect()]
+    assert got == [datetime(2026, 3, 15, 10), datetime(2026, 3, 15, 10, 0, 0, 500000),
+                   datetime(2026, 3, 15), datetime(2026, 3, 15, 10)]
