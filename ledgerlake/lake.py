@@ -89,6 +89,10 @@ class Lake:
 
     def _write(self, df: DataFrame, layer: str, table: str, mode: str,
                partition_by: Sequence[str] | None, dynamic: bool = False) -> int:
+        if partition_by:
+            # one task per partition value where possible (few files), while
+            # AQE splits a hot partition value over several tasks/files.
+            df = df.hint("rebalance", *partition_by)
         counted, obs = self._counted(df)
         w = counted.write.mode(mode)
         if partition_by:
@@ -154,12 +158,14 @@ class Lake:
         express "no rows").  The partition list is metadata-sized.
         """
         t = self.read(layer, table)
-        hit = t.filter(predicate)
-        parts = [r.asDict() for r in hit.select(*partition_by).distinct().collect()]
-        if not parts:
+        # rows to delete per partition, one (pruned) pass; partition-sized result
+        per = (t.filter(F.coalesce(predicate, F.lit(False))).groupBy(*partition_by)
+                .agg(F.count(F.lit(1)).alias("_n")).collect())
+        if not per:
             return 0
-        deleted = hit.count()
-        touched = self.spark.createDataFrame(parts, hit.select(*partition_by).schema)
+        deleted = sum(r["_n"] for r in per)
+        parts = [{c: r[c] for c in partition_by} for r in per]
+        touched = self.spark.createDataFrame(parts, t.select(*partition_by).schema)
         keep = self.stage(t.join(F.broadcast(touched), list(partition_by), "left_semi")
                            .filter(~F.coalesce(predicate, F.lit(False))))
         kept_parts = {tuple(r) for r in keep.select(*partition_by).distinct().collect()}

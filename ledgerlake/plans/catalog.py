@@ -815,14 +815,13 @@ def s11(spark, sf):
 
 
 # ------------------------------------------------------------- streaming
-@register("t1_stream_ingest", ORACLE["f3_route_counts"])
-def t1(spark, sf):
+def _run_stream(spark, sf):
     import uuid
 
     from ..lake import Lake
     from ..session import checkpoint_dir
     from ..streaming.ingest import start_bronze_stream, stream_source
-    root = f"{checkpoint_dir(spark).rstrip('/')}/t1-{uuid.uuid4().hex}"
+    root = f"{checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
     lake = Lake(spark, root)
     schema = fx.table(spark, sf, "events").schema
     src = stream_source(spark, "parquet", sf, schema, pathGlobFilter="events.parquet",
@@ -830,5 +829,130 @@ def t1(spark, sf):
     q = start_bronze_stream(lake, src, f"{root}/_checkpoint/bronze_events",
                             prepare=lambda b: wire_from(fx.events_as_payments(b)))
     q.awaitTermination()
-    return lake.read("bronze", "events").groupBy("target_table", "reject_reason") \
+    return lake
+
+
+@register("t1_stream_ingest", ORACLE["f3_route_counts"])
+def t1(spark, sf):
+    from ..schemas import BRONZE_SCHEMA
+    lake = _run_stream(spark, sf)
+    return lake.read("bronze", "events", BRONZE_SCHEMA).groupBy("target_table", "reject_reason") \
         .agg(F.count(F.lit(1)).alias("event_count"))
+
+
+@register("t3_stream_batch_counters", _sql("""
+SELECT count(*) AS consumed, count(*) FILTER (WHERE target_table <> 'dead_letter') AS valid,
+       count(*) FILTER (WHERE target_table = 'dead_letter') AS invalid
+FROM routed""", SQL_V_EVENTS, SQL_WIRE, SQL_ROUTED))
+def t3(spark, sf):
+    lake = _run_stream(spark, sf)
+    return lake.read("bronze", "ingest_audit").agg(
+        F.sum("consumed").alias("consumed"), F.sum("valid").alias("valid"),
+        F.sum("invalid").alias("invalid"))
+
+
+# ------------------------------------------------------ scalar functions
+@register("p_scalar_projections", _sql(f"""
+SELECT event_key, try_cast(timestamp AS timestamp) AS event_ts,
+       strftime(try_cast(timestamp AS timestamp), '%Y') AS year,
+       try_cast(amount AS decimal(18,2)) AS amount_decimal,
+       cast(try_cast(timestamp AS timestamp) AS date) AS event_date,
+       date_trunc('hour', try_cast(timestamp AS timestamp)) AS event_hour,
+       cast(floor(epoch(try_cast(timestamp AS timestamp))) AS bigint) AS epoch_s,
+       date_diff('day', cast(try_cast(timestamp AS timestamp) AS date), DATE '{ANCHOR}') AS days_to_anchor,
+       currency IN ('USD','EUR','GBP','SGD','JPY','AUD','CAD','CHF') AS currency_valid,
+       cast(abs(try_cast(amount AS decimal(18,2)) - coalesce(try_cast(amount AS decimal(18,2)),
+                cast(0 AS decimal(18,2)))) AS decimal(18,2)) AS self_gap
+FROM v_events""", SQL_V_EVENTS))
+def p_scalars(spark, sf):
+    from ..functions import scalars as sc
+    from ..schemas import VALID_CURRENCIES
+    v = fx.v_events(spark, sf).withColumn("event_ts", sc.parse_event_ts("timestamp")) \
+        .withColumn("amount_decimal", sc.money("amount"))
+    return v.select(
+        "event_key", "event_ts", sc.partition_strings("event_ts")[0], "amount_decimal",
+        F.to_date("event_ts").alias("event_date"), sc.hour_of("event_ts").alias("event_hour"),
+        sc.epoch_seconds("event_ts").alias("epoch_s"),
+        sc.days_between(F.lit(ANCHOR).cast("date"), F.to_date("event_ts")).cast("bigint")
+          .alias("days_to_anchor"),
+        F.col("currency").isin(list(VALID_CURRENCIES)).alias("currency_valid"),
+        F.abs(F.col("amount_decimal") - F.coalesce("amount_decimal", F.lit(0).cast(MONEY)))
+         .cast(MONEY).alias("self_gap"))
+
+
+# ---------------------------------------------------------------- writes
+def _scratch_lake(spark, tag):
+    import uuid
+
+    from ..lake import Lake
+    from ..session import checkpoint_dir
+    return Lake(spark, f"{checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}")
+
+
+@register("w1_append_read_back", _sql("""
+SELECT event_type, event_key, merchant_id, amount, timestamp,
+       strftime(try_cast(timestamp AS timestamp), '%Y') AS year,
+       strftime(try_cast(timestamp AS timestamp), '%m') AS month,
+       strftime(try_cast(timestamp AS timestamp), '%d') AS day
+FROM v_events""", SQL_V_EVENTS))
+def w1(spark, sf):
+    from pyspark.sql.types import StringType, StructField, StructType
+    lake = _scratch_lake(spark, "w1")
+    v = ig.add_partition_columns(fx.v_events(spark, sf), F.lit(None).cast("timestamp")) \
+        .select("event_type", "event_key", "merchant_id", "amount", "timestamp", "year", "month", "day")
+    half = v.filter(F.col("event_type") == PAYMENT)
+    rest = v.filter(F.col("event_type") != PAYMENT).withColumn("note", F.lit("late"))
+    lake.append(half, "bronze", "events", ["year", "month", "day"])
+    lake.append(rest, "bronze", "events", ["year", "month", "day"])   # new column: schema evolves
+    schema = StructType([f for f in v.schema.fields] + [StructField("note", StringType())])
+    return lake.read("bronze", "events", schema).drop("note")
+
+
+@register("w3_replace_partitions", _sql("SELECT * FROM ledger_st", *LEDGER_CTES))
+def w3(spark, sf):
+    """Ledger first written before any settlement (all awaiting), then the
+    dates that received settlements are recomputed and replaced."""
+    lake = _scratch_lake(spark, "w3")
+    pay = fx.li_payments(spark, sf)
+    st = fx.li_settlements(spark, sf)
+    empty = spark.createDataFrame([], SETTLEMENT_SCHEMA)
+    lake.overwrite(rc.reconcile(pay, empty), "silver", "ledger", ["payment_date"])
+    from ..functions.scalars import parse_event_ts
+    dates = st.select(F.to_date(parse_event_ts("timestamp")).alias("payment_date")).distinct()
+    changed = pay.withColumn("payment_date", F.to_date("event_ts")) \
+        .join(dates, "payment_date", "left_semi").drop("payment_date")
+    lake.replace_partitions(rc.reconcile(changed, st), "silver", "ledger", ["payment_date"])
+    return lake.read("silver", "ledger")
+
+
+@register("w7_delete_rows", _sql("""
+SELECT * FROM ledger_st
+WHERE NOT (year(payment_date) = 1995 OR reconciliation_status = 'awaiting_settlement')""", *LEDGER_CTES))
+def w7(spark, sf):
+    lake = _scratch_lake(spark, "w7")
+    lake.overwrite(_ledger(spark, sf), "silver", "ledger", ["payment_date"])
+    lake.delete_where("silver", "ledger", F.year("payment_date") == 1995, ["payment_date"])
+    lake.delete_where("silver", "ledger", F.col("reconciliation_status") == "awaiting_settlement",
+                      ["payment_date"])
+    return lake.read("silver", "ledger")
+
+
+# ------------------------------------------------------------- nightly run
+@register("r1_nightly_gold", _sql(f"""
+SELECT d.*, m.merchant_name, m.category, m.country, m.risk_tier
+FROM (SELECT merchant_id, cast(event_ts AS date) AS report_date,
+             count(transaction_id) AS transaction_count,
+             cast(sum(amount_decimal) AS decimal(18,2)) AS total_amount,
+             cast(cast((2 * cast(sum(amount_decimal) * 100 AS bigint) + count(amount_decimal))
+                       // (2 * count(amount_decimal)) AS double) / 100 AS decimal(18,2)) AS avg_amount,
+             count(DISTINCT customer_id) AS unique_customers
+      FROM v_clean WHERE cast(event_ts AS date) = DATE '{REPORT_DATE}' GROUP BY 1, 2) d
+LEFT JOIN v_merchants m ON d.merchant_id = m.merchant_id""", *PAY_CTES, SQL_V_MERCHANTS))
+def r1(spark, sf):
+    """Wire events -> Bronze -> nightly run for the report date -> Gold."""
+    from .nightly import ingest_batch, run_nightly
+    lake = _scratch_lake(spark, "r1")
+    lake.overwrite(fx.v_merchants(spark, sf), "bronze", "merchant_reference")
+    ingest_batch(lake, wire_events(spark, sf), batch_id=1, raw_json=True)
+    run_nightly(lake, REPORT_DATE, "r1", clock=F.lit("2024-02-01 00:00:00").cast("timestamp"))
+    return lake.read("gold", "daily_merchant_summary")

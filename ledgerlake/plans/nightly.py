@@ -21,7 +21,7 @@ from ..operators import features as fe
 from ..operators import gold as go
 from ..operators import maintenance as mt
 from ..operators import reconcile as rc
-from ..operators.ingest import conform, decode_events, ingest_frame
+from ..operators.ingest import bronze_record, conform, decode_events, ingest_frame
 from ..schemas import (BRONZE_TABLE, CHARGEBACK, DEFAULT_TOLERANCE, DEFAULT_WINDOWS, MERCHANT_SCHEMA,
                        PAYMENT, REFUND, SETTLEMENT, UNION_SCHEMA)
 from ..streaming.ingest import BRONZE_PARTITIONS
@@ -43,7 +43,7 @@ def ingest_batch(lake: Lake, events: DataFrame, batch_id: int, raw_json: bool =
     pass (single scan, one partitioned write); replaying ``batch_id``
     replaces its partitions."""
     df = decode_events(events) if raw_json else conform(events, UNION_SCHEMA)
-    routed = ingest_frame(df, ingest_ts).withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
+    routed = bronze_record(ingest_frame(df, ingest_ts), batch_id)
     obs = Observation()
     counted = routed.observe(obs, *[F.count_if(F.col("target_table") == t).alias(t)
                                     for t in list(BRONZE_TABLE.values()) + ["dead_letter"]])
@@ -53,7 +53,8 @@ def ingest_batch(lake: Lake, events: DataFrame, batch_id: int, raw_json: bool =
 
 def bronze(lake: Lake, kind: str, report_date: str | None = None) -> DataFrame:
     """One Bronze table (a ``target_table`` partition), optionally one day."""
-    df = lake.read("bronze", "events").filter(F.col("target_table") == BRONZE_TABLE[kind])
+    from ..schemas import BRONZE_SCHEMA
+    df = lake.read("bronze", "events", BRONZE_SCHEMA).filter(F.col("target_table") == BRONZE_TABLE[kind])
     if report_date:
         y, m, d = report_date.split("-")
         df = df.filter((F.col("year") == y) & (F.col("month") == m) & (F.col("day") == d))

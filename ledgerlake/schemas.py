@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql.types import (
     BooleanType, DateType, DecimalType, DoubleType, LongType, StringType,
-    StructField, StructType, TimestampNTZType,
+    StructField, StructType, TimestampNTZType, TimestampType,
 )
 
 # ---------------------------------------------------------------------------
@@ -127,3 +127,12 @@ SILVER_EXTRA = StructType([
 CHANGE_LOG_SCHEMA = StructType([
     _s("version", LongType()), _s("op"),
 ])
+
+# Bronze record: union columns, raw payload (kept for dead letters), decode
+# error, parsed time, zero-padded partition strings, ingest time, routing and
+# the ingest (micro-)batch number (distinct from a settlement's ``batch_id``).
+BRONZE_SCHEMA = StructType(list(UNION_SCHEMA.fields) + [
+    _s("raw_value"), _s("decode_error"), _s("event_ts", TimestampNTZType()),
+    _s("year"), _s("month"), _s("day"), _s("ingest_timestamp", TimestampType()),
+    _s("reject_reason"), _s("target_table"), _s("ingest_batch", LongType()),
+])

@@ -4,7 +4,7 @@
 column (Kafka) or typed rows (file sources).  ``start_bronze_stream`` (T1)
 runs decode -> validate -> route per micro-batch in ``foreachBatch`` (W8)
 with an available-now trigger and a stable checkpoint (T4).  Each batch
-is written under ``batch_id=<id>`` with dynamic partition overwrite, so a
+is written under ``ingest_batch=<id>`` with dynamic partition overwrite, so a
 batch replayed after a failure replaces its own output instead of
 duplicating it; per-batch counters (T3) come from ``observe`` on that one
 write, not from extra actions.
@@ -18,10 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..operators.ingest import decode_events, ingest_frame
+from ..operators.ingest import bronze_record, decode_events, ingest_frame
 from ..schemas import DEAD_LETTER, MONEY
 
-BRONZE_PARTITIONS = ["target_table", "year", "month", "day", "batch_id"]
+BRONZE_PARTITIONS = ["target_table", "year", "month", "day", "ingest_batch"]
 
 
 def stream_source(spark: SparkSession, fmt: str, path: str | None = None,
@@ -52,7 +52,7 @@ def bronze_batch_writer(lake, layer: str = "bronze", table: str = "events",
         df = prepare(batch) if prepare is not None else batch
         if raw_json:
             df = decode_events(df)
-        routed = ingest_frame(df).withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
+        routed = bronze_record(ingest_frame(df), batch_id)
         obs = Observation()
         counted = routed.observe(
             obs, F.count(F.lit(1)).alias("consumed"),
@@ -62,8 +62,8 @@ def bronze_batch_writer(lake, layer: str = "bronze", table: str = "events",
         m = obs.get
         audit = lake.spark.createDataFrame(
             [(int(batch_id), int(m["consumed"]), int(m["valid"]), int(m["invalid"]))],
-            "batch_id long, consumed long, valid long, invalid long")
-        lake.replace_partitions(audit, layer, audit_table, ["batch_id"])
+            "ingest_batch long, consumed long, valid long, invalid long")
+        lake.replace_partitions(audit, layer, audit_table, ["ingest_batch"])
 
     return process
 
