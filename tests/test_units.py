@@ -1,4 +1,4 @@
-"""Literal-row tests modelled on the reference's unit suites (FIXTURES A.2)."""
+"""Literal-row tests: the payment-domain cases of FIXTURES.md section A.2."""
 from datetime import date, datetime
 from decimal import Decimal
 
