@@ -749,9 +749,9 @@ def m4(spark, sf):
 SELECT version, count(*) FILTER (WHERE op = 'insert') AS inserted,
        count(*) FILTER (WHERE op = 'update') AS updated,
        count(*) FILTER (WHERE op = 'delete') AS deleted
-FROM (SELECT 0 AS version, 'insert' AS op FROM s0
+FROM (SELECT CAST(0 AS BIGINT) AS version, 'insert' AS op FROM s0
       UNION ALL
-      SELECT 1, CASE WHEN o.o_orderkey IS NULL THEN 'insert' WHEN n.o_orderkey IS NULL THEN 'delete'
+      SELECT CAST(1 AS BIGINT), CASE WHEN o.o_orderkey IS NULL THEN 'insert' WHEN n.o_orderkey IS NULL THEN 'delete'
                      ELSE 'update' END
       FROM (SELECT *, CAST(NULL AS timestamp) AS last_shipdate FROM s0) o
       FULL OUTER JOIN s1 n ON o.o_orderkey = n.o_orderkey
@@ -759,7 +759,7 @@ FROM (SELECT 0 AS version, 'insert' AS op FROM s0
          OR o.o_totalprice IS DISTINCT FROM n.o_totalprice
          OR o.last_shipdate IS DISTINCT FROM n.last_shipdate
       UNION ALL
-      SELECT 2, 'delete' FROM s1 WHERE coalesce(o_orderstatus, '') = 'P') x
+      SELECT CAST(2 AS BIGINT), 'delete' FROM s1 WHERE coalesce(o_orderstatus, '') = 'P') x
 GROUP BY 1 ORDER BY 1 DESC LIMIT 10""", SQL_ORDERS))
 def l2(spark, sf):
     return hi.history(_log(spark, sf), 10)

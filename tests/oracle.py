@@ -29,7 +29,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "∅"
-        return f"{v:.9g}"
+        return repr(v)
     if isinstance(v, decimal.Decimal):
         return f"{v:.6f}"
     if isinstance(v, dt.datetime):
