@@ -86,12 +86,18 @@ def run_silver_cleanse(lake: Lake, report_date: str | None, run_id: str) -> dict
     return {"records_processed": after, "duplicates_removed": before - after, "quarantined": q}
 
 
-def run_reconciliation(lake: Lake, report_date: str, tolerance: str = DEFAULT_TOLERANCE,
+def _dated(df: DataFrame, col: str, report_date: str | None) -> DataFrame:
+    return df if report_date is None else df.filter(F.col(col) == _day(report_date))
+
+
+def run_reconciliation(lake: Lake, report_date: str | None, tolerance: str = DEFAULT_TOLERANCE,
                        clock: Column | None = None) -> dict:
-    """A5 for one date -> replace that date of the ledger; A6 counts from the write."""
-    pay = lake.read("silver", "cleansed_transactions").filter(F.col("payment_date") == _day(report_date))
-    st = bronze(lake, SETTLEMENT, report_date) if lake.exists("bronze", "events") else None
-    if st is None:
+    """A5 for one date (or every date when ``report_date`` is None) -> replace
+    those dates of the ledger; A6 counts come from the write."""
+    pay = _dated(lake.read("silver", "cleansed_transactions"), "payment_date", report_date)
+    if lake.exists("bronze", "events"):
+        st = bronze(lake, SETTLEMENT, report_date)
+    else:
         from ..schemas import SETTLEMENT_SCHEMA
         st = lake.spark.createDataFrame([], SETTLEMENT_SCHEMA)
     led = rc.reconcile(pay, st, tolerance).withColumn(
@@ -107,16 +113,17 @@ def run_reconciliation(lake: Lake, report_date: str, tolerance: str = DEFAULT_TO
             "discrepancies": m["discrepancies"], "awaiting_settlement": m["awaiting_settlement"]}
 
 
-def run_gold(lake: Lake, report_date: str, optimize: bool = False) -> dict:
-    """R2: (optionally compact Silver first) then A1 and A2 for the date."""
+def run_gold(lake: Lake, report_date: str | None, optimize: bool = False) -> dict:
+    """R2: (optionally compact Silver first) then A1 and A2 for the date, or
+    for every date when ``report_date`` is None (catch-up)."""
     if optimize:
         mt.optimize_table(lake, "silver", "cleansed_transactions", partition_by=["payment_date"])
-    pay = lake.read("silver", "cleansed_transactions").filter(F.col("payment_date") == _day(report_date))
+    pay = _dated(lake.read("silver", "cleansed_transactions"), "payment_date", report_date)
     merchants = lake.read("bronze", "merchant_reference") if lake.exists("bronze", "merchant_reference") \
         else None
     daily = go.daily_merchant_summary(pay, merchants)
     n1 = lake.replace_partitions(daily, "gold", "daily_merchant_summary", ["report_date"])
-    hourly = go.hourly_volume(pay).withColumn("report_date", _day(report_date))
+    hourly = go.hourly_volume(pay).withColumn("report_date", F.to_date("hour"))
     n2 = lake.replace_partitions(hourly, "gold", "hourly_transaction_volume", ["report_date"])
     return {"merchant_summary_records": n1, "hourly_volume_records": n2, "report_date": report_date}
 
@@ -139,18 +146,19 @@ def run_feature_store(lake: Lake, windows: Sequence[int] = DEFAULT_WINDOWS,
     return {"customer_features": c, "merchant_features": m}
 
 
-def run_nightly(lake: Lake, report_date: str | date, run_id: str = "manual",
+def run_nightly(lake: Lake, report_date: str | date | None, run_id: str = "manual",
                 clock: Column | None = None, tolerance: str = DEFAULT_TOLERANCE,
                 optimize: bool = False, feature_method: str = "latest") -> dict:
     """Cleanse -> reconcile -> gold -> merchant analytics -> features.
 
-    Fails fast (an exception stops the run); returns per-stage results and
-    seconds.
+    ``report_date=None`` is catch-up mode: every stage processes all dates
+    in one job (no driver loop over days).  Fails fast (an exception stops
+    the run); returns per-stage results and seconds.
     """
-    rd = str(report_date)
+    rd = None if report_date is None else str(report_date)
     out, timings = {}, {}
     for name, fn in (
-        ("silver_cleanse", lambda: run_silver_cleanse(lake, rd, run_id)),
+        ("silver_cleanse", lambda: run_silver_cleanse(lake, rd, run_id or "catchup")),
         ("reconciliation", lambda: run_reconciliation(lake, rd, tolerance, clock)),
         ("gold_aggregation", lambda: run_gold(lake, rd, optimize)),
         ("merchant_analytics", lambda: run_merchant_analytics(lake, clock)),
