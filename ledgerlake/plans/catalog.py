@@ -912,16 +912,14 @@ def w1(spark, sf):
 def w3(spark, sf):
     """Ledger first written before any settlement (all awaiting), then the
     dates that received settlements are recomputed and replaced."""
+    from .incremental import changed_ledger_dates, refresh_ledger
     lake = _scratch_lake(spark, "w3")
     pay = fx.li_payments(spark, sf)
     st = fx.li_settlements(spark, sf)
     empty = spark.createDataFrame([], SETTLEMENT_SCHEMA)
     lake.overwrite(rc.reconcile(pay, empty), "silver", "ledger", ["payment_date"])
-    from ..functions.scalars import parse_event_ts
-    dates = st.select(F.to_date(parse_event_ts("timestamp")).alias("payment_date")).distinct()
-    changed = pay.withColumn("payment_date", F.to_date("event_ts")) \
-        .join(dates, "payment_date", "left_semi").drop("payment_date")
-    lake.replace_partitions(rc.reconcile(changed, st), "silver", "ledger", ["payment_date"])
+    no_new_payments = pay.limit(0)
+    refresh_ledger(lake, pay, st, changed_ledger_dates(no_new_payments, st), table=("silver", "ledger"))
     return lake.read("silver", "ledger")
 
 

@@ -26,3 +26,29 @@ def refresh_daily_summary(old_summary: DataFrame, payments: DataFrame, dates: Da
     fresh = gold.daily_merchant_summary(touched, merchants)
     kept = old_summary.join(dates, "report_date", "left_anti")
     return kept.unionByName(fresh.select(*old_summary.columns))
+
+
+def changed_ledger_dates(new_payments: DataFrame, new_settlements: DataFrame) -> DataFrame:
+    """Ledger dates touched by new data: payment dates of new payments and
+    settlement dates of new settlements (a late settlement changes an old
+    payment date's status)."""
+    from ..functions.scalars import parse_event_ts
+    p = new_payments.select(F.to_date("event_ts").alias("payment_date"))
+    s = new_settlements.select(F.to_date(parse_event_ts("timestamp")).alias("payment_date"))
+    return p.unionByName(s).distinct()
+
+
+def refresh_ledger(lake, payments: DataFrame, settlements: DataFrame, dates: DataFrame,
+                   tolerance: str | None = None, table: tuple[str, str] = ("silver", "reconciliation_ledger")
+                   ) -> int:
+    """Recompute the ledger for ``dates`` only and replace those date
+    partitions (the left-semi joins prune both inputs to the changed days)."""
+    from ..functions.scalars import parse_event_ts
+    from ..operators import reconcile as rc
+    from ..schemas import DEFAULT_TOLERANCE
+    pay = payments.withColumn("payment_date", F.to_date("event_ts")) \
+        .join(dates, "payment_date", "left_semi").drop("payment_date")
+    st = settlements.withColumn("payment_date", F.to_date(parse_event_ts("timestamp"))) \
+        .join(dates, "payment_date", "left_semi").drop("payment_date")
+    led = rc.reconcile(pay, st, tolerance or DEFAULT_TOLERANCE)
+    return lake.replace_partitions(led, table[0], table[1], ["payment_date"])

@@ -35,3 +35,31 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
         d = fallback or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
+
+
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_mb: int = 128) -> dict[str, str]:
+    """Suggested settings for a run over ``input_bytes`` on ``total_cores``.
+
+    Shuffle partitions start at about one per ``target_partition_mb`` of input
+    (at least 2x cores) and AQE coalesces them at run time; AQE skew handling
+    splits any shuffle partition more than 5x the median and over 256 MB.
+    """
+    mb = target_partition_mb
+    parts = max(2 * total_cores, input_bytes // (mb * 1024 * 1024))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{mb}m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.shuffle.partitions": str(int(parts)),
+        "spark.sql.files.maxPartitionBytes": f"{mb}m",
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
+    for k, v in conf.items():
+        spark.conf.set(k, v)

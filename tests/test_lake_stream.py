@@ -208,3 +208,57 @@ def test_nightly_with_json_wire_and_optimize(spark, lake):
     assert r["quarantined"] > 0
     g = run_gold(lake, "2024-01-15", optimize=True)
     assert g["merchant_summary_records"] > 0
+
+
+def test_versioned_table_time_travel(spark, lake):
+    from ledgerlake.operators.history import VersionedTable
+    vt = VersionedTable(lake, "silver", "accounts", ["k"])
+    v0 = spark.createDataFrame([(1, "original")], "k int, note string")
+    assert vt.commit(v0) == 0
+    v1 = spark.createDataFrame([(1, "original"), (2, "new")], "k int, note string")
+    assert vt.commit(v1) == 1
+    v2 = spark.createDataFrame([(2, "changed")], "k int, note string")
+    assert vt.commit(v2) == 2
+    assert [tuple(r) for r in vt.as_of(0).collect()] == [(1, "original")]
+    assert sorted(map(tuple, vt.as_of(1).collect())) == [(1, "original"), (2, "new")]
+    assert sorted(map(tuple, vt.as_of().collect())) == [(2, "changed")]
+    h = {r.version: (r.inserted, r.updated, r.deleted) for r in vt.history().collect()}
+    assert h == {0: (1, 0, 0), 1: (1, 0, 0), 2: (0, 1, 1)}
+
+
+def test_text_stream_of_json_equals_batch_routing(spark):
+    from ledgerlake.lake import Lake
+    from ledgerlake.operators.ingest import decode_events, ingest_frame
+    from ledgerlake.plans.catalog import wire_events
+    from ledgerlake.streaming import start_bronze_stream, stream_source
+    src_dir = tempfile.mkdtemp(prefix="ll-json-", dir="/tmp")
+    wire = wire_events(spark, SF001)
+    wire.repartition(4).write.mode("overwrite").text(src_dir)
+    lake = Lake(spark, tempfile.mkdtemp(prefix="ll-lake-", dir="/tmp"))
+    src = stream_source(spark, "text", src_dir, maxFilesPerTrigger="2")
+    start_bronze_stream(lake, src, f"{lake.root}/_checkpoints/json").awaitTermination()
+    got = {(r.target_table, r.reject_reason): r["count"]
+           for r in lake.read("bronze", "events").groupBy("target_table", "reject_reason").count().collect()}
+    want = {(r.target_table, r.reject_reason): r["count"]
+            for r in ingest_frame(decode_events(wire)).groupBy("target_table", "reject_reason").count().collect()}
+    assert got == want
+
+
+def test_read_event_files(spark):
+    from ledgerlake.operators.ingest import ingest_frame
+    from ledgerlake.plans.catalog import wire_events
+    from ledgerlake.sources import read_event_files
+    d = tempfile.mkdtemp(prefix="ll-json-", dir="/tmp")
+    wire_events(spark, SF001).write.mode("overwrite").text(d)
+    rows = read_event_files(spark, d, "json")
+    assert rows.count() == 1000
+    assert ingest_frame(rows).filter(F.col("target_table") == "raw_payments").count() > 0
+    assert read_event_files(spark, d, "text").columns == ["value"]
+
+
+def test_cluster_conf():
+    from ledgerlake.session import cluster_conf
+    c = cluster_conf(100 * 1024 ** 4, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 819200
+    assert c["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert int(cluster_conf(10 * 1024 ** 2, 8)["spark.sql.shuffle.partitions"]) == 16
