@@ -43,24 +43,34 @@ class Lake:
         return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
 
     def exists(self, layer: str, table: str) -> bool:
-        """The table directory exists and holds at least one data file."""
-        fs, p = self._fs(self.path(layer, table))
-        return bool(fs.exists(p)) and self.file_count(layer, table) > 0
-
-    def file_count(self, layer: str, table: str) -> int:
+        """The table directory exists and holds a data file (the listing
+        stops at the first one, so a table with millions of files is cheap)."""
         fs, p = self._fs(self.path(layer, table))
+        if not fs.exists(p):
+            return False
+        it = fs.listFiles(p, True)
+        while it.hasNext():
+            if it.next().getPath().getName().endswith(".parquet"):
+                return True
+        return False
+
+    def file_count(self, layer: str, table: str, where: str | None = None) -> int:
+        """Data files of the table, or of the partition sub-path ``where``
+        (e.g. ``payment_date=2024-01-15``)."""
+        path = self.path(layer, table) + (f"/{where}" if where else "")
+        fs, p = self._fs(path)
         if not fs.exists(p):
             return 0
         it = fs.listFiles(p, True)
         n = 0
         while it.hasNext():
-            name = it.next().getPath().getName()
-            if name.endswith(".parquet"):
+            if it.next().getPath().getName().endswith(".parquet"):
                 n += 1
         return n
 
-    def size_bytes(self, layer: str, table: str) -> int:
-        fs, p = self._fs(self.path(layer, table))
+    def size_bytes(self, layer: str, table: str, where: str | None = None) -> int:
+        path = self.path(layer, table) + (f"/{where}" if where else "")
+        fs, p = self._fs(path)
         return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
 
     def _delete(self, path: str) -> None:
@@ -88,8 +98,9 @@ class Lake:
         return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
     def _write(self, df: DataFrame, layer: str, table: str, mode: str,
-               partition_by: Sequence[str] | None, dynamic: bool = False) -> int:
-        if partition_by:
+               partition_by: Sequence[str] | None, dynamic: bool = False,
+               rebalance: bool = True) -> int:
+        if partition_by and rebalance:
             # one task per partition value where possible (few files), while
             # AQE splits a hot partition value over several tasks/files.
             df = df.hint("rebalance", *partition_by)
@@ -108,14 +119,15 @@ class Lake:
         return self._write(df, layer, table, "append", partition_by)
 
     def overwrite(self, df: DataFrame, layer: str, table: str,
-                  partition_by: Sequence[str] | None = None) -> int:
+                  partition_by: Sequence[str] | None = None, rebalance: bool = True) -> int:
         """Full overwrite."""
-        return self._write(df, layer, table, "overwrite", partition_by)
+        return self._write(df, layer, table, "overwrite", partition_by, rebalance=rebalance)
 
     def replace_partitions(self, df: DataFrame, layer: str, table: str,
-                           partition_by: Sequence[str]) -> int:
+                           partition_by: Sequence[str], rebalance: bool = True) -> int:
         """Overwrite only the partitions present in ``df`` (dynamic mode)."""
-        return self._write(df, layer, table, "overwrite", partition_by, dynamic=True)
+        return self._write(df, layer, table, "overwrite", partition_by, dynamic=True,
+                           rebalance=rebalance)
 
     def stage(self, df: DataFrame) -> DataFrame:
         """Cut lineage: write ``df`` to a fresh table in the shared checkpoint

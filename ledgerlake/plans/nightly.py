@@ -117,7 +117,10 @@ def run_gold(lake: Lake, report_date: str | None, optimize: bool = False) -> dic
     """R2: (optionally compact Silver first) then A1 and A2 for the date, or
     for every date when ``report_date`` is None (catch-up)."""
     if optimize:
-        mt.optimize_table(lake, "silver", "cleansed_transactions", partition_by=["payment_date"])
+        # compact (and cluster) only the Silver partition the run reads
+        mt.optimize_table(lake, "silver", "cleansed_transactions", ["merchant_id", "customer_id"],
+                          partition_by=["payment_date"],
+                          where=None if report_date is None else {"payment_date": report_date})
     pay = _dated(lake.read("silver", "cleansed_transactions"), "payment_date", report_date)
     merchants = lake.read("bronze", "merchant_reference") if lake.exists("bronze", "merchant_reference") \
         else None

@@ -262,3 +262,15 @@ def test_cluster_conf():
     assert int(c["spark.sql.shuffle.partitions"]) == 819200
     assert c["spark.sql.adaptive.skewJoin.enabled"] == "true"
     assert int(cluster_conf(10 * 1024 ** 2, 8)["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_optimize_one_partition_only(spark, lake):
+    a = _rows(spark, 40)
+    b = _rows(spark, 30, 100).withColumn("d", F.lit("2026-01-02").cast("date"))
+    for part in (a, b):      # fragmented input: 6 small files per date
+        part.repartition(6).write.mode("append").partitionBy("d").parquet(lake.path("silver", "t"))
+    before_other = lake.file_count("silver", "t", "d=2026-01-01")
+    r = mt.optimize_table(lake, "silver", "t", ["k"], partition_by=["d"], where={"d": "2026-01-02"})
+    assert r["before"] > r["after"] == 1 and r["rows"] == 30
+    assert lake.file_count("silver", "t", "d=2026-01-01") == before_other
+    assert lake.read("silver", "t").count() == 70
