@@ -89,7 +89,6 @@ def ingest_frame(events: DataFrame, ingest_ts: Column | None = None) -> DataFram
 def conform(df: DataFrame, schema) -> DataFrame:
     """Schema enforcement: add missing columns as NULL, cast to the declared
     types, drop extras, keep declared order."""
-    from pyspark.sql.types import StructType  # noqa: F401
     cols = []
     for f in schema.fields:
         c = F.col(f.name) if f.name in df.columns else F.lit(None)

@@ -22,8 +22,8 @@ from ..operators import gold as go
 from ..operators import maintenance as mt
 from ..operators import reconcile as rc
 from ..operators.ingest import bronze_record, conform, decode_events, ingest_frame
-from ..schemas import (BRONZE_TABLE, CHARGEBACK, DEFAULT_TOLERANCE, DEFAULT_WINDOWS, MERCHANT_SCHEMA,
-                       PAYMENT, REFUND, SETTLEMENT, UNION_SCHEMA)
+from ..schemas import (BRONZE_TABLE, CHARGEBACK, DEFAULT_TOLERANCE, DEFAULT_WINDOWS, PAYMENT,
+                       REFUND, SETTLEMENT, UNION_SCHEMA)
 from ..streaming.ingest import BRONZE_PARTITIONS
 
 # Tables the maintenance job compacts, with their clustering columns (M5).
@@ -37,6 +37,12 @@ TABLES = (
 )
 
 
+def default_report_date(today: date | None = None) -> str:
+    """R2's default: yesterday (of ``today``, injectable for tests)."""
+    from datetime import timedelta
+    return str((today or date.today()) - timedelta(days=1))
+
+
 def ingest_batch(lake: Lake, events: DataFrame, batch_id: int, raw_json: bool = False,
                  ingest_ts: Column | None = None) -> dict:
     """S3: validate, route and write one batch of events to Bronze in one
@@ -132,7 +138,6 @@ def run_gold(lake: Lake, report_date: str | None, optimize: bool = False) -> dic
 
 
 def run_merchant_analytics(lake: Lake, clock: Column | None = None) -> dict:
-    from ..schemas import CHARGEBACK_SCHEMA, REFUND_SCHEMA  # noqa: F401
     pay = lake.read("silver", "cleansed_transactions")
     out = go.merchant_analytics(pay, bronze(lake, REFUND), bronze(lake, CHARGEBACK),
                                 clock if clock is not None else F.current_timestamp())

@@ -1,3 +1,3 @@
 """Structured Streaming ingest."""
-from .ingest import (bronze_batch_writer, hourly_volume_stream, start_bronze_stream,  # noqa: F401
-                     stream_source)
+from .ingest import (bronze_batch_writer, checkpoint_path, hourly_volume_stream,  # noqa: F401
+                     kafka_source, start_bronze_stream, stream_source)

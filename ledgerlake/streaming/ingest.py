@@ -40,6 +40,21 @@ def stream_source(spark: SparkSession, fmt: str, path: str | None = None,
     return df
 
 
+def kafka_source(spark: SparkSession, bootstrap_servers: str, topic: str,
+                 starting_offsets: str = "earliest", fail_on_data_loss: bool = False) -> DataFrame:
+    """Subscribe to ``topic`` from the earliest offsets, tolerating data
+    loss, with the message value as a string column ``value``."""
+    return stream_source(spark, "kafka", None, None, **{
+        "kafka.bootstrap.servers": bootstrap_servers, "subscribe": topic,
+        "startingOffsets": starting_offsets, "failOnDataLoss": str(fail_on_data_loss).lower()})
+
+
+def checkpoint_path(lake, source: str, sink: str) -> str:
+    """One stable checkpoint folder per (source, sink) on the lake's shared
+    storage: a rerun resumes from committed offsets instead of re-reading."""
+    return f"{lake.root}/_checkpoints/{source}__{sink}"
+
+
 def bronze_batch_writer(lake, layer: str = "bronze", table: str = "events",
                         prepare: Callable[[DataFrame], DataFrame] | None = None,
                         raw_json: bool = True,

@@ -315,3 +315,13 @@ def test_timestamp_offset_forms(spark):
     got = [r[0] for r in df.select(parse_event_ts("s")).collect()]
     assert got == [datetime(2026, 3, 15, 10), datetime(2026, 3, 15, 10, 0, 0, 500000),
                    datetime(2026, 3, 15), datetime(2026, 3, 15, 10)]
+
+
+def test_default_report_date_and_checkpoint_path():
+    from ledgerlake.plans.nightly import default_report_date
+    from ledgerlake.streaming import checkpoint_path
+
+    class L:
+        root = "s3a://lake"
+    assert default_report_date(date(2026, 3, 1)) == "2026-02-28"
+    assert checkpoint_path(L, "kafka_payments", "bronze_events") == "s3a://lake/_checkpoints/kafka_payments__bronze_events"
