@@ -533,15 +533,24 @@ def n4(spark, sf):
 
 # --------------------------------------------------------------- quality
 @register("q1_null_rates", _sql("""
-SELECT 'v_payments' AS table_name, column_name, null_rate FROM (
-  SELECT 'merchant_id' AS column_name, coalesce(avg(CASE WHEN merchant_id IS NULL THEN 1 ELSE 0 END), 0.0) AS null_rate FROM v_payments
-  UNION ALL SELECT 'customer_id', coalesce(avg(CASE WHEN customer_id IS NULL THEN 1 ELSE 0 END), 0.0) FROM v_payments
-  UNION ALL SELECT 'amount', coalesce(avg(CASE WHEN amount IS NULL THEN 1 ELSE 0 END), 0.0) FROM v_payments
-  UNION ALL SELECT 'currency', coalesce(avg(CASE WHEN currency IS NULL THEN 1 ELSE 0 END), 0.0) FROM v_payments
-) x""", SQL_V_EVENTS, SQL_V_PAYMENTS))
+SELECT table_name, column_name, null_rate FROM (
+  SELECT 'v_payments' AS table_name, 'merchant_id' AS column_name, coalesce(avg(CASE WHEN merchant_id IS NULL THEN 1 ELSE 0 END), 0.0) AS null_rate FROM v_payments
+  UNION ALL SELECT 'v_payments', 'customer_id', coalesce(avg(CASE WHEN customer_id IS NULL THEN 1 ELSE 0 END), 0.0) FROM v_payments
+  UNION ALL SELECT 'v_payments', 'amount', coalesce(avg(CASE WHEN amount IS NULL THEN 1 ELSE 0 END), 0.0) FROM v_payments
+  UNION ALL SELECT 'v_payments', 'currency', coalesce(avg(CASE WHEN currency IS NULL THEN 1 ELSE 0 END), 0.0) FROM v_payments
+  UNION ALL SELECT 'silver', 'merchant_id', coalesce(avg(CASE WHEN merchant_id IS NULL THEN 1 ELSE 0 END), 0.0) FROM v_clean
+  UNION ALL SELECT 'silver', 'customer_id', coalesce(avg(CASE WHEN customer_id IS NULL THEN 1 ELSE 0 END), 0.0) FROM v_clean
+  UNION ALL SELECT 'silver', 'amount_decimal', coalesce(avg(CASE WHEN amount_decimal IS NULL THEN 1 ELSE 0 END), 0.0) FROM v_clean
+  UNION ALL SELECT 'silver', 'currency', coalesce(avg(CASE WHEN currency IS NULL THEN 1 ELSE 0 END), 0.0) FROM v_clean
+) x""", *PAY_CTES))
 def q1(spark, sf):
-    return qa.null_rates(fx.v_payments(spark, sf), ["merchant_id", "customer_id", "amount", "currency"],
-                         "v_payments")
+    """Q1 on the cleanse input and on its output (the output rates are the
+    DQ gate: 0 by construction)."""
+    p = fx.v_payments(spark, sf)
+    valid, _ = cl.cleanse(p)
+    return (qa.null_rates(p, ["merchant_id", "customer_id", "amount", "currency"], "v_payments")
+            .unionByName(qa.null_rates(valid, ["merchant_id", "customer_id", "amount_decimal", "currency"],
+                                       "silver")))
 
 
 @register("q2_not_null_check", _sql("""
