@@ -983,3 +983,19 @@ def r1_catchup(spark, sf):
     ingest_batch(lake, wire_events(spark, sf), batch_id=1, raw_json=True)
     run_nightly(lake, None, "catchup", clock=F.lit("2024-02-01 00:00:00").cast("timestamp"))
     return lake.read("gold", "daily_merchant_summary")
+
+
+@register("t5_hourly_stream", ORACLE["a2_hourly_volume"])
+def t5(spark, sf):
+    """Events as a file stream -> cleanse -> watermarked hourly windows with
+    replay de-duplication -> update-mode upsert -> the live hourly table."""
+    from ..streaming.ingest import start_hourly_stream, stream_source
+    lake = _scratch_lake(spark, "t5")
+    schema = fx.table(spark, sf, "events").schema
+    src = stream_source(spark, "parquet", sf, schema, pathGlobFilter="events.parquet",
+                        maxFilesPerTrigger="1")
+    valid = cl.cast_and_classify(fx.events_as_payments(src).filter(F.col("event_type") == PAYMENT)
+                                 .withColumnRenamed("event_key", "transaction_id")) \
+        .filter(F.col("quarantine_reason").isNull())
+    start_hourly_stream(lake, valid, f"{lake.root}/_checkpoint/hourly").awaitTermination()
+    return lake.read("gold", "hourly_volume_live")

@@ -111,3 +111,19 @@ def hourly_volume_stream(payments: DataFrame, watermark: str = "2 hours",
                          F.sum("amount_decimal").cast(MONEY).alias("total_volume"))
                     .select(F.timestamp_add("MICROSECOND", F.unix_micros(F.col("w.start")), epoch)
                              .alias("hour"), "currency", "region", "transaction_count", "total_volume"))
+
+
+def start_hourly_stream(lake, payments: DataFrame, checkpoint: str, layer: str = "gold",
+                        table: str = "hourly_volume_live", watermark: str = "2 hours") -> StreamingQuery:
+    """T5 sink: update mode + ``foreachBatch`` upsert on (hour, currency,
+    region).  Every batch rewrites the hours it changed, so the table is
+    always complete (open hours included) and replaying a batch is a no-op."""
+    keys = ["hour", "currency", "region"]
+
+    def upsert(batch: DataFrame, batch_id: int) -> None:
+        if not batch.isEmpty():
+            lake.upsert(batch, layer, table, keys, check_unique=False)
+
+    return (hourly_volume_stream(payments, watermark).writeStream.outputMode("update")
+            .foreachBatch(upsert).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())

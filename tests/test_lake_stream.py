@@ -274,3 +274,22 @@ def test_optimize_one_partition_only(spark, lake):
     assert r["before"] > r["after"] == 1 and r["rows"] == 30
     assert lake.file_count("silver", "t", "d=2026-01-01") == before_other
     assert lake.read("silver", "t").count() == 70
+
+
+def test_hourly_stream_update_mode_merges_batches(spark):
+    from ledgerlake.lake import Lake
+    from ledgerlake.streaming.ingest import start_hourly_stream
+    schema = ("transaction_id string, currency string, region string, amount_decimal decimal(18,2),"
+              " event_ts timestamp_ntz")
+    src_dir = tempfile.mkdtemp(prefix="ll-src-", dir="/tmp")
+    b1 = [("t1", "USD", "us-east", Decimal("1.00"), datetime(2026, 1, 1, 0, 10))]
+    b2 = [("t1", "USD", "us-east", Decimal("1.00"), datetime(2026, 1, 1, 0, 10)),   # replayed
+          ("t2", "USD", "us-east", Decimal("2.00"), datetime(2026, 1, 1, 0, 40))]   # same hour
+    for i, rows in enumerate((b1, b2)):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(f"{src_dir}/b{i}")
+    lake = Lake(spark, tempfile.mkdtemp(prefix="ll-lake-", dir="/tmp"))
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1") \
+        .option("recursiveFileLookup", "true").parquet(src_dir)
+    start_hourly_stream(lake, src, f"{lake.root}/_ckpt").awaitTermination()
+    got = [(r.transaction_count, float(r.total_volume)) for r in lake.read("gold", "hourly_volume_live").collect()]
+    assert got == [(2, 3.0)]
