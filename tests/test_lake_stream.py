@@ -293,3 +293,24 @@ def test_hourly_stream_update_mode_merges_batches(spark):
     start_hourly_stream(lake, src, f"{lake.root}/_ckpt").awaitTermination()
     got = [(r.transaction_count, float(r.total_volume)) for r in lake.read("gold", "hourly_volume_live").collect()]
     assert got == [(2, 3.0)]
+
+
+def test_cli_seed_nightly_optimize(spark):
+    import json as _json
+    import subprocess
+    import sys as _sys
+    root = tempfile.mkdtemp(prefix="ll-cli-", dir="/tmp")
+    env = dict(os.environ, PYSPARK_SUBMIT_ARGS="--master local[2] --conf spark.ui.enabled=false pyspark-shell")
+    run = lambda *a: subprocess.run([_sys.executable, "-m", "ledgerlake", "--root", root, *a],
+                                    cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
+                                    env=env, capture_output=True, text=True, timeout=600)
+    r = run("seed", "--events", "3000", "--days", "3", "--anchor", "2026-01-31")
+    assert r.returncode == 0, r.stderr[-2000:]
+    assert _json.loads(r.stdout.strip().splitlines()[-1])["raw_payments"] == 3000
+    r = run("nightly", "--catchup")
+    assert r.returncode == 0, r.stderr[-2000:]
+    out = _json.loads(r.stdout.strip().splitlines()[-1])
+    assert out["silver_cleanse"]["records_processed"] == 3000
+    r = run("optimize")
+    assert r.returncode == 0, r.stderr[-2000:]
+    assert "silver.cleansed_transactions" in _json.loads(r.stdout.strip().splitlines()[-1])
