@@ -11,15 +11,18 @@ Two exact methods:
               a merchant with a third of all payments is a third of the data
               in one task.
 
-``bucketed``  (default for per-event output) skew-safe.  (1) rows collapse to one point per
-              (entity, second) by a partial aggregate; (2) a running sum
+``bucketed``  (default for per-event output) skew-safe.  (1) rows
+              collapse to one point per (entity, second) by a partial
+              aggregate; (2) a running sum
               P(t) = sum of points at or before t is split into the total of
               earlier time buckets (a per-entity cumulative over at most
               span/bucket rows) plus a running sum inside the
               (entity, bucket) partition; (3) the window value is
               P(t) - P(t - N*86400 - 1), the second term read by a probe
               row placed at t - N*86400 - 1.  No task ever holds more than
-              one entity-bucket of points, whatever the skew.
+              one entity-bucket of points, whatever the skew.  Any bucket
+              size is exact; it only trades task size against the length
+              of the per-entity bucket series.
 
 Entity features (N3/N4) only need the windows that end at each entity's
 last event; ``windows_at_latest`` computes exactly those from two partial
@@ -55,8 +58,6 @@ def rolling_features(df: DataFrame, entity: str, ts: str = "event_ts", value: st
         return _direct(df, entity, ts, value, id_col, windows, prefix_sum, prefix_cnt, prefix_avg)
     if method != "bucketed":
         raise ValueError(f"unknown method {method!r}")
-    if any((n * DAY) % bucket_seconds for n in windows):
-        raise ValueError("every window must be a whole number of buckets")
     feats = _bucketed_points(df, entity, ts, value, id_col, windows, bucket_seconds,
                              prefix_sum, prefix_cnt, prefix_avg)
     keyed = df.withColumn("_e", epoch_seconds(ts))

@@ -263,7 +263,7 @@ def test_bucketed_equals_window(spark):
     hot = p.withColumn("merchant_id", F.lit("hot"))      # every row on one key
     for df, key in ((p, "customer_id"), (hot, "merchant_id")):
         a = fe.rolling_features(df, key, method="window", prefix_avg="avg")
-        for bucket in (3600, 86400):
+        for bucket in (3600, 86400, 7 * 3600 + 13):
             b = fe.rolling_features(df, key, method="bucketed", bucket_seconds=bucket, prefix_avg="avg")
             assert a.exceptAll(b.select(a.columns)).count() == 0
             assert b.count() == a.count()
