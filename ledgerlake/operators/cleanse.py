@@ -68,5 +68,9 @@ def duplicate_stats(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def except_distinct(left: DataFrame, right: DataFrame) -> DataFrame:
-    """SQL ``EXCEPT`` (distinct, NULL-safe). Identical rows collapse."""
-    return left.subtract(right)
+    """SQL ``EXCEPT`` (distinct, NULL-safe). Identical rows collapse.
+
+    The right side is de-duplicated first (a partial aggregate), so many
+    copies of one row on either side are reduced map-side before the anti
+    join's shuffle."""
+    return left.subtract(right.distinct())
