@@ -76,7 +76,12 @@ def run_silver_cleanse(lake: Lake, report_date: str | None, run_id: str) -> dict
     raw = bronze(lake, PAYMENT, report_date).select(
         "event_type", "transaction_id", "merchant_id", "customer_id", "amount", "currency",
         "gateway", "region", "timestamp", "ingest_timestamp")
-    classified = cl.cast_and_classify(raw).persist(StorageLevel.MEMORY_AND_DISK)
+    classified = cl.cast_and_classify(raw)
+    # one day feeds two outputs: cache it once.  A catch-up over the whole
+    # history is scanned twice instead of being cached whole.
+    cached = report_date is not None
+    if cached:
+        classified = classified.persist(StorageLevel.MEMORY_AND_DISK)
     valid, quarantined = cl.split_classified(classified)
     o_in, o_out = Observation(), Observation()
     valid = valid.observe(o_in, F.count(F.lit(1)).alias("n"))
@@ -87,7 +92,8 @@ def run_silver_cleanse(lake: Lake, report_date: str | None, run_id: str) -> dict
                 partition_by=["payment_date"], check_unique=False)
     q = lake.replace_partitions(quarantined.withColumn("run_id", F.lit(run_id)),
                                 "silver", "quarantine_payments", ["run_id"])
-    classified.unpersist()
+    if cached:
+        classified.unpersist()
     before, after = int(o_in.get["n"]), int(o_out.get["n"])
     return {"records_processed": after, "duplicates_removed": before - after, "quarantined": q}
 
