@@ -129,6 +129,28 @@ class Lake:
         return self._write(df, layer, table, "overwrite", partition_by, dynamic=True,
                            rebalance=rebalance)
 
+    def replace_partition(self, df: DataFrame, layer: str, table: str,
+                          value: dict) -> int:
+        """W3 with ``replaceWhere`` semantics for one partition value, e.g.
+        ``{"report_date": "2024-01-15"}``: afterwards the partition holds
+        exactly ``df``, also when ``df`` is empty (the partition is removed).
+        Rows outside the partition are an error, counted on the write itself
+        and never written (the table is left as it was).
+        """
+        cols = list(value)
+        inside = F.lit(True)
+        for c, v in value.items():
+            inside = inside & (F.col(c) == F.lit(v).cast(df.schema[c].dataType))
+        obs = Observation()
+        checked = df.observe(obs, F.count_if(~F.coalesce(inside, F.lit(False))).alias("outside")) \
+            .filter(inside)
+        n = self._write(checked, layer, table, "overwrite", cols, dynamic=True)
+        if int(obs.get.get("outside", 0)):
+            raise ValueError(f"rows outside partition {value} were written to {layer}.{table}")
+        if n == 0:
+            self._delete(self.path(layer, table) + "/" + "/".join(f"{c}={v}" for c, v in value.items()))
+        return n
+
     def stage(self, df: DataFrame) -> DataFrame:
         """Cut lineage: write ``df`` to a fresh table in the shared checkpoint
         folder and read it back, so a later overwrite never reads the files

@@ -119,7 +119,10 @@ def run_reconciliation(lake: Lake, report_date: str | None, tolerance: str = DEF
     led = led.observe(obs, F.count(F.lit(1)).alias("rows"),
                       F.count_if(s == "discrepancy_flagged").alias("discrepancies"),
                       F.count_if(s == "awaiting_settlement").alias("awaiting_settlement"))
-    lake.replace_partitions(led, "silver", "reconciliation_ledger", ["payment_date"])
+    if report_date is None:
+        lake.replace_partitions(led, "silver", "reconciliation_ledger", ["payment_date"])
+    else:
+        lake.replace_partition(led, "silver", "reconciliation_ledger", {"payment_date": report_date})
     m = {k: int(v) for k, v in obs.get.items()}
     return {"reconciled": m["rows"] - m["discrepancies"] - m["awaiting_settlement"],
             "discrepancies": m["discrepancies"], "awaiting_settlement": m["awaiting_settlement"]}
@@ -137,9 +140,14 @@ def run_gold(lake: Lake, report_date: str | None, optimize: bool = False) -> dic
     merchants = lake.read("bronze", "merchant_reference") if lake.exists("bronze", "merchant_reference") \
         else None
     daily = go.daily_merchant_summary(pay, merchants)
-    n1 = lake.replace_partitions(daily, "gold", "daily_merchant_summary", ["report_date"])
     hourly = go.hourly_volume(pay).withColumn("report_date", F.to_date("hour"))
-    n2 = lake.replace_partitions(hourly, "gold", "hourly_transaction_volume", ["report_date"])
+    if report_date is None:
+        n1 = lake.replace_partitions(daily, "gold", "daily_merchant_summary", ["report_date"])
+        n2 = lake.replace_partitions(hourly, "gold", "hourly_transaction_volume", ["report_date"])
+    else:   # the date ends up holding exactly the recomputed rows, even none
+        part = {"report_date": report_date}
+        n1 = lake.replace_partition(daily, "gold", "daily_merchant_summary", part)
+        n2 = lake.replace_partition(hourly, "gold", "hourly_transaction_volume", part)
     return {"merchant_summary_records": n1, "hourly_volume_records": n2, "report_date": report_date}
 
 

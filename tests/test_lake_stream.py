@@ -314,3 +314,16 @@ def test_cli_seed_nightly_optimize(spark):
     r = run("optimize")
     assert r.returncode == 0, r.stderr[-2000:]
     assert "silver.cleansed_transactions" in _json.loads(r.stdout.strip().splitlines()[-1])
+
+
+def test_replace_partition_clears_a_date_that_became_empty(spark, lake):
+    a = _rows(spark, 5)
+    b = _rows(spark, 3, 100).withColumn("d", F.lit("2026-01-02").cast("date"))
+    lake.overwrite(a.unionByName(b), "gold", "t", ["d"])
+    assert lake.replace_partition(b.limit(0), "gold", "t", {"d": "2026-01-02"}) == 0
+    assert {str(r.d) for r in lake.read("gold", "t").select("d").distinct().collect()} == {"2026-01-01"}
+    assert lake.replace_partition(b.limit(1), "gold", "t", {"d": "2026-01-02"}) == 1
+    assert lake.read("gold", "t").count() == 6
+    with pytest.raises(ValueError):
+        lake.replace_partition(a, "gold", "t", {"d": "2026-01-02"})
+    assert lake.read("gold", "t").count() == 6          # untouched by the refused call
