@@ -33,8 +33,25 @@ def _pick(values, u: Column) -> Column:
     return F.element_at(arr, (F.floor(u * len(values)) + 1).cast("int"))
 
 
-def _iso(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+def _iso(ts: Column, suffix: str = "Z") -> Column:
+    """ISO-8601 text of a UTC wall-clock timestamp; ``suffix`` ``+00:00Z``
+    reproduces tz-aware ``isoformat() + "Z"`` producers."""
+    return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), F.lit(suffix))
+
+
+def day_weights(days_back: int, seed: int, spread: float = 0.2) -> list[float]:
+    """Cumulative share of events per day: each day's volume is a fixed
+    factor in [1 - spread, 1 + spread] (from a hash of seed and day)."""
+    import hashlib
+    f = []
+    for d in range(days_back):
+        h = int.from_bytes(hashlib.sha256(f"{seed}:{d}".encode()).digest()[:8], "big") / 2 ** 64
+        f.append(1 - spread + 2 * spread * h)
+    tot, acc, cum = sum(f), 0.0, []
+    for x in f:
+        acc += x
+        cum.append(acc / tot)
+    return cum
 
 
 def merchant_reference(spark: SparkSession, merchant_count: int = 500, seed: int = 7) -> DataFrame:
@@ -50,19 +67,25 @@ def merchant_reference(spark: SparkSession, merchant_count: int = 500, seed: int
 
 def synthetic_events(driver: DataFrame, ordinal: str, anchor_date: str, days_back: int = 90,
                      seed: int = 42, merchants: int = 500, customers: int = 10000,
-                     discrepancy_rate: float = 0.0) -> DataFrame:
+                     discrepancy_rate: float = 0.0, daily_spread: float = 0.2,
+                     ts_suffix: str = "Z") -> DataFrame:
     """S9 (+S10, S11): the union-schema event stream derived from ``driver``.
 
     ``ordinal`` is a unique column of ``driver`` (e.g. ``id`` of
-    ``spark.range`` or a table key).  Payments get a day ``1..days_back``
-    before ``anchor_date`` and a random second of that day (S11); amounts
+    ``spark.range`` or a table key).  Payments get one of the ``days_back``
+    days ending at ``anchor_date`` -- each day's volume a fixed factor in
+    1 +/- ``daily_spread`` -- and a random second of that day (S11); amounts
     1.00-50,000.00; refunds 10-100 % of their payment; chargebacks the full
     amount; settlements 5-20x a payment with 1.5-3 % fees.  With
     ``discrepancy_rate`` > 0 that share of settlements is cut by 3-15 %
     and its net recomputed (S10).
     """
     o = F.col(ordinal).cast("long")
-    day = F.date_sub(F.lit(anchor_date).cast("date"), (F.floor(_u(o, seed, 1) * days_back) + 1).cast("int"))
+    # day k (1 = the anchor day) by inverse CDF over per-day volume factors
+    cum = F.array(*[F.lit(c) for c in day_weights(days_back, seed, daily_spread)[:-1]])
+    u1 = _u(o, seed, 1)
+    k = F.size(F.filter(cum, lambda c: c <= u1)) + 1
+    day = F.date_sub(F.lit(anchor_date).cast("date"), (k - 1).cast("int"))
     ts = F.timestamp_add("SECOND", F.floor(_u(o, seed, 2) * 86400).cast("long"),
                          day.cast("timestamp_ntz"))
     amount = (F.lit(100) + F.floor(_u(o, seed, 3) * 4_999_901)).cast("double") / 100
@@ -76,7 +99,7 @@ def synthetic_events(driver: DataFrame, ordinal: str, anchor_date: str, days_bac
         cols = {f.name: F.lit(None).cast(f.dataType) for f in UNION_SCHEMA.fields}
         cols["event_type"] = F.lit(kind)
         cols["merchant_id"] = F.col("_m")
-        cols["timestamp"] = _iso(F.col("_ts"))
+        cols["timestamp"] = _iso(F.col("_ts"), ts_suffix)
         return cols
 
     def emit(df: DataFrame, cols: dict[str, Column]) -> DataFrame:

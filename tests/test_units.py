@@ -325,3 +325,33 @@ def test_default_report_date_and_checkpoint_path():
         root = "s3a://lake"
     assert default_report_date(date(2026, 3, 1)) == "2026-02-28"
     assert checkpoint_path(L, "kafka_payments", "bronze_events") == "s3a://lake/_checkpoints/kafka_payments__bronze_events"
+
+
+def test_synthetic_daily_spread_and_references(spark):
+    from ledgerlake.sources.synthetic import day_weights, synthetic_events
+    cum = day_weights(30, 42)
+    shares = [b - a for a, b in zip([0.0] + cum[:-1], cum)]
+    assert abs(cum[-1] - 1.0) < 1e-12
+    assert 0.8 / 30 / 1.01 < min(shares) and max(shares) < 1.2 / 30 * 1.01 and max(shares) / min(shares) > 1.2
+    ev = synthetic_events(spark.range(60000), "id", "2026-01-31", days_back=30)
+    pay = ev.filter(F.col("event_type") == "payment_created")
+    per_day = [r[1] for r in pay.groupBy(F.substring("timestamp", 1, 10)).count().collect()]
+    assert len(per_day) == 30 and max(per_day) / min(per_day) > 1.15
+    kids = ev.filter(F.col("original_tx_id").isNotNull()).select("original_tx_id")
+    parents = pay.select(F.col("transaction_id").alias("parent_tx"))
+    assert kids.join(parents, kids.original_tx_id == parents.parent_tx, "left_anti").count() == 0
+    mix = {r[0]: r[1] for r in ev.groupBy("event_type").count().collect()}
+    total = sum(mix.values())
+    assert abs(mix["payment_created"] / total - 0.80) < 0.01
+    assert abs(mix["refund_initiated"] / total - 0.10) < 0.01
+    assert abs(mix["chargeback_filed"] / total - 0.02) < 0.005
+    assert abs(mix["settlement_processed"] / total - 0.08) < 0.01
+
+
+def test_synthetic_isoformat_z_suffix_ingests(spark):
+    from ledgerlake.sources.synthetic import synthetic_events
+    ev = synthetic_events(spark.range(500), "id", "2026-01-31", days_back=3, ts_suffix="+00:00Z")
+    assert ev.first().timestamp.endswith("+00:00Z")
+    routed = ig.ingest_frame(ev)
+    assert routed.filter(F.col("event_ts").isNull()).count() == 0
+    assert routed.filter(F.col("target_table") == "dead_letter").count() == 0
