@@ -327,3 +327,31 @@ def test_replace_partition_clears_a_date_that_became_empty(spark, lake):
     with pytest.raises(ValueError):
         lake.replace_partition(a, "gold", "t", {"d": "2026-01-02"})
     assert lake.read("gold", "t").count() == 6          # untouched by the refused call
+
+
+def test_reference_end_to_end_case(spark, lake):
+    """800 payments and 8 settlements of 5,000 for merch_1 through every layer."""
+    from ledgerlake.operators.ingest import conform
+    from ledgerlake.plans.nightly import ingest_batch, run_nightly
+    from ledgerlake.schemas import UNION_SCHEMA
+    pays = [("payment_created", f"txn_{i}", "merch_1", f"cust_{i % 37}", 10.0 + i % 90, "USD",
+             "stripe", "us-east", f"2026-03-15T{i % 24:02d}:{i % 60:02d}:00Z") for i in range(800)]
+    pay_df = spark.createDataFrame(pays, "event_type string, transaction_id string, merchant_id string,"
+                                         " customer_id string, amount double, currency string, gateway string,"
+                                         " region string, timestamp string")
+    st = spark.createDataFrame([("settlement_processed", f"batch_{i}", "merch_1", 5000.0, 100.0, 4900.0,
+                                 "2026-03-15T23:00:00Z") for i in range(8)],
+                               "event_type string, batch_id string, merchant_id string, gross_amount double,"
+                               " fees double, net_amount double, timestamp string")
+    ev = conform(pay_df, UNION_SCHEMA).unionByName(conform(st, UNION_SCHEMA))
+    c = ingest_batch(lake, ev, 1)
+    assert (c["raw_payments"], c["raw_settlements"]) == (800, 8)
+    out = run_nightly(lake, "2026-03-15", "e2e", clock=F.lit("2026-03-16 00:00:00").cast("timestamp"))
+    assert out["silver_cleanse"]["records_processed"] == 800
+    assert out["reconciliation"]["discrepancies"] == 1          # 800 payments != 40,000 settled
+    assert out["gold_aggregation"]["merchant_summary_records"] == 1
+    assert out["gold_aggregation"]["hourly_volume_records"] == 24
+    assert out["merchant_analytics"]["records"] == 1
+    assert out["feature_store"] == {"customer_features": 37, "merchant_features": 1}
+    led = lake.read("silver", "reconciliation_ledger").first()
+    assert float(led.settled_amount) == 40000.0
