@@ -91,6 +91,32 @@ class Lake:
             return self.read(layer, table)
         return self.spark.createDataFrame([], schema)
 
+    def tables(self) -> list[tuple[str, str]]:
+        """(layer, table) of every table directory under the root."""
+        fs, root = self._fs(self.root)
+        out = []
+        if not fs.exists(root):
+            return out
+        for layer in fs.listStatus(root):
+            name = layer.getPath().getName()
+            if not layer.isDirectory() or name.startswith(("_", ".")):
+                continue
+            for t in fs.listStatus(layer.getPath()):
+                tn = t.getPath().getName()
+                if t.isDirectory() and not tn.startswith(("_", ".")) and self.exists(name, tn):
+                    out.append((name, tn))
+        return sorted(out)
+
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Expose every table as a temp view ``{prefix}{layer}_{table}`` for
+        ``spark.sql`` (session-scoped; nothing is written to a catalog)."""
+        names = []
+        for layer, table in self.tables():
+            name = f"{prefix}{layer}_{table}"
+            self.read(layer, table).createOrReplaceTempView(name)
+            names.append(name)
+        return names
+
     # --------------------------------------------------------- writes
     @staticmethod
     def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:

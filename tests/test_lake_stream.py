@@ -355,3 +355,10 @@ def test_reference_end_to_end_case(spark, lake):
     assert out["feature_store"] == {"customer_features": 37, "merchant_features": 1}
     led = lake.read("silver", "reconciliation_ledger").first()
     assert float(led.settled_amount) == 40000.0
+
+
+def test_register_views_for_sql(spark, lake):
+    lake.overwrite(_rows(spark, 3), "gold", "daily")
+    lake.append(_rows(spark, 2), "silver", "tx", ["d"])
+    assert lake.register_views("t_") == ["t_gold_daily", "t_silver_tx"]
+    assert spark.sql("SELECT count(*) AS n FROM t_silver_tx").first().n == 2
