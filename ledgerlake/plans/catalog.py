@@ -462,7 +462,7 @@ def j7(spark, sf):
     p = fx.v_payments(spark, sf).select(F.col("transaction_id").alias("p_tx"),
                                         F.col("merchant_id").alias("payment_merchant_id"),
                                         money("amount").alias("payment_amount"))
-    return r.join(p, r.original_tx_id == p.p_tx, "left").select(
+    return rc.parent_lookup(r, p, "original_tx_id", "p_tx", "left").select(
         "refund_id", "original_tx_id", "payment_merchant_id", "payment_amount",
         money("refund_amount").alias("refund_amount"), F.col("p_tx").isNotNull().alias("parent_found"))
 

@@ -36,7 +36,14 @@ def main():
         "merchant_id", F.when(hot, F.lit("hot")).otherwise(F.col("merchant_id")))
     st = fx.li_settlements(spark, sf).withColumn(
         "merchant_id", F.when(F.col("batch_id").rlike("_[12]$"), F.lit("hot")).otherwise(F.col("merchant_id")))
+    # children whose parent key is hot for ~30 % of rows (refunds of one payment)
+    kids = p.select(F.when(hot, F.lit("hot")).otherwise(F.col("transaction_id")).alias("ref"),
+                    "amount_decimal", "event_ts")
+    parents = p.select(F.col("transaction_id").alias("tx")).unionByName(
+        spark.createDataFrame([("hot",)], "tx string")).distinct()
     runs = {
+        "j7 parent lookup, plain join": lambda: rc.parent_lookup(kids, parents, "ref", "tx", "left", None),
+        "j7 parent lookup, salted": lambda: rc.parent_lookup(kids, parents, "ref", "tx", "left", 10_000),
         "n2 rolling, plain window": lambda: fe.rolling_features(p, "merchant_id", method="window"),
         "n2 rolling, bucketed": lambda: fe.rolling_features(p, "merchant_id", method="bucketed"),
         "n4 features, per-event window + latest": lambda: fe.merchant_features(p, method="window"),

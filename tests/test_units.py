@@ -355,3 +355,17 @@ def test_synthetic_isoformat_z_suffix_ingests(spark):
     routed = ig.ingest_frame(ev)
     assert routed.filter(F.col("event_ts").isNull()).count() == 0
     assert routed.filter(F.col("target_table") == "dead_letter").count() == 0
+
+
+def test_salted_join_equals_plain_join_with_a_hot_key(spark):
+    from ledgerlake.functions.skew import salted_join
+    many = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), (F.col("id") % 50).cast("string")))
+        .alias("ref"), F.col("id").alias("row"))
+    one = spark.createDataFrame([("hot", 1)] + [(f"k{i}", i) for i in range(0, 50, 2)], "key string, v int")
+    for how in ("left", "inner", "left_anti", "left_semi"):
+        plain = many.join(one, many.ref == one.key, how)
+        salted = salted_join(many, one, "ref", "key", how, salts=8, min_rows=500)
+        assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, plain.select(salted.columns).collect())), how
+    plan = salted_join(many, one, "ref", "key", "left", salts=8, min_rows=500)
+    assert plan.filter(F.col("ref") == "hot").count() == 1000
