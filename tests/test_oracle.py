@@ -63,7 +63,7 @@ def test_ledger_status_counts_match_fixture(spark):
 
 
 SCRATCH = {"w1_append_read_back", "w3_replace_partitions", "w7_delete_rows", "r1_nightly_gold",
-           "r1_catchup_gold", "t1_stream_ingest", "t3_stream_batch_counters", "t5_hourly_stream"}
+           "r1_catchup_gold", "r2_gold_with_optimize", "t1_stream_ingest", "t3_stream_batch_counters", "t5_hourly_stream"}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - SCRATCH))
