@@ -1013,7 +1013,8 @@ def t5(spark, sf):
     valid = cl.cast_and_classify(fx.events_as_payments(src).filter(F.col("event_type") == PAYMENT)
                                  .withColumnRenamed("event_key", "transaction_id")) \
         .filter(F.col("quarantine_reason").isNull())
-    start_hourly_stream(lake, valid, f"{lake.root}/_checkpoint/hourly").awaitTermination()
+    start_hourly_stream(lake, valid, f"{lake.root}/_checkpoint/hourly",
+                        state_partitions=spark.sparkContext.defaultParallelism).awaitTermination()
     return lake.read("gold", "hourly_volume_live")
 
 

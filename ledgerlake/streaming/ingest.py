@@ -114,16 +114,31 @@ def hourly_volume_stream(payments: DataFrame, watermark: str = "2 hours",
 
 
 def start_hourly_stream(lake, payments: DataFrame, checkpoint: str, layer: str = "gold",
-                        table: str = "hourly_volume_live", watermark: str = "2 hours") -> StreamingQuery:
+                        table: str = "hourly_volume_live", watermark: str = "2 hours",
+                        state_partitions: int | None = None) -> StreamingQuery:
     """T5 sink: update mode + ``foreachBatch`` upsert on (hour, currency,
     region).  Every batch rewrites the hours it changed, so the table is
-    always complete (open hours included) and replaying a batch is a no-op."""
+    always complete (open hours included) and replaying a batch is a no-op.
+
+    ``state_partitions`` fixes the number of state-store partitions when the
+    stream is first started (it is then kept in the checkpoint); the query
+    runs in a clone of the session, so the session's own setting is
+    restored right after ``start()``."""
     keys = ["hour", "currency", "region"]
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
             lake.upsert(batch, layer, table, keys, check_unique=False)
 
-    return (hourly_volume_stream(payments, watermark).writeStream.outputMode("update")
-            .foreachBatch(upsert).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+    writer = (hourly_volume_stream(payments, watermark).writeStream.outputMode("update")
+              .foreachBatch(upsert).option("checkpointLocation", checkpoint)
+              .trigger(availableNow=True))
+    if state_partitions is None:
+        return writer.start()
+    conf = lake.spark.conf
+    before = conf.get("spark.sql.shuffle.partitions")
+    conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        conf.set("spark.sql.shuffle.partitions", before)
