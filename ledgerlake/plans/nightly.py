@@ -62,7 +62,7 @@ def bronze(lake: Lake, kind: str, report_date: str | None = None) -> DataFrame:
     from ..schemas import BRONZE_SCHEMA
     df = lake.read("bronze", "events", BRONZE_SCHEMA).filter(F.col("target_table") == BRONZE_TABLE[kind])
     if report_date:
-        y, m, d = report_date.split("-")
+        y, m, d = str(report_date).split("-")
         df = df.filter((F.col("year") == y) & (F.col("month") == m) & (F.col("day") == d))
     return df
 
@@ -98,8 +98,8 @@ def run_silver_cleanse(lake: Lake, report_date: str | None, run_id: str) -> dict
     return {"records_processed": after, "duplicates_removed": before - after, "quarantined": q}
 
 
-def _dated(df: DataFrame, col: str, report_date: str | None) -> DataFrame:
-    return df if report_date is None else df.filter(F.col(col) == _day(report_date))
+def _dated(df: DataFrame, col: str, report_date: str | date | None) -> DataFrame:
+    return df if report_date is None else df.filter(F.col(col) == _day(str(report_date)))
 
 
 def run_reconciliation(lake: Lake, report_date: str | None, tolerance: str = DEFAULT_TOLERANCE,
@@ -122,7 +122,7 @@ def run_reconciliation(lake: Lake, report_date: str | None, tolerance: str = DEF
     if report_date is None:
         lake.replace_partitions(led, "silver", "reconciliation_ledger", ["payment_date"])
     else:
-        lake.replace_partition(led, "silver", "reconciliation_ledger", {"payment_date": report_date})
+        lake.replace_partition(led, "silver", "reconciliation_ledger", {"payment_date": str(report_date)})
     m = {k: int(v) for k, v in obs.get.items()}
     return {"reconciled": m["rows"] - m["discrepancies"] - m["awaiting_settlement"],
             "discrepancies": m["discrepancies"], "awaiting_settlement": m["awaiting_settlement"]}
@@ -145,7 +145,7 @@ def run_gold(lake: Lake, report_date: str | None, optimize: bool = False) -> dic
         n1 = lake.replace_partitions(daily, "gold", "daily_merchant_summary", ["report_date"])
         n2 = lake.replace_partitions(hourly, "gold", "hourly_transaction_volume", ["report_date"])
     else:   # the date ends up holding exactly the recomputed rows, even none
-        part = {"report_date": report_date}
+        part = {"report_date": str(report_date)}
         n1 = lake.replace_partition(daily, "gold", "daily_merchant_summary", part)
         n2 = lake.replace_partition(hourly, "gold", "hourly_transaction_volume", part)
     return {"merchant_summary_records": n1, "hourly_volume_records": n2, "report_date": report_date}

@@ -362,3 +362,12 @@ def test_register_views_for_sql(spark, lake):
     lake.append(_rows(spark, 2), "silver", "tx", ["d"])
     assert lake.register_views("t_") == ["t_gold_daily", "t_silver_tx"]
     assert spark.sql("SELECT count(*) AS n FROM t_silver_tx").first().n == 2
+
+
+def test_stages_accept_date_objects(spark, lake):
+    from datetime import date as _date
+    from ledgerlake.plans.nightly import ingest_batch, run_nightly
+    from ledgerlake.sources.synthetic import synthetic_events
+    ingest_batch(lake, synthetic_events(spark.range(500), "id", "2026-01-31", days_back=2), 1)
+    out = run_nightly(lake, _date(2026, 1, 31), "d", clock=F.lit("2026-02-01 00:00:00").cast("timestamp"))
+    assert out["gold_aggregation"]["merchant_summary_records"] > 0
