@@ -4,7 +4,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, secrets, topk
+from . import bpe, mixing, secrets, tokenstore, topk
+from .common import shared_path
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +21,18 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secrets.spans_text(F.col("spans")).alias("spans"))
 
 
+def tokenizer_path(name: str) -> str:
+    """Place of a public tokenizer file; the package is there on every node."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op5_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = bpe.encode_documents(_docs(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
+    return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (mixing.mix_sources(_docs(spark, sf_dir))
             .select("doc_id", "size", "source_size", "target", "taken"))
@@ -30,10 +43,18 @@ def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_topk(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
 
 
+def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenstore.write_store(_docs(spark, sf_dir), shared_path(spark, "token-store"),
+                                  tokenizer_path("word_bpe_49k.json"), end_id=2)
+    return tokenstore.read_all(spark, path)
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op5_bpe_roundtrip": op5_bpe_roundtrip,
     "op6_source_mix": op6_source_mix,
     "op8_exact_topk": op8_exact_topk,
+    "op10_token_store": op10_token_store,
 }
 
 ORACLE = {
