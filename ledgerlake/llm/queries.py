@@ -4,8 +4,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, secrets, tokenstore, topk
-from .common import shared_path
+from . import bpe, language, mixing, parsing, secrets, tokenstore, topk
+from .common import held_out, shared_path
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +21,12 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secrets.spans_text(F.col("spans")).alias("spans"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _docs(spark, sf_dir)
+    return (language.predict(docs, language.learn(docs))
+            .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"))
+
+
 def tokenizer_path(name: str) -> str:
     """Place of a public tokenizer file; the package is there on every node."""
     import public_tokenizers
@@ -43,6 +49,10 @@ def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_topk(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
 
 
+def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parsing.edited_likeness(_docs(spark, sf_dir))
+
+
 def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenstore.write_store(_docs(spark, sf_dir), shared_path(spark, "token-store"),
                                   tokenizer_path("word_bpe_49k.json"), end_id=2)
@@ -51,9 +61,11 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_language_id": op2_language_id,
     "op5_bpe_roundtrip": op5_bpe_roundtrip,
     "op6_source_mix": op6_source_mix,
     "op8_exact_topk": op8_exact_topk,
+    "op9_fingerprint": op9_fingerprint,
     "op10_token_store": op10_token_store,
 }
 
