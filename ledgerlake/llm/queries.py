@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language, mixing, parsing, secrets, tokenstore, topk
+from . import bpe, html, language, mixing, parsing, secrets, tokenstore, topk, toxicity
 from .common import held_out, shared_path
 
 
@@ -27,6 +27,11 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"))
 
 
+def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html.extract_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def tokenizer_path(name: str) -> str:
     """Place of a public tokenizer file; the package is there on every node."""
     import public_tokenizers
@@ -44,6 +49,14 @@ def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "size", "source_size", "target", "taken"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _docs(spark, sf_dir)
+    scorer = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return (toxicity.score_texts(docs, scorer)
+            .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                    (F.col("score") >= 0.5).cast("int").alias("predicted")))
+
+
 def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.quantise(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
     return topk.exact_topk(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
@@ -62,8 +75,10 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_language_id": op2_language_id,
+    "op3_html_extract": op3_html_extract,
     "op5_bpe_roundtrip": op5_bpe_roundtrip,
     "op6_source_mix": op6_source_mix,
+    "op7_toxicity": op7_toxicity,
     "op8_exact_topk": op8_exact_topk,
     "op9_fingerprint": op9_fingerprint,
     "op10_token_store": op10_token_store,
