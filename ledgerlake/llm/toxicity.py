@@ -182,7 +182,7 @@ def _sample(docs: DataFrame, labels: DataFrame, per_class: int, max_chars: int)
                 .select("text", "toxic")), counts
 
 
-def toxic_words(docs: list[set[str]], y: np.ndarray, min_share: float, odds: float, enough: int = 3) -> set[str]:
+def toxic_words(docs: list[set[str]], y: np.ndarray, min_share: float, odds: float, enough: int = 6) -> set[str]:
     """Words that mark toxic documents, by greedy cover.
 
     Of the words whose odds stand out, the one in most toxic documents that
