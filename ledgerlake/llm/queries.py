@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html, language, mixing, parsing, secrets, tokenstore, topk, toxicity
+from . import bpe, html, jaccard, language, mixing, parsing, secrets, tokenstore, topk, toxicity
 from .common import held_out, shared_path
 
 
@@ -32,6 +32,11 @@ def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    members, _ = jaccard.near_duplicates(_docs(spark, sf_dir), words=4, percent=85)
+    return members.select("doc_id", "n_shingles", "component_id")
+
+
 def tokenizer_path(name: str) -> str:
     """Place of a public tokenizer file; the package is there on every node."""
     import public_tokenizers
@@ -76,6 +81,7 @@ QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_language_id": op2_language_id,
     "op3_html_extract": op3_html_extract,
+    "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_bpe_roundtrip": op5_bpe_roundtrip,
     "op6_source_mix": op6_source_mix,
     "op7_toxicity": op7_toxicity,
