@@ -38,7 +38,9 @@ KEPT_WORDS, CHARS = 900_000, 4_000_000
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 #: Separators that Python's split takes for white space and the file's pattern does not.
 _ODD = re.compile("[\x1c-\x1f]")
-_NULL_KEY = np.uint64(0x9E3779B97F4A7C15)
+_NULL_KEY = np.uint64(0xC2B2AE3D27D4EB4F)
+#: Constants of the 64-bit mix, and seeds tried together for a bucket.
+_STEP, _START, SEEDS = np.array([0x9E3779B97F4A7C15], np.uint64), np.uint64(0x632BE59BD9B4E019), 64
 
 
 class WordEncoder:
@@ -122,9 +124,9 @@ def encode_rows(path: str, end_id: int) -> Callable:
     return run
 
 
-def mix64(x: np.ndarray, seed: int) -> np.ndarray:
+def mix64(x: np.ndarray, seed) -> np.ndarray:
     """A 64-bit mix of keys (splitmix's finaliser)."""
-    x = x.astype(np.uint64) + np.uint64((seed * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) & (2 ** 64 - 1))
+    x = x + (np.asarray(seed, np.uint64) * _STEP + _START)
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
@@ -156,13 +158,15 @@ def build_mph(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if sizes[b] < 2:
             break
         own, seed = order[ends[b]:ends[b + 1]], 0
-        while True:
-            at = (mix64(keys[own], 3 + seed) % np.uint64(n)).astype(np.int64)
-            if not used[at].any() and len(set(at.tolist())) == len(at):
+        while True:                                   # SEEDS seeds at a time
+            at = _slots_of(keys[own][:, None], np.arange(seed, seed + SEEDS)[None, :], n)
+            near = np.sort(at, axis=0)
+            good = np.flatnonzero(~(used[at].any(axis=0) | (near[1:] == near[:-1]).any(axis=0)))
+            if len(good):
                 break
-            seed += 1
-        seeds[b], slots[own] = seed, at
-        used[at] = True
+            seed += SEEDS
+        seeds[b], slots[own] = seed + good[0], at[:, good[0]]
+        used[at[:, good[0]]] = True
     free = np.flatnonzero(~used)
     lone = np.flatnonzero(sizes == 1)
     seeds[lone] = -free - 1
@@ -170,14 +174,13 @@ def build_mph(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return seeds, slots
 
 
+def _slots_of(keys: np.ndarray, seed: np.ndarray, n: int) -> np.ndarray:
+    return (mix64(keys, 3 + seed) % np.uint64(n)).astype(np.int64)
+
+
 def find_slots(keys: np.ndarray, seeds: np.ndarray, n: int) -> np.ndarray:
     seed = seeds[(mix64(keys, 2) % np.uint64(len(seeds))).astype(np.int64)].astype(np.int64)
-    step = np.uint64(0x9E3779B97F4A7C15)
-    x = keys + (seed + 3).astype(np.uint64) * step + np.uint64(0x632BE59BD9B4E019)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    hashed = ((x ^ (x >> np.uint64(31))) % np.uint64(n)).astype(np.int64)
-    return np.where(seed < 0, -seed - 1, hashed)
+    return np.where(seed < 0, -seed - 1, _slots_of(keys, np.maximum(seed, 0), n))
 
 
 _SHARD_T = [("pid", pa.int32()), ("seq", pa.int64()), ("first_key", pa.int64()), ("last_key", pa.int64()),
