@@ -1,6 +1,7 @@
 """Helpers shared by the operators of this folder."""
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -13,6 +14,16 @@ from ..session import checkpoint_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """An input table.  Python workers are told where this package lies, for
+    drivers that found it through their own path only."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH")]))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage through a reliable checkpoint in the shared folder."""
     checkpoint_dir(df.sparkSession)

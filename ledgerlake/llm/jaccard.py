@@ -336,8 +336,9 @@ def heads_allow(p: bytes, q: bytes, percent: int) -> bool:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4,
                     percent: int = 85) -> tuple[DataFrame, DataFrame]:
     """(members, links).  members: doc_id, text_key (hash of the text), node
-    (class, NULL without a set), n_shingles and component_id of every row;
-    links: the linked classes (a, b) that tie the components."""
+    (class, NULL without a set), group (the component's least class),
+    n_shingles and component_id of every row; links: the linked classes
+    (a, b) that tie the components."""
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
                         ).withColumn("text_key", F.xxhash64("text"))
@@ -368,7 +369,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = rows.join(tied, "node", "left").withColumn("group", F.coalesce("component", "node"))
     least = (named.filter("group IS NOT NULL").groupBy("group").agg(F.min("doc_id").alias("least")))
     members = (named.join(least, "group", "left")
-                    .select("doc_id", "text_key", "node", F.col("n").cast("long").alias("n_shingles"),
+                    .select("doc_id", "text_key", "node", "group", F.col("n").cast("long").alias("n_shingles"),
                             F.when(F.col("group").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id")))
     return members, links
 
@@ -404,3 +405,21 @@ def _rest(members: DataFrame, tied: DataFrame, long, percent: int, parts: int) -
             yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], ["a", "b"])
 
     return pairs.mapInArrow(short_or_reached, "a long, b long").distinct()
+
+
+def keep_one(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
+    """``docs`` with one row of each component: the smallest id (NULL last),
+    then the smallest text hash.  Rows without a set all stay."""
+    members, _ = near_duplicates(docs, words=words, percent=percent)
+    order = F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "text_key")
+    rows = (members.groupBy("group", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("copies")))
+    least = rows.filter("group IS NOT NULL").groupBy("group").agg(F.min(order).alias("least"))
+    kept = rows.join(least, "group", "left").filter(
+        F.col("group").isNull() | (F.col("text_key").eqNullSafe(F.col("least.text_key"))
+                                   & F.col("doc_id").eqNullSafe(F.col("least.doc_id"))))
+    kept = kept.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"),
+                       ((F.col("copies") > 1) & F.col("group").isNotNull()).alias("_repeated"))
+    named = docs.withColumn("_own", F.xxhash64(F.col("text").cast("string")))
+    joined = named.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_key")))
+    once = joined.filter("_repeated").dropDuplicates(["_id", "_key"])
+    return joined.filter("NOT _repeated").unionByName(once).select(*docs.columns)

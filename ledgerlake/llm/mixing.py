@@ -141,3 +141,18 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  .select("doc_id", "source", "size", "source_size", "target",
                          F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
                          *[f"k_{c}" for c in keep]))
+
+
+def take_documents(docs: DataFrame, block_tokens: int = 1024, seed: str = "0") -> DataFrame:
+    """``docs`` as the mix takes them: each row as often as its taken words
+    make whole copies (rounded), so rows that the mix leaves out go."""
+    key = F.xxhash64("doc_id", "text", "source")
+    keyed = docs.withColumn("_row", key)
+    mixed = mix_sources(keyed, block_tokens=block_tokens, seed=seed, keep=["_row"])
+    copies = F.floor(F.col("taken") / F.greatest("size", F.lit(1)) + 0.5)
+    total = (mixed.groupBy("k__row").agg(F.sum(copies).cast("long").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
+                  .withColumnRenamed("k__row", "_row").filter("_copies > 0"))
+    nth = F.row_number().over(W.partitionBy("_row").orderBy("_row"))      # equal rows share their copies
+    own = F.floor((F.col("_copies") + F.col("_rows") - F.col("_nth")) / F.col("_rows")).cast("int")
+    return (keyed.join(total, "_row").withColumn("_nth", nth).withColumn("_own", own)
+                 .withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_own")))).select(*docs.columns))

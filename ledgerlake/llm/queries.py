@@ -5,11 +5,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, html, jaccard, language, mixing, parsing, secrets, tokenstore, topk, toxicity
-from .common import held_out, shared_path
+from .common import held_out, shared_path, table
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return table(spark, sf_dir, "documents")
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,7 +28,7 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = html.extract_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    found = html.extract_pages(table(spark, sf_dir, "pages"))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
@@ -56,14 +56,14 @@ def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _docs(spark, sf_dir)
-    scorer = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scorer = toxicity.learn(docs, table(spark, sf_dir, "labels"))
     return (toxicity.score_texts(docs, scorer)
             .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                     (F.col("score") >= 0.5).cast("int").alias("predicted")))
 
 
 def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = topk.quantise(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    vectors = topk.quantise(table(spark, sf_dir, "embeddings"))
     return topk.exact_topk(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
 
 

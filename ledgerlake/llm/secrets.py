@@ -170,3 +170,19 @@ def redact(text: Column, spans: Column, mask: str = "[SECRET]") -> Column:
     return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(
         spans, zero, step,
         lambda acc: F.concat(acc["out"], F.substring(text, acc["pos"] + 1, F.length(text)))))
+
+
+def redact_documents(docs: DataFrame, mask: str = "[SECRET]", window: int = 200) -> DataFrame:
+    """``docs`` with every found span masked and n_chars counted anew; all
+    rows stay.  Only rows that hold some candidate meet the found spans."""
+    any_part = "|".join(f"(?:{pre}{val})" for pre, val in
+                        [(p, v) for _, p, v, _ in STRONG] + [(p, v) for _, p, v, _, _ in WEAK])
+    touched = F.coalesce(F.col("text").rlike(any_part), F.lit(False))
+    some = docs.filter(touched)
+    found = (scan_secrets(some, window=window).filter(F.size("spans") > 0)
+             .groupBy("text_key").agg(F.first("spans").alias("_spans")).withColumnRenamed("text_key", "_key"))
+    spans = F.coalesce("_spans", F.array().cast(f"array<{_SPAN}>"))
+    masked = (some.join(found, F.xxhash64(F.col("doc_id"), F.col("text").cast("string")) == F.col("_key"), "left")
+                  .withColumn("text", redact(F.col("text"), spans, mask)).select(*docs.columns))
+    out = docs.filter(~touched).unionByName(masked)
+    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out

@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .bpe import _batch
 from .common import batches, held_out
@@ -276,3 +277,17 @@ def score_texts(docs: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_co
     return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
                 .mapInArrow(run, f"doc_id long, {_RESULT}"))
 
+
+def append_scores(docs: DataFrame, scorer: Scorer, text_col: str = "text", score_col: str = "toxicity") -> DataFrame:
+    """``docs`` with the score of each row in ``score_col``."""
+    shared = docs.sparkSession.sparkContext.broadcast(scorer)     # 2^HASH_BITS weights
+    schema = T.StructType([*docs.schema.fields, T.StructField(score_col, T.DoubleType())])
+
+    def run(stream):
+        for b in stream:
+            texts, scores = b.column(b.schema.get_field_index(text_col)), []
+            for some in batches(range(b.num_rows), lambda i: len(texts[i].as_py() or "") + 20, CHARS):
+                scores += shared.value.score([(texts[i].as_py() or "").split() for i in some])[0]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores, pa.float64())], [*b.schema.names, score_col])
+
+    return docs.mapInArrow(run, schema)
