@@ -2,7 +2,8 @@
 
 1. Documents are split into words (a word keeps the space before it) and
    packed into blocks.  A block sends its distinct words, dealt by word hash,
-   and its documents as positions in that block's word list.
+   and (from a second reading, so that they are shuffled once) its documents
+   as positions in that block's word list.
 2. The task that owns a word encodes it once, whatever number of blocks hold
    it, and returns the ids to each block in the order of its word list.
 3. Per block, ids are joined back by position; decoding joins every id with
@@ -20,6 +21,7 @@ other columns are ignored.
 """
 from __future__ import annotations
 
+import hashlib
 import os
 import re
 import zlib
@@ -29,7 +31,6 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,12 +38,12 @@ from .common import batches
 
 #: Characters of a block, distinct words kept by an encoding task at a time,
 #: and characters of an output batch.
-BLOCK_CHARS, KEPT_WORDS, OUT_CHARS = 12_000_000, 1_500_000, 2_000_000
+BLOCK_CHARS, KEPT_WORDS, OUT_CHARS = 24_000_000, 1_500_000, 2_000_000
 #: ``part`` of the rows that hold a block's documents; word lists have their hash part.
 _DOCS = 1 << 30
 _SPACED = re.compile(r" (?=\S)")
 _AWKWARD = re.compile(r" (?=\s|$)|\n(?=\s|$)")
-_PACKED = "key long, block long, part int, ids array<long>, counts array<int>, data binary"
+_WORD_LISTS = "block long, part int, data binary"
 _ENCODED = "block long, part int, ids array<long>, counts array<int>, data binary"
 _RESULT = "doc_id long, n_tokens long, ids binary, decoded string"
 
@@ -123,7 +124,7 @@ def positions(text: str, special: re.Pattern | None, plain: _Words, spaced: _Wor
 
 def pack(*parts: bytes) -> bytes:
     head = np.array([len(p) for p in parts], "<u8").tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(bytes([len(parts)]) + head + b"".join(parts))
+    return zstandard.ZstdCompressor(level=3).compress(bytes([len(parts)]) + head + b"".join(parts))
 
 
 def unpack(data: bytes) -> list[bytes]:
@@ -133,13 +134,23 @@ def unpack(data: bytes) -> list[bytes]:
     return [raw[a:b] for a, b in zip([1 + 8 * n, *ends], ends)]
 
 
+def planes(x: np.ndarray) -> bytes:
+    """Small numbers byte by byte: first all low bytes, and so on."""
+    return np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def from_planes(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
 def _batch(schema: list[tuple[str, pa.DataType]], rows: list[tuple]) -> pa.RecordBatch:
     cols = list(zip(*rows)) if rows else [[] for _ in schema]
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(cols, schema)], [n for n, _ in schema])
 
 
-_PACKED_T = [("key", pa.int64()), ("block", pa.int64()), ("part", pa.int32()), ("ids", pa.list_(pa.int64())),
-             ("counts", pa.list_(pa.int32())), ("data", pa.binary())]
+_WORDS_T = [("block", pa.int64()), ("part", pa.int32()), ("data", pa.binary())]
+_ENCODED_T = [("block", pa.int64()), ("part", pa.int32()), ("ids", pa.list_(pa.int64())),
+              ("counts", pa.list_(pa.int32())), ("data", pa.binary())]
 
 
 def _documents(stream: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, str]]:
@@ -148,52 +159,48 @@ def _documents(stream: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, s
             yield i, t.as_py() or ""
 
 
-def split_blocks(path: str, parts: int) -> Callable:
-    """Step 1: rows of word lists (key: their part) and of documents."""
+def split_blocks(path: str, parts: int, documents: bool) -> Callable:
+    """Step 1: the blocks' documents, or else their word lists (key: the part).
+
+    A block is named by its content, so both readings of the table agree on
+    the names; blocks of equal content are interchangeable.
+    """
 
     def run(stream):
         special = specials(path)
-        first = TaskContext.get().partitionId() << 32
-        for block, docs in enumerate(batches(_documents(stream), lambda d: len(d[1]) + 20, BLOCK_CHARS), first):
+        for docs in batches(_documents(stream), lambda d: len(d[1]) + 20, BLOCK_CHARS):
             words: list[str] = []
             plain, spaced = _Words(words), _Words(words, " ")
             codes = [np.array(positions(t, special, plain, spaced), np.uint32) for _, t in docs]
             del plain, spaced
             raw = [w.encode() for w in words]
+            name = hashlib.blake2b(np.concatenate(codes).tobytes() + b"\0".join(raw), digest_size=8).digest()
+            block = int.from_bytes(name, "little", signed=True)
             part = np.fromiter(map(zlib.crc32, raw), np.uint32, len(raw)) % parts
+            if documents:
+                yield _batch(_ENCODED_T, [(block, _DOCS, [i for i, _ in docs], [len(c) for c in codes],
+                                           pack(planes(np.concatenate(codes)), planes(part)))])
+                continue
             order = np.argsort(part, kind="stable")
-            place = np.empty(len(order), np.uint32)
-            place[order] = np.arange(len(order), dtype=np.uint32)
             ends = np.searchsorted(part[order], np.arange(parts + 1))
             for p in range(parts):
                 own = order[ends[p]:ends[p + 1]]
                 if len(own):
-                    yield _batch(_PACKED_T, [(p, block, p, None, None, pack(
-                        np.array([len(raw[i]) for i in own], "<u4").tobytes(), b"".join(raw[i] for i in own)))])
-            yield _batch(_PACKED_T, [(block, block, _DOCS, [i for i, _ in docs], [len(c) for c in codes],
-                                      pack(place[np.concatenate(codes)].tobytes()))])
-            del docs, codes, words, raw
+                    yield _batch(_WORDS_T, [(block, p, pack(planes(np.array([len(raw[i]) for i in own])),
+                                                            b"".join(raw[i] for i in own)))])
     return run
 
 
-_ENCODED_T = _PACKED_T[1:]
-
-
 def encode_words(path: str) -> Callable:
-    """Step 2: each distinct word of the task's parts is encoded once; rows of
-    documents pass.  The table of words is emptied at KEPT_WORDS."""
+    """Step 2: each distinct word of the task's parts is encoded once.  The
+    table of words is emptied at KEPT_WORDS."""
 
     def run(stream):
         t, known = tokenizer(path), {}
         for b in stream:
-            cols = [b.column(n) for n, _ in _ENCODED_T]
-            for row in zip(*cols):
-                block, part, ids, counts, data = (x.as_py() for x in row)
-                if part == _DOCS:
-                    yield _batch(_ENCODED_T, [(block, part, ids, counts, data)])
-                    continue
-                sizes, raw = unpack(data)
-                ends = np.cumsum(np.frombuffer(sizes, "<u4"))
+            for block, part, data in zip(*(b.column(n) for n, _ in _WORDS_T)):
+                sizes, raw = unpack(data.as_py())
+                ends = np.cumsum(from_planes(sizes)).tolist()
                 words = [raw[a:e] for a, e in zip([0, *ends], ends)]
                 if len(known) > KEPT_WORDS:
                     known.clear()
@@ -202,8 +209,8 @@ def encode_words(path: str) -> Callable:
                     for w, e in zip(some, t.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)):
                         known[w] = np.array(e.ids, "<u4").tobytes()
                 out = [known[w] for w in words]
-                yield _batch(_ENCODED_T, [(block, part, None, None, pack(
-                    np.array([len(o) // 4 for o in out], "<u4").tobytes(), b"".join(out)))])
+                yield _batch(_WORDS_T, [(block.as_py(), part.as_py(), pack(
+                    planes(np.array([len(o) // 4 for o in out])), planes(np.frombuffer(b"".join(out), "<u4"))))])
     return run
 
 
@@ -228,20 +235,26 @@ def join_positions(path: str) -> Callable:
     """Step 3: a block's word parts, then its documents, sorted by part."""
 
     def run(stream):
-        at, lists = None, []
+        at, lists = None, {}
         for b in stream:
             for row in zip(*(b.column(n) for n, _ in _ENCODED_T)):
                 block, part, doc_ids, counts, data = (x.as_py() for x in row)
                 if block != at:
-                    at, lists = block, []
+                    at, lists = block, {}
                 if part != _DOCS:
-                    lists.append(unpack(data))
+                    lists[part] = unpack(data)
                     continue
-                sizes = np.frombuffer(b"".join(x[0] for x in lists), "<u4").astype(np.int64)
-                flat = np.frombuffer(b"".join(x[1] for x in lists), "<u4")
-                starts = np.cumsum(sizes) - sizes
-                codes = np.frombuffer(unpack(data)[0], np.uint32)
-                lists, lo = [], np.cumsum([0, *counts])
+                none = [np.empty(0, "<u4")]
+                sizes = np.concatenate(none + [from_planes(x[0]) for x in lists.values()]).astype(np.int64)
+                flat = np.concatenate(none + [from_planes(x[1]) for x in lists.values()])
+                codes, owner = map(from_planes, unpack(data))
+                if len(owner) != len(sizes):
+                    raise RuntimeError("a block's word lists are incomplete")
+                # word lists stand part by part, each in the order in which the block met the words
+                place = np.argsort(np.argsort(owner, kind="stable"), kind="stable")
+                starts = (np.cumsum(sizes) - sizes)[place]
+                sizes = sizes[place]
+                lo = np.cumsum([0, *counts])
                 docs = ((i, codes[a:e]) for i, a, e in zip(doc_ids, lo, lo[1:]))
                 for some in batches(docs, lambda d: 8 * len(d[1]) + 64, OUT_CHARS):
                     out = []
@@ -257,6 +270,8 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
     text decoded from those ids) of every row."""
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return (rows.mapInArrow(split_blocks(path, 4 * n), _PACKED).repartition(n, "key")
-                .mapInArrow(encode_words(path), _ENCODED).repartition(n, "block")
-                .sortWithinPartitions("block", "part").mapInArrow(join_positions(path), _RESULT))
+    lists = (rows.mapInArrow(split_blocks(path, 2 * n, documents=False), _WORD_LISTS).repartition(n, "part")
+                 .mapInArrow(encode_words(path), _WORD_LISTS))
+    blocks = rows.mapInArrow(split_blocks(path, 2 * n, documents=True), _ENCODED)
+    return (blocks.unionByName(lists, allowMissingColumns=True).repartition(n, "block")
+                  .sortWithinPartitions("block", "part").mapInArrow(join_positions(path), _RESULT))
