@@ -4,6 +4,5 @@ from .scalars import (  # noqa: F401
     partition_strings, safe_ratio,
 )
 from .predicates import (  # noqa: F401
-    bronze_valid, first_failure, silver_valid, within_days,
+    bronze_valid, first_failure, within_days,
 )
-from .sizing import sized_broadcast  # noqa: F401

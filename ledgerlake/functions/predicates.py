@@ -1,4 +1,4 @@
-"""Filter predicates (F1, F2, F7) and first-failure classification."""
+"""Filter predicates (F1, F7) and first-failure classification."""
 from __future__ import annotations
 
 from collections.abc import Sequence
@@ -31,15 +31,6 @@ def bronze_valid(key="transaction_id", merchant="merchant_id", amount="amount")
         F.lit(False))
 
 
-def silver_valid(currencies: Sequence[str]) -> Column:
-    """F2 over the cast columns produced by cleanse (NULL -> false)."""
-    return F.coalesce(
-        F.col("amount_decimal").isNotNull() & (F.col("amount_decimal") > 0)
-        & F.col("currency").isin(list(currencies)) & F.col("event_ts").isNotNull()
-        & F.col("merchant_id").isNotNull() & F.col("customer_id").isNotNull(),
-        F.lit(False))
-
-
 def within_days(d, anchor, days: int) -> Column:
     """``anchor - days <= d <= anchor`` (inclusive both ends)."""
     a = _c(anchor)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -79,16 +80,19 @@ class Lake:
             fs.delete(p, True)
 
     # ---------------------------------------------------------- reads
-    def read(self, layer: str, table: str, schema: StructType | None = None) -> DataFrame:
-        path = self.path(layer, table)
-        if schema is not None:
-            return self.spark.read.schema(schema).parquet(path)
-        return self.spark.read.option("mergeSchema", "true").parquet(path)
+    def read(self, layer: str, table: str, schema: StructType | None = None,
+             merge_schema: bool = False) -> DataFrame:
+        """With a declared ``schema`` no footer is read while planning;
+        ``merge_schema`` reads the footers of all files, so ask for it only
+        where files of several schemas are expected and none is declared."""
+        r = self.spark.read.schema(schema) if schema is not None else \
+            self.spark.read.option("mergeSchema", str(merge_schema).lower())
+        return r.parquet(self.path(layer, table))
 
     def read_or_empty(self, layer: str, table: str, schema: StructType) -> DataFrame:
         """The table, or an empty frame of the declared schema."""
         if self.exists(layer, table):
-            return self.read(layer, table)
+            return self.read(layer, table, schema)
         return self.spark.createDataFrame([], schema)
 
     def tables(self) -> list[tuple[str, str]]:
@@ -141,7 +145,7 @@ class Lake:
 
     def append(self, df: DataFrame, layer: str, table: str,
                partition_by: Sequence[str] | None = None) -> int:
-        """Partitioned append; readers use ``mergeSchema`` for new columns."""
+        """Partitioned append; readers declare new columns (or merge schemas)."""
         return self._write(df, layer, table, "append", partition_by)
 
     def overwrite(self, df: DataFrame, layer: str, table: str,
@@ -160,79 +164,103 @@ class Lake:
         """W3 with ``replaceWhere`` semantics for one partition value, e.g.
         ``{"report_date": "2024-01-15"}``: afterwards the partition holds
         exactly ``df``, also when ``df`` is empty (the partition is removed).
-        Rows outside the partition are an error, counted on the write itself
-        and never written (the table is left as it was).
+        A row outside the partition is an error that stops the write before
+        anything is replaced.
         """
         cols = list(value)
         inside = F.lit(True)
         for c, v in value.items():
             inside = inside & (F.col(c) == F.lit(v).cast(df.schema[c].dataType))
-        obs = Observation()
-        checked = df.observe(obs, F.count_if(~F.coalesce(inside, F.lit(False))).alias("outside")) \
-            .filter(inside)
-        n = self._write(checked, layer, table, "overwrite", cols, dynamic=True)
-        if int(obs.get.get("outside", 0)):
-            raise ValueError(f"rows outside partition {value} were written to {layer}.{table}")
+        refuse = f"rows outside partition {value} of {layer}.{table}"
+        checked = df.filter(F.when(F.coalesce(inside, F.lit(False)), F.lit(True))
+                             .otherwise(F.raise_error(F.lit(refuse)).cast("boolean")))
+        try:
+            n = self._write(checked, layer, table, "overwrite", cols, dynamic=True)
+        except Exception as e:
+            if refuse in str(e):
+                raise ValueError(refuse) from e
+            raise
         if n == 0:
             self._delete(self.path(layer, table) + "/" + "/".join(f"{c}={v}" for c, v in value.items()))
         return n
 
-    def stage(self, df: DataFrame) -> DataFrame:
+    @contextmanager
+    def staged(self, df: DataFrame):
         """Cut lineage: write ``df`` to a fresh table in the shared checkpoint
-        folder and read it back, so a later overwrite never reads the files
-        it is replacing."""
+        folder and yield it read back, so an overwrite never reads the files
+        it replaces; the folder goes when the block ends."""
         d = checkpoint_dir(self.spark, f"{self.root}/_checkpoints")
         path = f"{d.rstrip('/')}/stage-{uuid.uuid4().hex}"
         df.write.parquet(path)
-        return self.spark.read.parquet(path)
+        try:
+            yield self.spark.read.schema(df.schema).parquet(path)
+        finally:
+            self._delete(path)
+
+    def _swap(self, merged: DataFrame, touched: DataFrame, layer: str, table: str,
+              partition_by: Sequence[str]) -> int:
+        """Replace the ``touched`` partitions by ``merged`` (staged rows); those
+        left without rows are removed.  Their names are streamed, one at a
+        time (a dynamic overwrite cannot express "no rows")."""
+        cols = list(partition_by)
+        n = self.replace_partitions(merged, layer, table, cols)
+        emptied = touched.select(*cols).exceptAll(merged.select(*cols).distinct())
+        for p in emptied.toLocalIterator():
+            sub = "/".join(f"{c}={'__HIVE_DEFAULT_PARTITION__' if p[c] is None else p[c]}" for c in cols)
+            self._delete(f"{self.path(layer, table)}/{sub}")
+        return n
 
     def upsert(self, source: DataFrame, layer: str, table: str, keys: Sequence[str],
-               update_columns: Sequence[str] | None = None,
-               partition_by: Sequence[str] | None = None, check_unique: bool = True) -> int:
+               update_columns: Sequence[str] | None = None, partition_by: Sequence[str] | None = None,
+               check_unique: bool = True, schema: StructType | None = None, null_safe: bool = False) -> int:
         """MERGE-like upsert; returns rows written.
 
         Only partitions touched by the source are read, merged and replaced
         (left-semi join on the partition columns, which Spark turns into
-        dynamic partition pruning).  Partition columns must be determined by
-        the key (a key never moves between partitions).
+        dynamic partition pruning).  A key that the source moves between
+        touched partitions moves; rows of its key in other partitions are
+        the caller's (see ``delete_keys``).
         """
         if check_unique and duplicate_keys(source, keys).limit(1).count() > 0:
             raise ValueError(f"source has duplicate keys on {list(keys)}")
         if not self.exists(layer, table):
             return self._write(source, layer, table, "overwrite", partition_by)
-        target = self.read(layer, table)
+        target = self.read(layer, table, schema)
         if partition_by:
             touched = source.select(*partition_by).distinct()
-            target = target.join(touched, list(partition_by), "left_semi")
-        merged = self.stage(upsert_frames(target, source, keys, update_columns))
-        if partition_by:
-            return self.replace_partitions(merged, layer, table, partition_by)
-        return self.overwrite(merged, layer, table)
+            same = [target[c].eqNullSafe(touched[c]) for c in partition_by]
+            target = target.join(touched, same, "left_semi")
+        with self.staged(upsert_frames(target, source, keys, update_columns, null_safe)) as merged:
+            if partition_by:
+                return self._swap(merged, touched, layer, table, partition_by)
+            return self.overwrite(merged, layer, table)
 
-    def delete_where(self, layer: str, table: str, predicate: Column,
-                     partition_by: Sequence[str]) -> int:
-        """Delete rows matching ``predicate``; returns rows deleted.
+    def _rewrite_without(self, t: DataFrame, gone: DataFrame, keep: DataFrame, layer: str, table: str,
+                         partition_by: Sequence[str]) -> int:
+        """Rewrite the partitions that hold rows of ``gone`` from ``keep``."""
+        cols = list(partition_by)
+        per = gone.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+        with self.staged(per) as touched:
+            deleted = touched.agg(F.sum("_n")).first()[0] or 0
+            if not deleted:
+                return 0
+            same = [keep[c].eqNullSafe(touched[c]) for c in cols]
+            with self.staged(keep.join(touched, same, "left_semi").select(*t.columns)) as kept:
+                self._swap(kept, touched, layer, table, cols)
+            return int(deleted)
 
-        Only partitions holding a matching row are rewritten.  A partition
-        left empty is removed as a directory (dynamic overwrite cannot
-        express "no rows").  The partition list is metadata-sized.
-        """
-        t = self.read(layer, table)
-        # rows to delete per partition, one (pruned) pass; partition-sized result
-        per = (t.filter(F.coalesce(predicate, F.lit(False))).groupBy(*partition_by)
-                .agg(F.count(F.lit(1)).alias("_n")).collect())
-        if not per:
-            return 0
-        deleted = sum(r["_n"] for r in per)
-        parts = [{c: r[c] for c in partition_by} for r in per]
-        touched = self.spark.createDataFrame(parts, t.select(*partition_by).schema)
-        keep = self.stage(t.join(F.broadcast(touched), list(partition_by), "left_semi")
-                           .filter(~F.coalesce(predicate, F.lit(False))))
-        kept_parts = {tuple(r) for r in keep.select(*partition_by).distinct().collect()}
-        for p in parts:
-            if tuple(p[c] for c in partition_by) not in kept_parts:
-                sub = "/".join(f"{c}={p[c]}" for c in partition_by)
-                self._delete(f"{self.path(layer, table)}/{sub}")
-        if kept_parts:
-            self.replace_partitions(keep.select(*t.columns), layer, table, partition_by)
-        return deleted
+    def delete_where(self, layer: str, table: str, predicate: Column, partition_by: Sequence[str],
+                     schema: StructType | None = None) -> int:
+        """Delete rows matching ``predicate``; returns rows deleted.  Only
+        partitions that hold a matching row are read again and rewritten."""
+        t = self.read(layer, table, schema)
+        hit = F.coalesce(predicate, F.lit(False))
+        return self._rewrite_without(t, t.filter(hit), t.filter(~hit), layer, table, partition_by)
+
+    def delete_keys(self, layer: str, table: str, keys: DataFrame, partition_by: Sequence[str],
+                    schema: StructType | None = None) -> int:
+        """Delete the rows whose columns equal a row of ``keys``."""
+        t = self.read(layer, table, schema)
+        on = [t[c] == keys[c] for c in keys.columns]
+        return self._rewrite_without(t, t.join(keys, on, "left_semi"), t.join(keys, on, "left_anti"),
+                                     layer, table, partition_by)

@@ -145,28 +145,19 @@ def _bucketed_points(df, entity, ts, value, id_col, windows, bucket, ps, pc, pa)
 def windows_at_latest(df: DataFrame, entity: str, ts: str = "event_ts", value: str = "amount_decimal",
                       id_col: str = "transaction_id", windows: Sequence[int] = DEFAULT_WINDOWS,
                       prefix_sum: str = "spend", prefix_cnt: str = "tx_count",
-                      prefix_avg: str | None = None,
-                      max_broadcast_rows: int | None = None,
-                      hot_key_rows: int | None = 1_000_000) -> DataFrame:
+                      prefix_avg: str | None = None) -> DataFrame:
     """N1/N2 + N3 without per-event windows: the RANGE-frame values of each
     entity's latest event, i.e. sums over points with
     ``e >= e_last - N*86400`` (every point is <= e_last).
 
     Both inputs are partial aggregates (points per second, latest second
-    per entity), so a hot entity never reaches one task as raw rows.  The
-    join is on ``entity``: broadcast when ``max_broadcast_rows`` is given
-    and the entity table is proven below it, else a join whose entities with
-    ``hot_key_rows`` or more points are salted over several tasks.
+    per entity), so a hot entity never reaches one task as raw rows; the
+    join's partitions hold one row per entity and second, and Spark may
+    split one of them, the other side being unique.
     """
-    from ..functions.sizing import sized_broadcast
-    from .reconcile import parent_lookup
     pts = _points(df, entity, ts, value, id_col)
     last = df.groupBy(F.col(entity).alias("_le")).agg(epoch_seconds(F.max(ts)).alias("_last"))
-    if max_broadcast_rows:
-        last = sized_broadcast(last, max_broadcast_rows)
-        j = pts.join(last, pts[entity] == last["_le"])
-    else:
-        j = parent_lookup(pts, last, entity, "_le", "inner", hot_key_rows)
+    j = pts.join(last, pts[entity] == last["_le"])
     aggs = []
     for n in windows:
         s_name, c_name, a_name = _names(prefix_sum, prefix_cnt, prefix_avg, n)

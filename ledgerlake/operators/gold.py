@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import hour_of, safe_ratio
-from ..functions.sizing import DEFAULT_MAX_BROADCAST_ROWS, sized_broadcast
 from ..schemas import MONEY
 
 
@@ -18,22 +17,21 @@ def _summary_aggs():
 
 
 def daily_merchant_summary(payments: DataFrame, merchants: DataFrame | None = None,
-                           report_date=None,
-                           max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                           report_date=None) -> DataFrame:
     """A1: per (merchant_id, report_date): count, total, avg, distinct customers.
 
     ``report_date`` (optional) filters before the aggregate; on a table
     partitioned by ``payment_date`` pass a filter on that column instead so
     it prunes directories.  The merchant dimension is joined after the
-    aggregate (rows = merchants x days) and broadcast only when its size
-    is proven below ``max_broadcast_rows`` (J2).
+    aggregate (rows = merchants x days); Spark's own byte threshold and
+    run-time statistics choose the join (J2).
     """
     d = F.to_date("event_ts")
     src = payments if report_date is None else payments.filter(d == F.lit(report_date).cast("date"))
     daily = src.groupBy("merchant_id", d.alias("report_date")).agg(*_summary_aggs())
     if merchants is None:
         return daily
-    return daily.join(sized_broadcast(merchants, max_broadcast_rows), "merchant_id", "left")
+    return daily.join(merchants, "merchant_id", "left")
 
 
 def hourly_volume(payments: DataFrame, report_date=None) -> DataFrame:

@@ -118,11 +118,10 @@ class VersionedTable:
         if v == 0:
             rows = snapshot.select(*self.keys, F.lit(INSERT).alias("op"), *payload)
         else:
-            cur = self.lake.stage(self.as_of(v - 1))
-            cf = change_feed(cur, snapshot, self.keys)
+            cf = change_feed(self.as_of(v - 1), snapshot, self.keys)
             rows = cf.select(*self.keys, F.col("change_type").alias("op"),
                              *[F.when(F.col("change_type") == DELETE, F.col(f"old_{c}"))
                                 .otherwise(F.col(f"new_{c}")).alias(c) for c in payload])
-        rows = rows.withColumn("version", F.lit(v).cast("bigint"))
-        self.lake.append(rows, self.layer, self.table, ["version"])
-        return v
+        with self.lake.staged(rows.withColumn("version", F.lit(v).cast("bigint"))) as staged:
+            self.lake.append(staged, self.layer, self.table, ["version"])
+        return self.latest_version()

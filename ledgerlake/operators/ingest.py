@@ -96,14 +96,15 @@ def conform(df: DataFrame, schema) -> DataFrame:
     return df.select(*cols)
 
 
-def bronze_record(routed: DataFrame, batch_id: int) -> DataFrame:
+def bronze_record(routed: DataFrame, batch_id: int, source: str = "batch") -> DataFrame:
     """The fixed Bronze row (``schemas.BRONZE_SCHEMA``) of a routed frame.
 
     The raw payload is kept only for dead letters (D3), so valid events are
     not stored twice.
     """
     from ..schemas import BRONZE_SCHEMA
-    df = routed.withColumn("ingest_batch", F.lit(int(batch_id)).cast("long"))
+    df = (routed.withColumn("ingest_source", F.lit(source))
+                .withColumn("ingest_batch", F.lit(int(batch_id)).cast("long")))
     if "raw_value" in df.columns:
         df = df.withColumn("raw_value", F.when(F.col("target_table") == DEAD_LETTER, F.col("raw_value")))
     return conform(df, BRONZE_SCHEMA)

@@ -1,86 +1,21 @@
-"""Layout maintenance re-aimed as Spark jobs: clustering key and
-compaction (M1), table list optimisation (M5), write sizing (M6, M7)."""
+"""File maintenance as Spark jobs: clustered layout and compaction (M1, M5)."""
 from __future__ import annotations
 
 import math
 import time
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DateType, NumericType, TimestampNTZType, TimestampType)
 
-from ..functions.scalars import epoch_seconds
 
-
-def _numeric_proxy(df: DataFrame, c: str):
-    t = df.schema[c].dataType
-    if isinstance(t, NumericType):
-        return F.col(c).cast("double")
-    if isinstance(t, DateType):
-        return F.datediff(F.col(c), F.lit("1970-01-01").cast("date")).cast("double")
-    if isinstance(t, TimestampNTZType):
-        return epoch_seconds(F.col(c)).cast("double")
-    if isinstance(t, TimestampType):
-        return F.unix_micros(F.col(c)).cast("double")
-    return None
-
-
-def zorder_key(df: DataFrame, columns: Sequence[str], bits: int = 8,
-               rel_error: float = 0.001) -> DataFrame:
-    """Add ``_zkey``: bit-interleaved bins of ``columns`` (Morton order).
-
-    Numeric, date and timestamp columns are cut at approximate quantiles
-    (one distributed ``approxQuantile`` pass, 2**bits - 1 cut points, a
-    literal-sized result) so skewed values still spread over all bins.
-    Other types bin by ``xxhash64``, which clusters equal values.
-    """
-    bins = 1 << bits
-    out = df
-    proxies = {}
-    for c in columns:
-        p = _numeric_proxy(df, c)
-        if p is not None:
-            proxies[c] = p
-            out = out.withColumn(f"_zp_{c}", p)
-    cuts = {}
-    if proxies:
-        probs = [i / bins for i in range(1, bins)]
-        qs = out.approxQuantile([f"_zp_{c}" for c in proxies], probs, rel_error)
-        for c, q in zip(proxies, qs):
-            splits = sorted(set(q))
-            cuts[c] = [-math.inf] + splits + [math.inf]
-    bin_cols = []
-    for c in columns:
-        if c in cuts and len(cuts[c]) > 2:
-            b = Bucketizer(splits=cuts[c], inputCol=f"_zp_{c}", outputCol=f"_zb_{c}",
-                           handleInvalid="keep")
-            out = b.transform(out)
-            out = out.withColumn(f"_zb_{c}", F.least(F.col(f"_zb_{c}").cast("long"),
-                                                     F.lit(bins - 1)))
-        elif c in cuts:
-            out = out.withColumn(f"_zb_{c}", F.lit(0).cast("long"))
-        else:
-            out = out.withColumn(f"_zb_{c}", F.pmod(F.xxhash64(F.col(c)), F.lit(bins)))
-        bin_cols.append(f"_zb_{c}")
-    k = len(columns)
-    z = F.lit(0).cast("long")
-    for bit in range(bits):
-        for j, bc in enumerate(bin_cols):
-            z = z.bitwiseOR(F.shiftleft(F.shiftright(F.col(bc), bit).bitwiseAND(F.lit(1)),
-                                        bit * k + j))
-    drop = [f"_zp_{c}" for c in proxies] + bin_cols
-    return out.withColumn("_zkey", z).drop(*drop)
-
-
-def cluster(df: DataFrame, columns: Sequence[str], num_files: int, bits: int = 8) -> DataFrame:
-    """M1 layout: range-partition by the Z key into ``num_files`` partitions
-    and sort within each, so every file covers a compact box of the key
-    space and Parquet min/max statistics skip files for key predicates."""
-    z = zorder_key(df, columns, bits)
-    return (z.repartitionByRange(num_files, "_zkey").sortWithinPartitions("_zkey")
-             .drop("_zkey"))
+def cluster(df: DataFrame, columns: Sequence[str], num_files: int) -> DataFrame:
+    """M1 layout: rows range-partitioned and sorted by ``columns``, so the
+    Parquet statistics of a file cover a short range of the leading key,
+    whatever its type.  A row hash breaks ties, so a hot key is cut too."""
+    named = df.withColumn("_tie", F.xxhash64(*df.columns))
+    return (named.repartitionByRange(num_files, *columns, "_tie")
+                 .sortWithinPartitions(*columns, "_tie").drop("_tie"))
 
 
 def files_for_bytes(size_bytes: int, target_file_mb: int = 128) -> int:
@@ -89,11 +24,12 @@ def files_for_bytes(size_bytes: int, target_file_mb: int = 128) -> int:
 
 def optimize_table(lake, layer: str, table: str, cluster_by: Sequence[str] | None = None,
                    target_file_mb: int = 128, partition_by: Sequence[str] | None = None,
-                   where: dict | None = None) -> dict:
+                   where: dict | None = None, schema=None) -> dict:
     """M1: rewrite a table (or only the partition ``where``, e.g.
     ``{"payment_date": "2024-01-15"}``) into files of about
     ``target_file_mb``, optionally clustered; reports files before/after
-    and seconds taken.
+    and seconds taken.  ``partition_by`` must name the table's partition
+    columns: they lead the clustering, so a file task holds few of them.
 
     The new layout is staged in the shared checkpoint folder first, then
     swapped in (full overwrite, or dynamic overwrite of just the chosen
@@ -103,42 +39,28 @@ def optimize_table(lake, layer: str, table: str, cluster_by: Sequence[str] | Non
     t0 = time.time()
     sub = "/".join(f"{k}={v}" for k, v in where.items()) if where else None
     before = lake.file_count(layer, table, sub)
-    df = lake.read(layer, table)
+    df = lake.read(layer, table, schema)
     if where:
         for k, v in where.items():
             df = df.filter(F.col(k) == F.lit(v).cast(df.schema[k].dataType))
     n = files_for_bytes(lake.size_bytes(layer, table, sub), target_file_mb)
-    if cluster_by:
-        laid = cluster(df, cluster_by, n)
-    elif partition_by:
-        laid = df.repartition(n, *partition_by)
-    else:
-        laid = df.repartition(n)
-    staged = lake.stage(laid)
-    if where and partition_by:
-        rows = lake.replace_partitions(staged, layer, table, partition_by, rebalance=False)
-    else:
-        rows = lake.overwrite(staged, layer, table, partition_by, rebalance=False)
+    keys = [*(partition_by or []), *(c for c in cluster_by or [] if c not in (partition_by or []))]
+    laid = cluster(df, keys, n) if keys else df.repartition(n)
+    with lake.staged(laid) as staged:
+        if partition_by:
+            rows = lake.replace_partitions(staged, layer, table, partition_by, rebalance=False)
+        else:
+            rows = lake.overwrite(staged, layer, table, rebalance=False)
     return {"table": f"{layer}.{table}", "before": before, "after": lake.file_count(layer, table, sub),
             "rows": rows, "duration_s": time.time() - t0}
 
 
-def optimize_tables(lake, registry: Sequence[tuple[str, str, Sequence[str]]], **kw) -> dict:
-    """M5: optimise every existing table of a registry (layer, table, cluster columns)."""
+def optimize_tables(lake, registry: Sequence[tuple[str, str, Sequence[str], Sequence[str]]], **kw) -> dict:
+    """M5: optimise every existing table of a registry (layer, table, cluster
+    columns, partition columns); the partitioning stays as it is."""
     out = {}
-    for layer, table, cols in registry:
+    for layer, table, cols, parts in registry:
         if lake.exists(layer, table):
-            out[f"{layer}.{table}"] = optimize_table(lake, layer, table, list(cols) or None, **kw)
+            out[f"{layer}.{table}"] = optimize_table(lake, layer, table, list(cols) or None,
+                                                     partition_by=list(parts) or None, **kw)
     return out
-
-
-def repartition_for_write(df: DataFrame, estimated_rows: int, target_file_mb: int = 128,
-                          bytes_per_row: int = 1000) -> DataFrame:
-    """M6: about ``target_file_mb`` per output file for ``estimated_rows`` rows."""
-    mb = estimated_rows * bytes_per_row / 1_000_000
-    return df.repartition(max(1, int(mb / target_file_mb)))
-
-
-def coalesce_for_write(df: DataFrame, max_files: int = 50) -> DataFrame:
-    """M7: at most ``max_files`` output files without a shuffle."""
-    return df.coalesce(max_files)

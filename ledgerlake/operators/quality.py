@@ -52,13 +52,11 @@ def recency_check(df: DataFrame, day_col: str, anchor, days: int = 90) -> DataFr
                   F.count_if(~F.coalesce(inside, F.lit(False))).alias("stale_rows"))
 
 
-def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str,
-            hot_key_rows: int | None = 1_000_000) -> DataFrame:
-    """Child rows whose key has no parent (left anti join; a key with
-    ``hot_key_rows`` or more children is salted over several tasks)."""
+def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
+    """Child rows whose key has no parent (left anti join, hot keys salted)."""
     from .reconcile import parent_lookup
     p = parent.select(F.col(parent_key).alias("_pk")).distinct()
-    return parent_lookup(child, p, child_key, "_pk", "left_anti", hot_key_rows)
+    return parent_lookup(child, p, child_key, "_pk", "left_anti")
 
 
 def referential_integrity(child: DataFrame, parent: DataFrame, child_key: str,

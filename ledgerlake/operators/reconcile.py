@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import money, parse_event_ts
+from ..functions.skew import salted_join
 from ..schemas import AWAITING, DEFAULT_TOLERANCE, FLAGGED, MONEY, RECONCILED, WITHIN_TOLERANCE
 
 
@@ -126,21 +127,14 @@ def settlement_lag(pay_daily: DataFrame, settle_daily: DataFrame) -> DataFrame:
 
 
 def parent_lookup(children: DataFrame, parents: DataFrame, child_key: str, parent_key: str,
-                  how: str = "left", hot_key_rows: int | None = 1_000_000) -> DataFrame:
-    """Children (refunds, chargebacks) joined to their parent payment.
-
-    A parent with ``hot_key_rows`` or more children has its children spread
-    over salted tasks (``functions.skew.salted_join``); ``None`` plans a
-    plain join and leaves skew to AQE.
-    """
-    if hot_key_rows is None:
-        return children.join(parents, children[child_key] == parents[parent_key], how)
-    from ..functions.skew import salted_join
-    return salted_join(children, parents, child_key, parent_key, how, min_rows=hot_key_rows)
+                  how: str = "left") -> DataFrame:
+    """Children (refunds, chargebacks) joined to their parent payment;
+    a parent that holds a large share of the children has them spread over
+    salted tasks (``functions.skew.salted_join``)."""
+    return salted_join(children, parents, child_key, parent_key, how)
 
 
-def dispute_registry(chargebacks: DataFrame, payments: DataFrame,
-                     hot_key_rows: int | None = 1_000_000) -> DataFrame:
+def dispute_registry(chargebacks: DataFrame, payments: DataFrame) -> DataFrame:
     """A12 (+J7): each dispute joined to its original payment, latest event per dispute.
 
     ``registry_status``: ``orphan`` (no payment), ``amount_mismatch`` or
@@ -158,7 +152,7 @@ def dispute_registry(chargebacks: DataFrame, payments: DataFrame,
     pay = payments.select(F.col("transaction_id").alias("p_tx"),
                           money("amount").alias("payment_amount"),
                           F.col("merchant_id").alias("payment_merchant_id"))
-    j = parent_lookup(latest, pay, "original_tx_id", "p_tx", "left", hot_key_rows)
+    j = parent_lookup(latest, pay, "original_tx_id", "p_tx", "left")
     status = (F.when(F.col("p_tx").isNull(), F.lit("orphan"))
                .when(~F.coalesce(F.col("dispute_amount") == F.col("payment_amount"), F.lit(False)),
                      F.lit("amount_mismatch"))

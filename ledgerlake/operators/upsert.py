@@ -8,14 +8,15 @@ from pyspark.sql import functions as F
 
 
 def upsert_frames(target: DataFrame, source: DataFrame, keys: Sequence[str],
-                  update_columns: Sequence[str] | None = None) -> DataFrame:
+                  update_columns: Sequence[str] | None = None, null_safe: bool = False) -> DataFrame:
     """Merge ``source`` into ``target`` on ``keys``.
 
     * matched: columns in ``update_columns`` (all source columns when None)
       take the source value, the rest keep the target value;
     * source only: inserted (target-only columns NULL);
     * target only: kept unchanged.
-    NULL keys never match (as in SQL MERGE), so such source rows insert.
+    NULL keys never match (as in SQL MERGE), so such source rows insert;
+    with ``null_safe`` (keys of an aggregate) NULL equals NULL.
     Output columns: target columns, then new source columns.
 
     One sort-merge (or shuffled hash) join on the key; both sides shuffle by
@@ -28,7 +29,8 @@ def upsert_frames(target: DataFrame, source: DataFrame, keys: Sequence[str],
     cols = list(target.columns) + [c for c in source.columns if c not in target.columns]
     t = target.withColumn("_t_hit", F.lit(True)).alias("t")
     s = source.withColumn("_s_hit", F.lit(True)).alias("s")
-    cond = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
+    cond = [F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}")) if null_safe
+            else F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
     j = t.join(s, cond, "full_outer")
     s_hit = F.col("s._s_hit").isNotNull()
     t_hit = F.col("t._t_hit").isNotNull()

@@ -914,6 +914,11 @@ def _scratch_lake(spark, tag):
     return Lake(spark, f"{checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}")
 
 
+def _monthly(led):
+    from .incremental import payment_month
+    return led.withColumn("payment_month", payment_month("payment_date"))
+
+
 @register("w1_append_read_back", _sql("""
 SELECT event_type, event_key, merchant_id, amount, timestamp,
        strftime(try_cast(timestamp AS timestamp), '%Y') AS year,
@@ -942,10 +947,10 @@ def w3(spark, sf):
     pay = fx.li_payments(spark, sf)
     st = fx.li_settlements(spark, sf)
     empty = spark.createDataFrame([], SETTLEMENT_SCHEMA)
-    lake.overwrite(rc.reconcile(pay, empty), "silver", "ledger", ["payment_date"])
-    no_new_payments = pay.limit(0)
-    refresh_ledger(lake, pay, st, changed_ledger_dates(no_new_payments, st), table=("silver", "ledger"))
-    return lake.read("silver", "ledger")
+    lake.overwrite(_monthly(rc.reconcile(pay, empty)), "silver", "ledger", ["payment_month"])
+    no_new_payments = spark.createDataFrame([], pay.schema)
+    refresh_ledger(lake, pay, st, changed_ledger_dates(no_new_payments, st), table=("silver", "ledger"), monthly=True)
+    return lake.read("silver", "ledger").drop("payment_month")
 
 
 @register("w7_delete_rows", _sql("""
@@ -953,11 +958,11 @@ SELECT * FROM ledger_st
 WHERE NOT (year(payment_date) = 1995 OR reconciliation_status = 'awaiting_settlement')""", *LEDGER_CTES))
 def w7(spark, sf):
     lake = _scratch_lake(spark, "w7")
-    lake.overwrite(_ledger(spark, sf), "silver", "ledger", ["payment_date"])
-    lake.delete_where("silver", "ledger", F.year("payment_date") == 1995, ["payment_date"])
+    lake.overwrite(_monthly(_ledger(spark, sf)), "silver", "ledger", ["payment_month"])
+    lake.delete_where("silver", "ledger", F.year("payment_date") == 1995, ["payment_month"])
     lake.delete_where("silver", "ledger", F.col("reconciliation_status") == "awaiting_settlement",
-                      ["payment_date"])
-    return lake.read("silver", "ledger")
+                      ["payment_month"])
+    return lake.read("silver", "ledger").drop("payment_month")
 
 
 # ------------------------------------------------------------- nightly run
@@ -1015,7 +1020,7 @@ def t5(spark, sf):
         .filter(F.col("quarantine_reason").isNull())
     start_hourly_stream(lake, valid, f"{lake.root}/_checkpoint/hourly",
                         state_partitions=spark.sparkContext.defaultParallelism).awaitTermination()
-    return lake.read("gold", "hourly_volume_live")
+    return lake.read("gold", "hourly_volume_live").drop("day")
 
 
 @register("r2_gold_with_optimize", ORACLE["r1_nightly_gold"])

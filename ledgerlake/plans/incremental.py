@@ -1,7 +1,7 @@
 """Incremental Gold (M2): recompute only the dates whose inputs changed."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import gold
@@ -38,17 +38,30 @@ def changed_ledger_dates(new_payments: DataFrame, new_settlements: DataFrame) ->
     return p.unionByName(s).distinct()
 
 
+def payment_month(day) -> Column:
+    return F.date_format(day, "yyyy-MM")
+
+
 def refresh_ledger(lake, payments: DataFrame, settlements: DataFrame, dates: DataFrame,
-                   tolerance: str | None = None, table: tuple[str, str] = ("silver", "reconciliation_ledger")
-                   ) -> int:
+                   tolerance: str | None = None, table: tuple[str, str] = ("silver", "reconciliation_ledger"),
+                   monthly: bool = False) -> int:
     """Recompute the ledger for ``dates`` only and replace those date
-    partitions (the left-semi joins prune both inputs to the changed days)."""
+    partitions (the left-semi joins prune both inputs to the changed days).
+
+    ``monthly`` is for thin ledgers, partitioned by ``payment_month``: the
+    months of ``dates`` are recomputed, and a partition holds a month's rows
+    instead of a few.
+    """
     from ..functions.scalars import parse_event_ts
     from ..operators import reconcile as rc
     from ..schemas import DEFAULT_TOLERANCE
-    pay = payments.withColumn("payment_date", F.to_date("event_ts")) \
-        .join(dates, "payment_date", "left_semi").drop("payment_date")
-    st = settlements.withColumn("payment_date", F.to_date(parse_event_ts("timestamp"))) \
-        .join(dates, "payment_date", "left_semi").drop("payment_date")
-    led = rc.reconcile(pay, st, tolerance or DEFAULT_TOLERANCE)
-    return lake.replace_partitions(led, table[0], table[1], ["payment_date"])
+    unit = payment_month if monthly else (lambda d: d)
+    dates = dates.select(unit(F.col("payment_date")).alias("_unit")).distinct()
+    touched = lambda df, day: (df.withColumn("_unit", unit(F.to_date(day)))
+                                 .join(dates, "_unit", "left_semi").drop("_unit"))
+    led = rc.reconcile(touched(payments, F.col("event_ts")), touched(settlements, parse_event_ts("timestamp")),
+                       tolerance or DEFAULT_TOLERANCE)
+    if not monthly:
+        return lake.replace_partitions(led, table[0], table[1], ["payment_date"])
+    return lake.replace_partitions(led.withColumn("payment_month", unit(F.col("payment_date"))),
+                                   table[0], table[1], ["payment_month"])

@@ -22,19 +22,22 @@ from ..operators import gold as go
 from ..operators import maintenance as mt
 from ..operators import reconcile as rc
 from ..operators.ingest import bronze_record, conform, decode_events, ingest_frame
-from ..schemas import (BRONZE_TABLE, CHARGEBACK, DEFAULT_TOLERANCE, DEFAULT_WINDOWS, PAYMENT,
-                       REFUND, SETTLEMENT, UNION_SCHEMA)
+from ..schemas import (BRONZE_TABLE, CHARGEBACK, DEFAULT_TOLERANCE, DEFAULT_WINDOWS, LEDGER_SCHEMA,
+                       MERCHANT_SCHEMA, PAYMENT, REFUND, SETTLEMENT, SETTLEMENT_SCHEMA,
+                       SILVER_PAYMENT_SCHEMA, UNION_SCHEMA)
 from ..streaming.ingest import BRONZE_PARTITIONS
 
-# Tables the maintenance job compacts, with their clustering columns (M5).
+# Tables the maintenance job compacts: clustering and partition columns (M5).
 TABLES = (
-    ("silver", "cleansed_transactions", ("merchant_id", "customer_id")),
-    ("silver", "reconciliation_ledger", ("merchant_id",)),
-    ("gold", "daily_merchant_summary", ("merchant_id",)),
-    ("gold", "hourly_transaction_volume", ()),
-    ("gold", "ml_feature_store_customers", ("customer_id",)),
-    ("gold", "ml_feature_store_merchants", ("merchant_id",)),
+    ("silver", "cleansed_transactions", ("merchant_id", "customer_id"), ("payment_date",)),
+    ("silver", "reconciliation_ledger", ("merchant_id",), ("payment_date",)),
+    ("gold", "daily_merchant_summary", ("merchant_id",), ("report_date",)),
+    ("gold", "hourly_transaction_volume", ("hour",), ("report_date",)),
+    ("gold", "ml_feature_store_customers", ("customer_id",), ()),
+    ("gold", "ml_feature_store_merchants", ("merchant_id",), ()),
 )
+#: Quarantine partition of events without a usable time, which no day owns.
+NO_DAY = "no_event_time"
 
 
 def default_report_date(today: date | None = None) -> str:
@@ -44,12 +47,16 @@ def default_report_date(today: date | None = None) -> str:
 
 
 def ingest_batch(lake: Lake, events: DataFrame, batch_id: int, raw_json: bool = False,
-                 ingest_ts: Column | None = None) -> dict:
+                 ingest_ts: Column | None = None, source: str = "batch",
+                 dedup_keys: Sequence[str] | None = None) -> dict:
     """S3: validate, route and write one batch of events to Bronze in one
-    pass (single scan, one partitioned write); replaying ``batch_id``
-    replaces its partitions."""
+    pass (single scan, one partitioned write); replaying ``batch_id`` of the
+    same ``source`` replaces its partitions, other sources' stay.
+    ``dedup_keys`` (optional) keeps one event per key of the batch (D1)."""
     df = decode_events(events) if raw_json else conform(events, UNION_SCHEMA)
-    routed = bronze_record(ingest_frame(df, ingest_ts), batch_id)
+    if dedup_keys:
+        df = df.dropDuplicates(list(dedup_keys))
+    routed = bronze_record(ingest_frame(df, ingest_ts), batch_id, source)
     obs = Observation()
     counted = routed.observe(obs, *[F.count_if(F.col("target_table") == t).alias(t)
                                     for t in list(BRONZE_TABLE.values()) + ["dead_letter"]])
@@ -71,12 +78,21 @@ def _day(report_date: str) -> Column:
     return F.lit(report_date).cast("date")
 
 
+def silver_payments(lake: Lake) -> DataFrame:
+    return lake.read("silver", "cleansed_transactions", SILVER_PAYMENT_SCHEMA)
+
+
 def run_silver_cleanse(lake: Lake, report_date: str | None, run_id: str) -> dict:
-    """Bronze payments of the date -> C2 -> U1 -> upsert Silver; W6 quarantine."""
-    raw = bronze(lake, PAYMENT, report_date).select(
-        "event_type", "transaction_id", "merchant_id", "customer_id", "amount", "currency",
-        "gateway", "region", "timestamp", "ingest_timestamp")
-    classified = cl.cast_and_classify(raw)
+    """Bronze payments of the date -> C2 -> U1 -> upsert Silver; W6 quarantine.
+
+    A ``transaction_id`` has one Silver row, its latest event's, whichever
+    day that falls on, so runs by day and a catch-up agree.  Quarantine is
+    partitioned by the day processed and the run; events without a usable
+    time belong to no day and are quarantined (as a whole) by every run.
+    """
+    columns = ["event_type", "transaction_id", "merchant_id", "customer_id", "amount", "currency",
+               "gateway", "region", "timestamp", "ingest_timestamp"]
+    classified = cl.cast_and_classify(bronze(lake, PAYMENT, report_date).select(*columns))
     # one day feeds two outputs: cache it once.  A catch-up over the whole
     # history is scanned twice instead of being cached whole.
     cached = report_date is not None
@@ -88,16 +104,46 @@ def run_silver_cleanse(lake: Lake, report_date: str | None, run_id: str) -> dict
     silver = cl.dedup_latest(valid, ["transaction_id"], ["event_ts", "ingest_timestamp"]) \
         .withColumn("payment_date", F.to_date("event_ts")) \
         .observe(o_out, F.count(F.lit(1)).alias("n"))
-    lake.upsert(silver, "silver", "cleansed_transactions", ["transaction_id"],
-                partition_by=["payment_date"], check_unique=False)
-    q = lake.replace_partitions(quarantined.withColumn("run_id", F.lit(run_id)),
-                                "silver", "quarantine_payments", ["run_id"])
+    _merge_silver(lake, conform(silver, SILVER_PAYMENT_SCHEMA))
+    day = F.when(F.col("event_ts").isNull(), F.lit(NO_DAY)).otherwise(F.lit(report_date or "all"))
+    run = F.when(F.col("event_ts").isNull(), F.lit(NO_DAY)).otherwise(F.lit(run_id))
+    if cached:
+        undated = cl.cast_and_classify(bronze(lake, PAYMENT).filter(F.col("year").isNull()).select(*columns))
+        quarantined = quarantined.unionByName(undated.filter(F.col("quarantine_reason").isNotNull()))
+    q = lake.replace_partitions(quarantined.withColumn("quarantine_date", day).withColumn("run_id", run),
+                                "silver", "quarantine_payments", ["quarantine_date", "run_id"])
     if cached:
         classified.unpersist()
     before, after = int(o_in.get["n"]), int(o_out.get["n"])
     return {"records_processed": after, "duplicates_removed": before - after, "quarantined": q}
 
 
+def _merge_silver(lake: Lake, incoming: DataFrame) -> None:
+    """Upsert ``incoming`` (one row per id) so that every id keeps its latest
+    event over all days: ids found on other days are compared there (a
+    narrow scan of key and times), and the older row goes."""
+    table = ("silver", "cleansed_transactions")
+    order = ["event_ts", "ingest_timestamp"]
+    if not lake.exists(*table):
+        lake.upsert(incoming, *table, ["transaction_id"], partition_by=["payment_date"], check_unique=False)
+        return
+    with lake.staged(incoming) as new:
+        key = ["transaction_id", "payment_date", *order]
+        old = silver_payments(lake).select(*key).join(new.select("transaction_id"), "transaction_id", "left_semi")
+        best = (old.unionByName(new.select(*key)).groupBy("transaction_id")
+                   .agg(F.max_by("payment_date", F.struct(*order)).alias("best"),
+                        F.count_distinct("payment_date").alias("days")).filter("days > 1"))
+        with lake.staged(best) as moved:               # ids met on several days
+            late = new.join(moved, "transaction_id", "left").filter(
+                F.col("best").isNull() | (F.col("best") == F.col("payment_date"))).drop("best", "days")
+            lake.upsert(late, *table, ["transaction_id"], partition_by=["payment_date"], check_unique=False,
+                        schema=SILVER_PAYMENT_SCHEMA)
+            gone = (silver_payments(lake).select("transaction_id", "payment_date").join(moved, "transaction_id")
+                    .filter("payment_date <> best").select("transaction_id", "payment_date").distinct())
+            with lake.staged(gone) as keys:
+                lake.delete_keys(*table, keys, ["payment_date"], schema=SILVER_PAYMENT_SCHEMA)
+
+
 def _dated(df: DataFrame, col: str, report_date: str | date | None) -> DataFrame:
     return df if report_date is None else df.filter(F.col(col) == _day(str(report_date)))
 
@@ -106,11 +152,10 @@ def run_reconciliation(lake: Lake, report_date: str | None, tolerance: str = DEF
                        clock: Column | None = None) -> dict:
     """A5 for one date (or every date when ``report_date`` is None) -> replace
     those dates of the ledger; A6 counts come from the write."""
-    pay = _dated(lake.read("silver", "cleansed_transactions"), "payment_date", report_date)
+    pay = _dated(silver_payments(lake), "payment_date", report_date)
     if lake.exists("bronze", "events"):
         st = bronze(lake, SETTLEMENT, report_date)
     else:
-        from ..schemas import SETTLEMENT_SCHEMA
         st = lake.spark.createDataFrame([], SETTLEMENT_SCHEMA)
     led = rc.reconcile(pay, st, tolerance).withColumn(
         "reconciled_at", clock if clock is not None else F.current_timestamp())
@@ -134,11 +179,11 @@ def run_gold(lake: Lake, report_date: str | None, optimize: bool = False) -> dic
     if optimize:
         # compact (and cluster) only the Silver partition the run reads
         mt.optimize_table(lake, "silver", "cleansed_transactions", ["merchant_id", "customer_id"],
-                          partition_by=["payment_date"],
+                          partition_by=["payment_date"], schema=SILVER_PAYMENT_SCHEMA,
                           where=None if report_date is None else {"payment_date": report_date})
-    pay = _dated(lake.read("silver", "cleansed_transactions"), "payment_date", report_date)
-    merchants = lake.read("bronze", "merchant_reference") if lake.exists("bronze", "merchant_reference") \
-        else None
+    pay = _dated(silver_payments(lake), "payment_date", report_date)
+    merchants = lake.read("bronze", "merchant_reference", MERCHANT_SCHEMA) \
+        if lake.exists("bronze", "merchant_reference") else None
     daily = go.daily_merchant_summary(pay, merchants)
     hourly = go.hourly_volume(pay).withColumn("report_date", F.to_date("hour"))
     if report_date is None:
@@ -151,17 +196,33 @@ def run_gold(lake: Lake, report_date: str | None, optimize: bool = False) -> dic
     return {"merchant_summary_records": n1, "hourly_volume_records": n2, "report_date": report_date}
 
 
+def settlements(lake: Lake) -> DataFrame:
+    if lake.exists("bronze", "events"):
+        return bronze(lake, SETTLEMENT)
+    return lake.spark.createDataFrame([], SETTLEMENT_SCHEMA)
+
+
 def run_merchant_analytics(lake: Lake, clock: Column | None = None) -> dict:
-    pay = lake.read("silver", "cleansed_transactions")
+    """A9 with the settlement lag (A11) of each merchant."""
+    pay = silver_payments(lake)
     out = go.merchant_analytics(pay, bronze(lake, REFUND), bronze(lake, CHARGEBACK),
                                 clock if clock is not None else F.current_timestamp())
-    return {"records": lake.overwrite(out, "gold", "merchant_analytics")}
+    lag = rc.settlement_lag(rc.daily_payments(pay), rc.daily_settlements(settlements(lake)))
+    return {"records": lake.overwrite(out.join(lag, "merchant_id", "left"), "gold", "merchant_analytics")}
+
+
+def run_reports(lake: Lake) -> dict:
+    """The dispute registry and the reconciliation report."""
+    disputes = rc.dispute_registry(bronze(lake, CHARGEBACK), silver_payments(lake))
+    ledger = lake.read("silver", "reconciliation_ledger", LEDGER_SCHEMA)
+    return {"disputes": lake.overwrite(disputes, "silver", "dispute_registry"),
+            "report_rows": lake.overwrite(rc.reconciliation_report(ledger), "gold", "reconciliation_report")}
 
 
 def run_feature_store(lake: Lake, windows: Sequence[int] = DEFAULT_WINDOWS,
                       method: str = "latest", clock: Column | None = None) -> dict:
     """Customer and merchant features, overwritten."""
-    pay = lake.read("silver", "cleansed_transactions")
+    pay = silver_payments(lake)
     ts = clock if clock is not None else F.current_timestamp()
     c = lake.overwrite(fe.customer_features(pay, windows, method, ts), "gold", "ml_feature_store_customers")
     m = lake.overwrite(fe.merchant_features(pay, windows, method, ts), "gold", "ml_feature_store_merchants")
@@ -171,7 +232,7 @@ def run_feature_store(lake: Lake, windows: Sequence[int] = DEFAULT_WINDOWS,
 def run_nightly(lake: Lake, report_date: str | date | None, run_id: str = "manual",
                 clock: Column | None = None, tolerance: str = DEFAULT_TOLERANCE,
                 optimize: bool = False, feature_method: str = "latest") -> dict:
-    """Cleanse -> reconcile -> gold -> merchant analytics -> features.
+    """Cleanse -> reconcile -> gold -> merchant analytics -> reports -> features.
 
     ``report_date=None`` is catch-up mode: every stage processes all dates
     in one job (no driver loop over days).  Fails fast (an exception stops
@@ -184,6 +245,7 @@ def run_nightly(lake: Lake, report_date: str | date | None, run_id: str = "manua
         ("reconciliation", lambda: run_reconciliation(lake, rd, tolerance, clock)),
         ("gold_aggregation", lambda: run_gold(lake, rd, optimize)),
         ("merchant_analytics", lambda: run_merchant_analytics(lake, clock)),
+        ("reports", lambda: run_reports(lake)),
         ("feature_store", lambda: run_feature_store(lake, method=feature_method, clock=clock)),
     ):
         t0 = time.time()

@@ -7,7 +7,7 @@ generators); they are stated here once, in natural order.
 from __future__ import annotations
 
 from pyspark.sql.types import (
-    BooleanType, DateType, DecimalType, DoubleType, LongType, StringType,
+    DateType, DecimalType, DoubleType, LongType, StringType,
     StructField, StructType, TimestampNTZType, TimestampType,
 )
 
@@ -42,7 +42,7 @@ DEAD_LETTER = "dead_letter"
 # Silver quarantine reasons in evaluation order (first match wins).
 QUARANTINE_REASONS = (
     "null_amount", "non_positive_amount", "null_currency", "invalid_currency",
-    "invalid_timestamp", "null_merchant_id", "null_customer_id", "unknown",
+    "invalid_timestamp", "null_merchant_id", "null_customer_id",
 )
 
 # Reconciliation statuses.
@@ -116,23 +116,24 @@ MERCHANT_SCHEMA = StructType([
 LEDGER_SCHEMA = StructType([
     _s("merchant_id"), _s("payment_date", DateType()),
     _s("payment_amount", MONEY), _s("settled_amount", MONEY),
-    _s("discrepancy_amount", MONEY), _s("reconciliation_status"),
+    _s("discrepancy_amount", MONEY), _s("reconciliation_status"), _s("reconciled_at", TimestampType()),
 ])
 
-SILVER_EXTRA = StructType([
-    _s("amount_decimal", MONEY), _s("event_ts", TimestampNTZType()),
-    _s("currency_valid", BooleanType()),
-])
-
-CHANGE_LOG_SCHEMA = StructType([
-    _s("version", LongType()), _s("op"),
+# Silver payments: the wire columns kept, the exact amount, the parsed time
+# and the partition day.
+SILVER_PAYMENT_SCHEMA = StructType([
+    _s("event_type"), _s("transaction_id"), _s("merchant_id"), _s("customer_id"),
+    _s("amount", DoubleType()), _s("currency"), _s("gateway"), _s("region"), _s("timestamp"),
+    _s("ingest_timestamp", TimestampType()), _s("amount_decimal", MONEY),
+    _s("event_ts", TimestampNTZType()), _s("payment_date", DateType()),
 ])
 
 # Bronze record: union columns, raw payload (kept for dead letters), decode
 # error, parsed time, zero-padded partition strings, ingest time, routing and
-# the ingest (micro-)batch number (distinct from a settlement's ``batch_id``).
+# the ingest source and its (micro-)batch number (distinct from a settlement's
+# ``batch_id``).
 BRONZE_SCHEMA = StructType(list(UNION_SCHEMA.fields) + [
     _s("raw_value"), _s("decode_error"), _s("event_ts", TimestampNTZType()),
     _s("year"), _s("month"), _s("day"), _s("ingest_timestamp", TimestampType()),
-    _s("reject_reason"), _s("target_table"), _s("ingest_batch", LongType()),
+    _s("reject_reason"), _s("target_table"), _s("ingest_source"), _s("ingest_batch", LongType()),
 ])

@@ -4,13 +4,14 @@
 column (Kafka) or typed rows (file sources).  ``start_bronze_stream`` (T1)
 runs decode -> validate -> route per micro-batch in ``foreachBatch`` (W8)
 with an available-now trigger and a stable checkpoint (T4).  Each batch
-is written under ``ingest_batch=<id>`` with dynamic partition overwrite, so a
-batch replayed after a failure replaces its own output instead of
-duplicating it; per-batch counters (T3) come from ``observe`` on that one
+is written under ``ingest_source=<name>/ingest_batch=<id>`` with dynamic
+partition overwrite, so a batch replayed after a failure replaces its own
+output instead of duplicating it, and batches of other sources stay; per-batch counters (T3) come from ``observe`` on that one
 write, not from extra actions.
 """
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -21,7 +22,7 @@ from pyspark.sql.types import StructType
 from ..operators.ingest import bronze_record, decode_events, ingest_frame
 from ..schemas import DEAD_LETTER, MONEY
 
-BRONZE_PARTITIONS = ["target_table", "year", "month", "day", "ingest_batch"]
+BRONZE_PARTITIONS = ["target_table", "year", "month", "day", "ingest_source", "ingest_batch"]
 
 
 def stream_source(spark: SparkSession, fmt: str, path: str | None = None,
@@ -57,9 +58,9 @@ def checkpoint_path(lake, source: str, sink: str) -> str:
 
 def bronze_batch_writer(lake, layer: str = "bronze", table: str = "events",
                         prepare: Callable[[DataFrame], DataFrame] | None = None,
-                        raw_json: bool = True,
-                        audit_table: str = "ingest_audit") -> Callable[[DataFrame, int], None]:
-    """The ``foreachBatch`` function."""
+                        raw_json: bool = True, audit_table: str = "ingest_audit",
+                        source: str = "stream") -> Callable[[DataFrame, int], None]:
+    """The ``foreachBatch`` function; ``source`` names the stream."""
 
     def process(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():                                    # T2
@@ -67,7 +68,7 @@ def bronze_batch_writer(lake, layer: str = "bronze", table: str = "events",
         df = prepare(batch) if prepare is not None else batch
         if raw_json:
             df = decode_events(df)
-        routed = bronze_record(ingest_frame(df), batch_id)
+        routed = bronze_record(ingest_frame(df), batch_id, source)
         obs = Observation()
         counted = routed.observe(
             obs, F.count(F.lit(1)).alias("consumed"),
@@ -76,17 +77,20 @@ def bronze_batch_writer(lake, layer: str = "bronze", table: str = "events",
         lake.replace_partitions(counted, layer, table, BRONZE_PARTITIONS)
         m = obs.get
         audit = lake.spark.createDataFrame(
-            [(int(batch_id), int(m["consumed"]), int(m["valid"]), int(m["invalid"]))],
-            "ingest_batch long, consumed long, valid long, invalid long")
-        lake.replace_partitions(audit, layer, audit_table, ["ingest_batch"])
+            [(source, int(batch_id), int(m["consumed"]), int(m["valid"]), int(m["invalid"]))],
+            "ingest_source string, ingest_batch long, consumed long, valid long, invalid long")
+        lake.replace_partitions(audit, layer, audit_table, ["ingest_source", "ingest_batch"])
 
     return process
 
 
-def start_bronze_stream(lake, source: DataFrame, checkpoint: str, **writer_kw) -> StreamingQuery:
+def start_bronze_stream(lake, events: DataFrame, checkpoint: str, **writer_kw) -> StreamingQuery:
     """Start the ingest stream (available-now).  ``checkpoint`` must be a
-    stable folder per (source, sink) on shared storage (T4)."""
-    return (source.writeStream.foreachBatch(bronze_batch_writer(lake, **writer_kw))
+    stable folder per (source, sink) on shared storage (T4).  Batch numbers
+    restart with a new checkpoint, so the source is named after it unless
+    ``source`` is given in ``writer_kw``."""
+    writer_kw.setdefault("source", f"stream-{zlib.crc32(checkpoint.encode()):08x}")
+    return (events.writeStream.foreachBatch(bronze_batch_writer(lake, **writer_kw))
                   .option("checkpointLocation", checkpoint)
                   .trigger(availableNow=True).start())
 
@@ -117,8 +121,10 @@ def start_hourly_stream(lake, payments: DataFrame, checkpoint: str, layer: str =
                         table: str = "hourly_volume_live", watermark: str = "2 hours",
                         state_partitions: int | None = None) -> StreamingQuery:
     """T5 sink: update mode + ``foreachBatch`` upsert on (hour, currency,
-    region).  Every batch rewrites the hours it changed, so the table is
-    always complete (open hours included) and replaying a batch is a no-op.
+    region), NULL equal to NULL, in partitions of one day.  Every batch
+    rewrites the days it changed, open hours included, and replaying a batch
+    is a no-op.  Events later than the watermark do not enter the table;
+    ``late_rows`` counts them, and the batch aggregate (A2) holds them.
 
     ``state_partitions`` fixes the number of state-store partitions when the
     stream is first started (it is then kept in the checkpoint); the query
@@ -128,7 +134,8 @@ def start_hourly_stream(lake, payments: DataFrame, checkpoint: str, layer: str =
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
-            lake.upsert(batch, layer, table, keys, check_unique=False)
+            lake.upsert(batch.withColumn("day", F.to_date("hour")), layer, table, keys, partition_by=["day"],
+                        check_unique=False, null_safe=True)
 
     writer = (hourly_volume_stream(payments, watermark).writeStream.outputMode("update")
               .foreachBatch(upsert).option("checkpointLocation", checkpoint)
@@ -142,3 +149,8 @@ def start_hourly_stream(lake, payments: DataFrame, checkpoint: str, layer: str =
         return writer.start()
     finally:
         conf.set("spark.sql.shuffle.partitions", before)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that the query's watermark has dropped so far (of the progress kept)."""
+    return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)

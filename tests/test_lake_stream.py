@@ -1,4 +1,4 @@
-"""Writes (W1-W4, W7), streaming (T1-T4), maintenance (M1, M5-M7), e2e."""
+"""Writes (W1-W4, W7), streaming (T1-T5), maintenance (M1, M5), e2e."""
 import os
 import tempfile
 from datetime import datetime
@@ -21,7 +21,7 @@ def _rows(spark, n, start=0, extra=False):
 def test_append_with_new_column(spark, lake):
     lake.append(_rows(spark, 1), "bronze", "t")
     lake.append(_rows(spark, 1, 1, extra=True), "bronze", "t")
-    df = lake.read("bronze", "t")
+    df = lake.read("bronze", "t", merge_schema=True)
     assert "extra_col" in df.columns and df.count() == 2
 
 
@@ -90,7 +90,7 @@ def test_compaction_fewer_files_same_rows(spark, lake):
 
 def test_optimize_registry_skips_missing(spark, lake):
     lake.append(_rows(spark, 3), "gold", "a")
-    out = mt.optimize_tables(lake, [("gold", "a", ("k",)), ("gold", "missing", ())])
+    out = mt.optimize_tables(lake, [("gold", "a", ("k",), ()), ("gold", "missing", (), ())])
     assert list(out) == ["gold.a"]
 
 
@@ -106,10 +106,46 @@ def test_clustering_improves_file_skipping(spark):
     assert spans(clustered) < spans(shuffled)
 
 
-def test_write_sizing(spark):
-    df = spark.range(100).repartition(10)
-    assert mt.repartition_for_write(df, 1_000_000).rdd.getNumPartitions() == 7
-    assert mt.coalesce_for_write(df, 3).rdd.getNumPartitions() == 3
+def test_clustering_cuts_text_keys_and_a_hot_key(spark):
+    rows = spark.range(20_000).select(F.when(F.col("id") % 2 == 0, F.lit("merch_hot"))
+                                      .otherwise(F.concat(F.lit("merch_"), F.col("id") % 300)).alias("m"), "id")
+    per = mt.cluster(rows, ["m"], 16).groupBy(F.spark_partition_id()).agg(
+        F.count(F.lit(1)).alias("n"), F.min("m").alias("lo"), F.max("m").alias("hi")).collect()
+    assert max(r.n for r in per) < 3 * 20_000 / 16
+    assert sum(r.lo <= "merch_17" <= r.hi for r in per) <= 2
+
+
+def test_optimize_keeps_partitions(spark, lake):
+    a = _rows(spark, 40)
+    lake.overwrite(a.unionByName(a.withColumn("d", F.lit("2026-01-02").cast("date"))), "gold", "t", ["d"])
+    mt.optimize_tables(lake, [("gold", "t", ("k",), ("d",))])
+    lake.replace_partitions(a.withColumn("d", F.lit("2026-01-03").cast("date")), "gold", "t", ["d"])
+    assert {str(r.d): r["count"] for r in lake.read("gold", "t").groupBy("d").count().collect()} == {
+        "2026-01-01": 40, "2026-01-02": 40, "2026-01-03": 40}
+
+
+def test_staged_folders_go_and_emptied_partitions_too(spark, lake):
+    a = _rows(spark, 4)
+    lake.overwrite(a, "silver", "t", ["d"])
+    moved = a.filter("k < 4").withColumn("d", F.lit("2026-01-02").cast("date"))
+    both = moved.unionByName(a.limit(0))
+    lake.upsert(both, "silver", "t", ["k"], partition_by=["d"])      # the old day is not touched by the source
+    keys = a.select("k", "d")
+    assert lake.delete_keys("silver", "t", keys, ["d"]) == 4
+    assert lake.delete_keys("silver", "t", keys, ["d"]) == 0
+    assert {str(r.d) for r in lake.read("silver", "t").select("d").distinct().collect()} == {"2026-01-02"}
+    from ledgerlake.session import checkpoint_dir
+    fs, p = lake._fs(checkpoint_dir(spark))
+    left = [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
+    assert not [n for n in left if n.startswith("stage-")]
+
+
+def test_upsert_null_safe_keys(spark):
+    t = spark.createDataFrame([(None, 1), ("a", 2)], "k string, v int")
+    s = spark.createDataFrame([(None, 5)], "k string, v int")
+    assert sorted(map(str, upsert_frames(t, s, ["k"], null_safe=True).collect())) == [
+        "Row(k='a', v=2)", "Row(k=None, v=5)"]
+    assert upsert_frames(t, s, ["k"]).count() == 3
 
 
 def test_stream_restart_does_not_duplicate(spark):
@@ -283,16 +319,22 @@ def test_hourly_stream_update_mode_merges_batches(spark):
               " event_ts timestamp_ntz")
     src_dir = tempfile.mkdtemp(prefix="ll-src-", dir="/tmp")
     b1 = [("t1", "USD", "us-east", Decimal("1.00"), datetime(2026, 1, 1, 0, 10))]
+    b1 += [("n1", "USD", None, Decimal("3.00"), datetime(2026, 1, 1, 0, 20))]
     b2 = [("t1", "USD", "us-east", Decimal("1.00"), datetime(2026, 1, 1, 0, 10)),   # replayed
-          ("t2", "USD", "us-east", Decimal("2.00"), datetime(2026, 1, 1, 0, 40))]   # same hour
+          ("t2", "USD", "us-east", Decimal("2.00"), datetime(2026, 1, 1, 0, 40)),   # same hour
+          ("n2", "USD", None, Decimal("4.00"), datetime(2026, 1, 1, 0, 30))]        # no region, open hour
     for i, rows in enumerate((b1, b2)):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(f"{src_dir}/b{i}")
     lake = Lake(spark, tempfile.mkdtemp(prefix="ll-lake-", dir="/tmp"))
     src = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1") \
         .option("recursiveFileLookup", "true").parquet(src_dir)
-    start_hourly_stream(lake, src, f"{lake.root}/_ckpt").awaitTermination()
-    got = [(r.transaction_count, float(r.total_volume)) for r in lake.read("gold", "hourly_volume_live").collect()]
-    assert got == [(2, 3.0)]
+    q = start_hourly_stream(lake, src, f"{lake.root}/_ckpt")
+    q.awaitTermination()
+    got = sorted((str(r.region), r.transaction_count, float(r.total_volume))
+                 for r in lake.read("gold", "hourly_volume_live").collect())
+    assert got == [("None", 2, 7.0), ("us-east", 2, 3.0)]
+    from ledgerlake.streaming.ingest import late_rows
+    assert late_rows(q) == 0
 
 
 def test_cli_seed_nightly_optimize(spark):
