@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import hour_of, safe_ratio
-from ..schemas import MONEY
+from ..schemas import MONEY, TOTAL
 
 
 def _summary_aggs():
@@ -47,7 +47,7 @@ def merchant_payments(payments: DataFrame) -> DataFrame:
     """Lifetime count and GMV per merchant."""
     return payments.groupBy("merchant_id").agg(
         F.count("transaction_id").alias("total_transactions"),
-        F.sum("amount_decimal").cast(MONEY).alias("total_gmv"))
+        F.sum("amount_decimal").cast(TOTAL).alias("total_gmv"))
 
 
 def count_by_merchant(df: DataFrame, id_col: str, name: str) -> DataFrame:

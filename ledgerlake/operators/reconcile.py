@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import money, parse_event_ts
 from ..functions.skew import salted_join
-from ..schemas import AWAITING, DEFAULT_TOLERANCE, FLAGGED, MONEY, RECONCILED, WITHIN_TOLERANCE
+from ..schemas import AWAITING, DEFAULT_TOLERANCE, FLAGGED, MONEY, RECONCILED, TOTAL, WITHIN_TOLERANCE
 
 
 def _sum_money(c) -> F.Column:
@@ -87,12 +87,12 @@ def discrepancy_counts(led: DataFrame) -> DataFrame:
 
 def reconciliation_report(led: DataFrame) -> DataFrame:
     """Per day x status: merchants, amounts and discrepancy share."""
-    pay = F.sum("payment_amount").cast(MONEY)
-    disc = F.sum("discrepancy_amount").cast(MONEY)
+    pay = F.sum("payment_amount").cast(TOTAL)
+    disc = F.sum("discrepancy_amount").cast(TOTAL)
     return (led.groupBy("payment_date", "reconciliation_status")
                .agg(F.count(F.lit(1)).alias("merchant_days"),
                     pay.alias("payment_total"),
-                    F.sum("settled_amount").cast(MONEY).alias("settled_total"),
+                    F.sum("settled_amount").cast(TOTAL).alias("settled_total"),
                     disc.alias("discrepancy_total"))
                .withColumn("discrepancy_share",
                            F.coalesce(F.try_divide(F.col("discrepancy_total").cast("double"),

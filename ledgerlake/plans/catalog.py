@@ -35,7 +35,7 @@ from ..operators import ingest as ig
 from ..operators import quality as qa
 from ..operators import reconcile as rc
 from ..operators.upsert import upsert_frames
-from ..schemas import CHARGEBACK, MONEY, PAYMENT, REFUND, SETTLEMENT_SCHEMA
+from ..schemas import CHARGEBACK, MONEY, PAYMENT, REFUND, SETTLEMENT_SCHEMA, TOTAL
 from ..sources import fixtures as fx
 from ..sources.fixtures import (SQL_LI_PAYMENTS, SQL_LI_SETTLEMENTS, SQL_V_CHARGEBACKS,
                                 SQL_V_CLEANSED, SQL_V_EVENTS, SQL_V_MERCHANTS, SQL_V_PAYMENTS,
@@ -160,7 +160,7 @@ def a6(spark, sf):
 
 @register("a7_merchant_payments", _sql("""
 SELECT merchant_id, count(transaction_id) AS total_transactions,
-       cast(sum(amount_decimal) AS decimal(18,2)) AS total_gmv
+       cast(sum(amount_decimal) AS decimal(28,2)) AS total_gmv
 FROM v_clean GROUP BY 1""", *PAY_CTES))
 def a7(spark, sf):
     return go.merchant_payments(_clean(spark, sf))
@@ -184,7 +184,7 @@ SELECT p.merchant_id, p.total_transactions, p.total_gmv,
        coalesce(cast(r.refund_count AS double) / cast(p.total_transactions AS double), 0.0) AS refund_ratio,
        coalesce(cast(c.chargeback_count AS double) / cast(p.total_transactions AS double), 0.0) AS chargeback_rate
 FROM (SELECT merchant_id, count(transaction_id) AS total_transactions,
-             cast(sum(amount_decimal) AS decimal(18,2)) AS total_gmv FROM v_clean GROUP BY 1) p
+             cast(sum(amount_decimal) AS decimal(28,2)) AS total_gmv FROM v_clean GROUP BY 1) p
 LEFT JOIN (SELECT merchant_id, count(refund_id) AS refund_count FROM v_refunds GROUP BY 1) r
   ON p.merchant_id = r.merchant_id
 LEFT JOIN (SELECT merchant_id, count(dispute_id) AS chargeback_count FROM v_chargebacks GROUP BY 1) c
@@ -242,11 +242,11 @@ def a12(spark, sf):
 
 @register("a13_reconciliation_report", _sql("""
 SELECT payment_date, reconciliation_status, count(*) AS merchant_days,
-       cast(sum(payment_amount) AS decimal(18,2)) AS payment_total,
-       cast(sum(settled_amount) AS decimal(18,2)) AS settled_total,
-       cast(sum(discrepancy_amount) AS decimal(18,2)) AS discrepancy_total,
-       coalesce(cast(cast(sum(discrepancy_amount) AS decimal(18,2)) AS double)
-                / cast(cast(sum(payment_amount) AS decimal(18,2)) AS double), 0.0) AS discrepancy_share
+       cast(sum(payment_amount) AS decimal(28,2)) AS payment_total,
+       cast(sum(settled_amount) AS decimal(28,2)) AS settled_total,
+       cast(sum(discrepancy_amount) AS decimal(28,2)) AS discrepancy_total,
+       coalesce(cast(cast(sum(discrepancy_amount) AS decimal(28,2)) AS double)
+                / cast(cast(sum(payment_amount) AS decimal(28,2)) AS double), 0.0) AS discrepancy_share
 FROM ledger_st GROUP BY 1, 2""", *LEDGER_CTES))
 def a13(spark, sf):
     return rc.reconciliation_report(_ledger(spark, sf))
@@ -273,12 +273,12 @@ def a14(spark, sf):
 
 
 @register("a15_global_scalars", _sql("""
-SELECT count(*) AS row_count, cast(sum(amount_decimal) AS decimal(18,2)) AS total_amount,
+SELECT count(*) AS row_count, cast(sum(amount_decimal) AS decimal(28,2)) AS total_amount,
        min(event_ts) AS first_event_ts, max(event_ts) AS last_event_ts
 FROM v_clean""", *PAY_CTES))
 def a15(spark, sf):
     return _clean(spark, sf).agg(F.count(F.lit(1)).alias("row_count"),
-                                 F.sum("amount_decimal").cast(MONEY).alias("total_amount"),
+                                 F.sum("amount_decimal").cast(TOTAL).alias("total_amount"),
                                  F.min("event_ts").alias("first_event_ts"),
                                  F.max("event_ts").alias("last_event_ts"))
 

@@ -57,6 +57,8 @@ DEFAULT_WINDOWS = (7, 30, 90)
 # ---------------------------------------------------------------------------
 
 MONEY = DecimalType(18, 2)
+# Totals over all rows or all days: 18 digits overflow at 1e12 payments.
+TOTAL = DecimalType(28, 2)
 
 
 def _s(name, dtype=StringType(), nullable=True):
