@@ -82,8 +82,8 @@ def _training_rows(docs: DataFrame, per_language: int) -> DataFrame:
     rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     rank = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
-    some = (rows.join(counts, "lang").withColumn("rank", rank)
-                .filter(F.col("rank") * F.col("n") < 1.25 * per_language))     # thins before the sort
+    some = (rows.join(F.broadcast(counts), "lang").withColumn("rank", rank)       # one row a language
+                .filter(F.col("rank") * F.col("n") < 1.25 * per_language))        # thins before the shuffle
     best = W.partitionBy("lang").orderBy("rank", "doc_id")
     return some.withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= per_language).select("lang", "text")
 

@@ -171,16 +171,18 @@ def _sample(docs: DataFrame, labels: DataFrame, per_class: int, max_chars: int)
     ``per_class`` of each label; and the numbers of such rows by label."""
     lab = (labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
                  .groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic")))
-    rows = (docs.filter(~held_out(F.col("doc_id")) & F.col("text").isNotNull() & (F.length("text") <= max_chars))
-                .join(lab, "doc_id").select("text", "toxic", F.xxhash64("text").alias("h"))
-                .dropDuplicates(["h", "toxic"]))
+    usable = docs.filter(~held_out(F.col("doc_id")) & F.col("text").isNotNull() & (F.length("text") <= max_chars)) \
+                 .withColumn("h", F.xxhash64("text"))
+    # only ids and hashes are joined and ranked; the texts of the chosen few are fetched at the end
+    rows = usable.select("doc_id", "h").join(lab, "doc_id").groupBy("h", "toxic").agg(F.min("doc_id").alias("doc_id"))
     counts = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    table = docs.sparkSession.createDataFrame([(k, v) for k, v in counts.items()] or [(-1, 0)], "toxic int, n long")
-    thin = (F.pmod("h", F.lit(1 << 30)) / float(1 << 30)) * F.col("n") < 1.25 * per_class
+    size = F.coalesce(*[F.when(F.col("toxic") == k, F.lit(n)) for k, n in counts.items()], F.lit(0))
+    thin = (F.pmod("h", F.lit(1 << 30)) / float(1 << 30)) * size < 1.25 * per_class
     best = W.partitionBy("toxic").orderBy("h")
-    return (rows.join(F.broadcast(table), "toxic").filter(thin)          # two rows
-                .withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= per_class)
-                .select("text", "toxic")), counts
+    chosen = (rows.filter(thin).withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= per_class)
+                  .select("doc_id", "h", "toxic"))
+    texts = usable.join(F.broadcast(chosen), ["doc_id", "h"])            # per_class rows a label
+    return texts.groupBy("h", "toxic").agg(F.first("text").alias("text")).select("text", "toxic"), counts
 
 
 def toxic_words(docs: list[set[str]], y: np.ndarray, min_share: float, odds: float, enough: int = 6) -> set[str]:
