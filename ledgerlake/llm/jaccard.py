@@ -47,7 +47,7 @@ from .components import connected_components
 
 #: Counters of the list-length table, its slices, bits of the filter of wanted
 #: texts, rows held of a list, salts of the rest's join, probes in a block.
-COUNTERS_LOG2, SLICES, WANTED_LOG2, HELD_ROWS, SALTS, PROBES = 22, 64, 22, 50_000, 8, 64
+COUNTERS_LOG2, SLICES, WANTED_LOG2, HELD_ROWS, SALTS, PROBES = 25, 64, 22, 50_000, 8, 64
 _U = np.uint64
 _C1, _C2 = _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
 
@@ -81,6 +81,12 @@ def _slot(h: np.ndarray) -> np.ndarray:
     return (h >> _U(64 - COUNTERS_LOG2)).astype(np.int64)
 
 
+def _flags(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Whether the shingles' lists are long, from the packed bits."""
+    at = _slot(h)
+    return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+
+
 _SEEN_T = [("doc_id", pa.int64()), ("text_key", pa.int64()), ("node", pa.int64()), ("n", pa.int32()),
            ("slice", pa.int32()), ("total", pa.int64()), ("data", pa.binary())]
 _SEEN = "doc_id long, text_key long, node long, n int, slice int, total long, data binary"
@@ -91,7 +97,7 @@ def count_lists(words: int) -> Callable:
     task, the counters of its classes' shingles in slices."""
 
     def run(stream):
-        counters, seen = np.zeros(1 << COUNTERS_LOG2, np.uint32), set()
+        counters, seen = np.zeros(1 << COUNTERS_LOG2, np.uint16), set()
         for b in stream:
             out = []
             for doc, key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
@@ -99,7 +105,8 @@ def count_lists(words: int) -> Callable:
                 node = class_of(s) if len(s) else None
                 if len(s) and node not in seen:
                     seen.add(node)
-                    np.add.at(counters, _slot(s), 1)
+                    at = _slot(s)
+                    counters[at] += counters[at] < 65_535       # stays at its most
                 out.append((doc, key, node, len(s), None, None, None))
             yield _batch(_SEEN_T, out)
         pack = zstandard.ZstdCompressor(level=1).compress
@@ -110,12 +117,12 @@ def count_lists(words: int) -> Callable:
 
 
 def long_lists(counts: DataFrame) -> np.ndarray:
-    """Bit per counter: its lists are long.  ``counts`` has the slices of all
+    """Packed bit per counter: its lists are long.  ``counts`` has the slices of all
     tasks; a slice is added up as a stream, and the bits (a fixed number) come
     to the driver."""
     total = counts.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
     mean = total / (1 << COUNTERS_LOG2)
-    limit = mean + 8 * mean ** 0.5 + 8
+    limit = mean + 4 * mean ** 0.5 + 2
 
     def run(stream):
         unpack, at, held = zstandard.ZstdDecompressor().decompress, None, None
@@ -127,15 +134,15 @@ def long_lists(counts: DataFrame) -> np.ndarray:
                     if at is not None:
                         yield done()
                     at, held = i, np.zeros((1 << COUNTERS_LOG2) // SLICES, np.uint64)
-                held += np.frombuffer(unpack(data.as_py()), np.uint32)
+                held += np.frombuffer(unpack(data.as_py()), np.uint16)
         if at is not None:
             yield done()
 
     rows = (counts.select("slice", "data").repartition("slice").sortWithinPartitions("slice")
                   .mapInArrow(run, "slice int, bits binary").collect())
-    bits = np.zeros((SLICES, (1 << COUNTERS_LOG2) // SLICES), bool)
+    bits = np.zeros((SLICES, (1 << COUNTERS_LOG2) // SLICES // 8), np.uint8)
     for r in rows:
-        bits[r["slice"]] = np.unpackbits(np.frombuffer(r["bits"], np.uint8)).astype(bool)
+        bits[r["slice"]] = np.frombuffer(r["bits"], np.uint8)
     return bits.ravel()
 
 
@@ -146,7 +153,7 @@ def _least_overlap(n: int, percent: int) -> int:
 def _ordered(s: np.ndarray, long: np.ndarray) -> tuple[np.ndarray, int]:
     """Shingles in list order (short lists first, then by hash), and how many
     have short lists."""
-    is_long = long[_slot(s)]
+    is_long = _flags(long, s)
     return np.concatenate([s[~is_long], s[is_long]]), int(len(s) - is_long.sum())
 
 
@@ -186,8 +193,9 @@ def _can_reach(na, nb, sa, sb, on_long, percent: int) -> np.ndarray:
     return bound >= need
 
 
-_MERGED_T = [("h", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int32()), ("short", pa.int32())]
-_MERGED = "h long, a long, b long, n int, short int"
+_MERGED_T = [("h", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int32()), ("short", pa.int32()),
+             ("long", pa.bool_())]
+_MERGED = "h long, a long, b long, n int, short int, long boolean"
 
 
 def merge_lists(shared, percent: int) -> Callable:
@@ -207,7 +215,7 @@ def merge_lists(shared, percent: int) -> Callable:
         size = np.diff(np.append(first, len(h)))
         star = np.repeat(first, size)
         other = star != np.arange(len(h))
-        on_long = long[_slot(h.view(np.uint64))]
+        on_long = _flags(long, h.view(np.uint64))
         ok = other & _can_reach(n[star], n, short[star], short, on_long, percent)
         pairs = np.unique(np.stack([node[star[ok]], node[ok]], 1), axis=0)
         if resumed:
@@ -218,10 +226,11 @@ def merge_lists(shared, percent: int) -> Callable:
         none = pa.nulls
         yield pa.RecordBatch.from_arrays(
             [none(len(pairs), pa.int64()), pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), none(len(pairs), pa.int32()),
-             none(len(pairs), pa.int32())], [f for f, _ in _MERGED_T])
+             none(len(pairs), pa.int32()), none(len(pairs), pa.bool_())], [f for f, _ in _MERGED_T])
         yield pa.RecordBatch.from_arrays(
             [pa.array(h[member]), pa.array(node[member]), none(int(member.sum()), pa.int64()),
-             pa.array(n[member], pa.int32()), pa.array(short[member], pa.int32())], [f for f, _ in _MERGED_T])
+             pa.array(n[member], pa.int32()), pa.array(short[member], pa.int32()), pa.array(on_long[member])],
+            [f for f, _ in _MERGED_T])
 
     def run(stream):
         long, held, resumed = shared.value, None, False
@@ -358,7 +367,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     star_links = cut(_paired(stars, star_sets, lambda p, q: reaches(p, q, percent)))
     tied = connected_components(star_links)
 
-    rest = cut(_rest(merged.filter("h IS NOT NULL"), tied, long, percent, parts))
+    rest = cut(_rest(merged.filter("h IS NOT NULL"), tied, percent))
     rest_heads = sets_of(texts, classes, _nodes(rest), words, lambda s: head(s, long.value, percent))
     rest = cut(_paired(rest, rest_heads, lambda p, q: heads_allow(p, q, percent)))
     rest_sets = sets_of(texts, classes, _nodes(rest), words, full)
@@ -374,7 +383,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return members, links
 
 
-def _rest(members: DataFrame, tied: DataFrame, long, percent: int, parts: int) -> DataFrame:
+def _rest(members: DataFrame, tied: DataFrame, percent: int) -> DataFrame:
     """Candidates between components: in each list of three and more, the
     members outside its main component against all members of others."""
     m = (members.withColumnRenamed("a", "node").drop("b").join(tied, "node", "left")
@@ -390,21 +399,11 @@ def _rest(members: DataFrame, tied: DataFrame, long, percent: int, parts: int) -
     need = F.ceil(percent * (F.col("n") + F.col("x_n")) / (100 + percent))
     reach = F.least("n", "x_n") >= need
     both_long = F.least(F.col("n") - F.col("short"), F.col("x_n") - F.col("x_short")) >= need
-    pairs = (odd.join(all_, ["h", "salt"])
-                .filter((F.col("component") != F.col("x_component"))
-                        & ((F.col("component") == F.col("main")) | (F.col("node") < F.col("x_node"))) & reach)
-                .select("h", F.least("node", "x_node").alias("a"), F.greatest("node", "x_node").alias("b"),
-                        both_long.alias("both_long")))
-
-    def short_or_reached(stream):
-        flags = long.value
-        for b in stream:
-            h = b.column(0).to_numpy().view(np.uint64)
-            keep = ~flags[_slot(h)] | b.column(3).to_numpy(zero_copy_only=False)
-            pair = np.unique(np.stack([b.column(1).to_numpy()[keep], b.column(2).to_numpy()[keep]], 1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], ["a", "b"])
-
-    return pairs.mapInArrow(short_or_reached, "a long, b long").distinct()
+    return (odd.join(all_, ["h", "salt"])
+               .filter((F.col("component") != F.col("x_component"))
+                       & ((F.col("component") == F.col("main")) | (F.col("node") < F.col("x_node")))
+                       & F.when(F.col("long"), both_long).otherwise(reach))
+               .select(F.least("node", "x_node").alias("a"), F.greatest("node", "x_node").alias("b")).distinct())
 
 
 def keep_one(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:

@@ -108,7 +108,7 @@ def test_long_text_and_empty(spark):
 
 def test_probe_and_heads_never_lose_a_link():
     rng = np.random.default_rng(4)
-    long = rng.random(1 << jaccard.COUNTERS_LOG2) < 0.3
+    long = np.packbits(rng.random(1 << jaccard.COUNTERS_LOG2) < 0.3)
     near = 0
     for _ in range(400):
         x = np.unique(rng.integers(0, 2**63, rng.integers(1, 300)).astype(np.uint64) * np.uint64(2))
