@@ -32,7 +32,8 @@ result; other columns are ignored.
 """
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -287,7 +288,8 @@ def sets_of(texts: DataFrame, classes: DataFrame, nodes: DataFrame, words: int,
 
 
 def _nodes(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    ends = (pairs.select(F.col(c).alias("node")).distinct() for c in ("a", "b"))
+    return reduce(DataFrame.union, ends).distinct()
 
 
 def _paired(pairs: DataFrame, sets: DataFrame, test: Callable) -> DataFrame:
