@@ -5,9 +5,13 @@
    inside links; what its tag or its names mark as boilerplate counts
    nothing.  A container's path is its chain of tags and classes with digits
    generalised.
-2. In Spark, pages vote per host: the scores of a path are summed (each
-   page's best scores 1), and the path with most votes wins.
-3. Every page is parsed again and the containers on its host's winning path
+2. From a container the page climbs to the widest one around it whose further
+   text is still content: the same article or main element, or headings,
+   paragraphs and lists that stand beside the container.
+3. In Spark, pages vote per host: the scores of a path are summed (each
+   page's best scores 1), and the path with most votes wins, climbed to where
+   most of its votes climb.
+4. Every page is parsed again and the containers on its host's winning path
    give the text; a page without such a container uses its own best one.
 
 Hosts are salted for the join, so one host may hold any share of the pages.
@@ -41,6 +45,13 @@ _SKIPPED = set("script style noscript template textarea title iframe svg math ca
                "option button datalist head".split())
 _BOILERPLATE = set("nav aside footer form header menu dialog fieldset".split())
 _MAIN = set("article main".split())
+#: Elements whose text is a line or block of the container around them; lists and
+#: tables are containers when scored, but blocks when climbing.
+_LINES = _INLINE | set("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote td th tr tbody figcaption".split())
+_BLOCKS = _LINES | set("ul ol dl table thead tfoot caption figure center hgroup".split())
+#: A container is climbed out of when its siblings' blocks are at least 1 in so
+#: much of the text around it.
+_AROUND = 4
 #: Blocks that an opening block of the same kind, or any block, closes.
 _CLOSED_BY_BLOCK = {"p"}
 _CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -142,39 +153,109 @@ def _closed(node: Node, root: Node, tag: str) -> Node:
 
 def _container(node: Node) -> Node:
     """The nearest element that holds blocks rather than a line of text."""
-    while node.parent and (node.tag in _INLINE or node.tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd",
-                                                              "pre", "blockquote", "td", "th", "tr", "tbody", "figcaption")):
+    while node.parent and node.tag in _LINES:
         node = node.parent
     return node
 
 
+class Page:
+    """A page's containers by path: scores (the best one 1), and the text by
+    which a path is climbed out of."""
+
+    def __init__(self, page: str):
+        found: dict[int, Node] = {}
+        self.own: dict[str, int] = {}                 # text whose container is on the path
+        for node, text in parse(page):
+            if not text or node.dropped or node.link or text.isspace():
+                continue
+            up, share = _container(node), 1.0
+            self.own[up.path] = self.own.get(up.path, 0) + len(text)
+            while up:
+                found[id(up)] = up
+                up.score += share * len(text)
+                up, share = up.parent, share / 2
+        paths: dict[str, float] = {}
+        self.up: dict[str, str | None] = {}
+        self.tag: dict[str, str] = {}
+        for n in found.values():
+            paths[n.path] = paths.get(n.path, 0.0) + n.score * n.bonus
+            self.up[n.path], self.tag[n.path] = n.parent and n.parent.path, n.tag
+        best = max(paths.values(), default=0.0)
+        self.scores = {p: s / best for p, s in paths.items()}
+        self._sums()
+
+    def _sums(self) -> None:
+        """All text below a path; by path, the text of its own blocks, of its
+        sections and of the articles in it, each by the container's path."""
+        self.all = dict.fromkeys(self.up, 0)
+        self.blocks: dict[str, dict[str, int]] = {}
+        self.sections: dict[str, dict[str, int]] = {}
+        self.articles: dict[str, dict[str, int]] = {}
+
+        def block(p):
+            while self.up[p] and self.tag[p] in _BLOCKS:
+                p = self.up[p]
+            return p
+
+        for path, n in self.own.items():
+            at = block(path)
+            self.blocks.setdefault(at, {})[path] = n
+            while self.tag[at] == "section" and self.up[at]:
+                at = block(self.up[at])
+                self.sections.setdefault(at, {})[path] = n
+            at, inner = path, False
+            while at:
+                self.all[at] += n
+                if inner and self.tag[at] in _MAIN:
+                    self.articles.setdefault(at, {})[path] = n
+                inner |= self.tag[at] == "article"
+                at = self.up[at]
+
+    def best(self) -> str | None:
+        return max(self.scores, key=lambda p: (self.scores[p], -len(p), p), default=None)
+
+    def _beyond(self, texts: dict[str, int], path: str) -> int:
+        """Text of the containers that are not below ``path``."""
+        total = 0
+        for p, n in texts.items():
+            while p and len(p) > len(path):
+                p = self.up[p]
+            total += n if p != path else 0
+        return total
+
+    def climb(self, path: str) -> str:
+        """The widest path around ``path`` whose text beyond it is content.
+        An article or main element is one text unless further articles stand in
+        it; any other must have blocks of its own beside the container, as a
+        share of all that would come with them."""
+        at = self.up[path]
+        while at:
+            beyond = self.all[at] - self.all[path]
+            if beyond:
+                if self.tag[at] in _MAIN and not self._beyond(self.articles.get(at, {}), path):
+                    path = at
+                elif blocks := self._beyond(self.blocks.get(at, {}), path):
+                    if _AROUND * (blocks + self._beyond(self.sections.get(at, {}), path)) >= beyond:
+                        path = at
+            at = self.up[at]
+        return path
+
+
 def score_containers(page: str) -> dict[str, float]:
     """Path -> score of a page's containers, the best one scoring 1."""
-    found: dict[int, Node] = {}
-    for node, text in parse(page):
-        if not text or node.dropped or node.link or text.isspace():
-            continue
-        up, share = _container(node), 1.0
-        while up:
-            found[id(up)] = up
-            up.score += share * len(text)
-            up, share = up.parent, share / 2
-    paths: dict[str, float] = {}
-    for n in found.values():
-        paths[n.path] = paths.get(n.path, 0.0) + n.score * n.bonus
-    best = max(paths.values(), default=0.0)
-    return {p: s / best for p, s in paths.items()}
+    return Page(page).scores
 
 
 def extract(page: str, path: str | None) -> str:
-    """Text of the containers on ``path`` (of the page's own best one if it
-    has none): blocks joined by one space."""
+    """Text of the containers on ``path`` (of the page's own best one, climbed,
+    if it has none): blocks joined by one space."""
     texts = _texts(page, path) if path else None
     if texts is None:
-        own = score_containers(page)
-        if not own:
+        own = Page(page)
+        best = own.best()
+        if best is None:
             return ""
-        texts = _texts(page, max(own, key=lambda p: (own[p], -len(p), p))) or ""
+        texts = _texts(page, own.climb(best)) or ""
     return texts
 
 
@@ -222,13 +303,15 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
 
     def vote(stream):
         for b in stream:
-            tally: dict[tuple[str, str], float] = {}       # a batch's votes, added up before the shuffle
-            for host, page in zip(b.column(0).to_pylist(), b.column(1)):
-                for path, score in score_containers(page.as_py() or "").items():
+            tally: dict[tuple[str, str, str], float] = {}  # a batch's votes, added up before the shuffle
+            for host, html in zip(b.column(0).to_pylist(), b.column(1)):
+                page = Page(html.as_py() or "")
+                for path, score in page.scores.items():
                     if score >= 0.25:
-                        tally[host, path] = tally.get((host, path), 0.0) + score
-            yield _batch([("host", pa.string()), ("path", pa.string()), ("votes", pa.float64())],
-                         [(h, p, v) for (h, p), v in tally.items()])
+                        key = host, path, page.climb(path)
+                        tally[key] = tally.get(key, 0.0) + score
+            yield _batch([("host", pa.string()), ("path", pa.string()), ("wide", pa.string()), ("votes", pa.float64())],
+                         [(*k, v) for k, v in tally.items()])
 
     def apply(stream):
         for b in stream:
@@ -238,9 +321,11 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
                         for j, (i, u, p) in enumerate(zip(*(c[a:a + 200] for c in cols)))]
                 yield _batch([("page_id", pa.int64()), ("url", pa.string()), ("path", pa.string()), ("text", pa.string())], part)
 
-    votes = (rows.select("host", "html").mapInArrow(vote, "host string, path string, votes double")
-                 .groupBy("host", "path").agg(F.round(F.sum("votes"), 6).alias("votes")))
-    winners = (votes.groupBy("host").agg(F.max_by("path", F.struct("votes", "path")).alias("path"))
+    votes = (rows.select("host", "html").mapInArrow(vote, "host string, path string, wide string, votes double")
+                 .groupBy("host", "path", "wide").agg(F.round(F.sum("votes"), 6).alias("votes"))
+                 .groupBy("host", "path").agg(F.round(F.sum("votes"), 6).alias("votes"),
+                                              F.max_by("wide", F.struct("votes", "wide")).alias("wide")))
+    winners = (votes.groupBy("host").agg(F.max_by("wide", F.struct("votes", "path")).alias("path"))
                     .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url", F.length("html")), F.lit(SALTS)).cast("int"))
     return (salted.join(winners, ["host", "salt"], "left").select("page_id", "url", "path", "html")

@@ -74,3 +74,25 @@ def test_host_consensus(spark):
 def test_long_page(spark):
     page = "<article>" + "<p>word word</p>" * 100_000 + "</article>"
     assert len(extract(page, "html/article")) == 100_000 * 10 - 1
+
+
+def test_blocks_beside_the_best_container(spark):
+    p = lambda t, n: "".join(f"<p>{t} {i} of a text long enough to weigh.</p>" for i in range(n))
+    flat = lambda h: " ".join(re.sub("<[^>]*>", " ", h).split())
+    parts = [f"<article><h1>T</h1><p>lead</p><div class=entry-content>{p('Body', 20)}</div></article>",
+             f"<main><h1>T</h1><article><h2>S</h2><div><div class=text>{p('Body', 20)}</div></div></article></main>",
+             f"<div class=post><p>lead text</p><div class=section>{p('A', 20)}</div><div class=section>{p('B', 20)}</div></div>",
+             f"<div class=post><p>lead text</p><section class=a>{p('A', 40)}</section><section class=b>{p('B', 4)}</section></div>",
+             f"<div>{p('Before', 2)}<ul>{p('Item', 20).replace('p>', 'li>')}</ul><p>After.</p></div>",
+             f"<div><p>Before.</p><table><tr><td>{p('Cell', 20)}</td></tr></table></div>"]
+    pages = [f"<html><body>{CHROME}{x}<div class=teaser><div>Read on at another place</div></div>{TAIL}</body></html>" for x in parts]
+    for part, page in zip(parts, pages):
+        assert extract(page, None) == flat(part)
+    rows = [(10 * i + j, f"http://h{i}.example.com/{j}", x, "", "", "", 0) for i, x in enumerate(pages) for j in range(3)]
+    got = {r.page_id: r.text for r in extract_pages(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {10 * i + j: flat(x) for i, x in enumerate(parts) for j in range(3)}
+    # further articles in a main element, and columns beside the text, stay out
+    cards = f"<main><article class=post>{p('Body', 20)}</article><article class=card>Another story</article></main>"
+    assert extract(cards, None) == flat(p("Body", 20))
+    rail = f"<div id=wrap><h1>Site</h1><div class=content>{p('Body', 30)}</div><div class=rail><div>{'rail ' * 60}</div></div></div>"
+    assert extract(rail, None) == flat(p("Body", 30))
