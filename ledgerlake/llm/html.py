@@ -3,8 +3,9 @@
 1. Every page is parsed and its containers scored: a block of text counts for
    the container around it and half for each one further out, less the part
    inside links; what its tag or its names mark as boilerplate counts
-   nothing.  A container's path is its chain of tags and classes with digits
-   generalised.
+   nothing.  Names are a weak sign (a page wrapper may be called with-sidebar):
+   a container so named that holds most of the page's content stays in.  A
+   container's path is its chain of tags and classes with digits generalised.
 2. From a container the page climbs to the widest one around it whose further
    text is still content: the same article or main element, or headings,
    paragraphs and lists that stand beside the container.
@@ -61,28 +62,107 @@ _CHROME = re.compile(r"(?:^|[-_\s])(?:ad|ads|advert\w*|adv|sponsor\w*|promo\w*|b
                      r"newsletter|subscri\w*|signup|sign-up|login|comments?|commentlist|disqus|respond|replies|popup|modal|overlay|"
                      r"toolbar|pagination|pager|widget\w*|search\w*|copyright|legal|skip\w*)(?:$|[-_\s\d])", re.I)
 _CONTENT = re.compile(r"(?:^|[-_\s])(?:article|content|entry|post|story|main|body|text)(?:$|[-_\s\d])", re.I)
+#: Names that say nothing but boilerplate, unlike with-sidebar or nav-open.
+_PLAIN = re.compile(r"ads?|advert\w*|sponsor(?:s|ed)?|promo|banner|cookies?|consent|nav(?:bar|igation)?|menu|side-?bar|footer|header|masthead|"
+                    r"breadcrumbs?|share|sharing|social|related|newsletter|login|comments?|commentlist|disqus|respond|replies|popup|modal|"
+                    r"overlay|toolbar|pagination|pager|widgets?|search|copyright|legal", re.I)
 _ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar"}
 _NUMBER = re.compile(r"\d+")
 
 
 class Node:
-    __slots__ = ("tag", "path", "parent", "dropped", "bonus", "score", "link")
+    __slots__ = ("tag", "path", "parent", "hard", "named", "plain", "content", "dropped", "bonus", "score", "link")
 
     def __init__(self, tag: str, names: dict[str, str], parent: "Node | None"):
         self.tag, self.parent, self.score = tag, parent, 0.0
-        words = " ".join(x for x in (names.get("class"), names.get("id")) if x)
+        words = [x for x in (names.get("class"), names.get("id")) if x]
+        tokens, words = " ".join(words).split(), " ".join(words)
         classes = sorted({_NUMBER.sub("#", c) for c in (names.get("class") or "").split()})
         self.path = (parent.path + "/" if parent else "") + ".".join([tag, *classes])
         self.link = tag == "a" or bool(parent and parent.link)
         self.bonus = 2.0 if tag in _MAIN else 1.5 if _CONTENT.search(words) else 1.0
         hidden = "hidden" in names or names.get("aria-hidden") == "true" or "display:none" in re.sub(
             r"\s", "", names.get("style") or "").lower()
-        chrome = (tag in _BOILERPLATE or (names.get("role") or "").lower() in _ROLES
-                  or tag not in _MAIN and tag not in ("html", "body") and bool(words and _CHROME.search(words)))
-        self.dropped = bool(parent and parent.dropped) or chrome or hidden
+        chrome = bool(words and _CHROME.search(words))
+        clean = any(_CONTENT.search(t) and not _CHROME.search(t) for t in tokens) if chrome else self.bonus > 1
+        self.content = clean and tag not in ("html", "body")
+        self.named = chrome and tag not in _MAIN and tag not in ("html", "body")
+        self.plain = self.named and any(_PLAIN.fullmatch(t) for t in tokens)
+        self.hard = (bool(parent and parent.hard) or hidden or tag in _BOILERPLATE
+                     or (names.get("role") or "").lower() in _ROLES)
+        self.dropped = bool(parent and parent.dropped) or self.hard or self.named
+
+
+def parse(page: str) -> list[tuple[Node, str]]:
+    """The runs of a page; a node is dropped by its tag, role or style, or by
+    a name unless it holds the page's content."""
+    runs = list(_runs(page))
+    nodes: dict[int, Node] = {}                       # with text, and all around them
+    for node, text in runs:
+        up = node
+        while up and id(up) not in nodes:
+            nodes[id(up)] = up
+            up = up.parent
+    if any(n.named for n in nodes.values()):
+        _spare(runs, list(nodes.values()))
+    return runs
+
+
+def _spare(runs: list[tuple[Node, str]], nodes: list[Node]) -> None:
+    """Takes back drops by name, outermost first: of a container with more
+    text than is left elsewhere and most of the text in content elements, or
+    without these most of the text outside plain names.  If no text is left,
+    only plain names count, and if that leaves none, no name."""
+    depth: dict[int, int] = {}
+    for n in nodes:
+        chain = []
+        while n and id(n) not in depth:
+            chain.append(n)
+            n = n.parent
+        d = depth[id(n)] if n else -1
+        for x in reversed(chain):
+            depth[id(x)] = d = d + 1
+    nodes.sort(key=lambda n: depth[id(n)])
+    # text not linked: in all, in content elements, outside named ones and outside plain ones further in
+    held = {id(n): [0, 0, 0, 0] for n in nodes}
+    nearest: dict[int, bool] = {}
+    for n in nodes:
+        nearest[id(n)] = n.content or not n.named and bool(n.parent and nearest[id(n.parent)])
+    for node, text in runs:
+        if text and not node.link and not node.hard and not text.isspace():
+            own = held[id(node)]
+            own[0] += len(text)
+            own[1] += len(text) * nearest[id(node)]
+            own[2] += len(text)
+            own[3] += len(text)
+    for n in reversed(nodes):
+        if n.parent:
+            into, own = held[id(n.parent)], held[id(n)]
+            into[0] += own[0]
+            into[1] += own[1]
+            into[2] += 0 if n.named else own[2]
+            into[3] += 0 if n.plain else own[3]
+    _, content, left, other = held[id(nodes[0])]
+
+    def spared(n):
+        text, inner, _, own = held[id(n)]
+        if text <= left:
+            return False
+        return 2 * inner > content if content else not n.plain and 2 * own > other
+
+    for n in nodes:
+        above = bool(n.parent and n.parent.dropped)
+        if n.named and not above and not n.hard and spared(n):
+            left += held[id(n)][2]
+            n.dropped = False
+        else:
+            n.dropped = above or n.hard or n.named
+    if not left:
+        for n in nodes:
+            n.dropped = n.hard or bool(other) and (n.plain or bool(n.parent and n.parent.dropped))
 
 
-def parse(page: str) -> Iterator[tuple[Node, str]]:
+def _runs(page: str) -> Iterator[tuple[Node, str]]:
     """(container, text) of each run of text between block boundaries, white
     space as it stands and references decoded; the container is the innermost
     open element.  A block boundary yields the empty text."""
@@ -278,10 +358,9 @@ def _texts(page: str, path: str) -> str | None:
                 out.append("".join(block))
                 block = []
             continue
-        if within(node):
+        if not node.dropped and within(node):
             seen = True
-            if not node.dropped:
-                block.append(text)
+            block.append(text)
     if block:
         out.append("".join(block))
     if not seen:

@@ -96,3 +96,18 @@ def test_blocks_beside_the_best_container(spark):
     assert extract(cards, None) == flat(p("Body", 20))
     rail = f"<div id=wrap><h1>Site</h1><div class=content>{p('Body', 30)}</div><div class=rail><div>{'rail ' * 60}</div></div></div>"
     assert extract(rail, None) == flat(p("Body", 30))
+
+
+def test_wrappers_named_like_boilerplate():
+    for name in ("content with-sidebar", "no-sidebar", "header-fixed", "page nav-open", "post category-social tag-ads"):
+        for inner in (BODY, f"<article>{BODY}</article>", f"<div class='entry tag-ads'>{BODY}</div>", f"<div>{BODY}</div>"):
+            page = f"<html><body>{CHROME}<div class='{name}'>{inner}<div class=sidebar><p>Side text</p></div></div>{TAIL}</body></html>"
+            assert extract(page, None) == WANT, (name, inner[:30])
+    side = "<div class=sidebar><div class=post>" + "<p>Side text of a column</p>" * 3 + "</div></div>"
+    assert extract(f"<body><div class=nav-open><div class=x>{BODY}</div>{side}</div></body>", None) == WANT
+    related = "<div class=related>" + "<article class=card>Some other story</article>" * 3 + "</div>"
+    assert extract(f"<body><div class=x>{BODY}</div>{related}</body>", None) == WANT
+    thread = "<div class=comments><article class=comment-body><p>" + "blah " * 500 + "</p></article></div>"
+    assert extract(f"<body><article>{BODY}</article>{thread}</body>", None) == WANT
+    assert extract("<body><div class=banner>All there is</div><nav>Menu</nav></body>", None) == "All there is"
+    assert extract("<body><nav>Menu</nav><p hidden>no</p></body>", None) == ""
