@@ -23,6 +23,12 @@ T = ceil(percent * size / 100) shingles with the other.
   outside its main component meet all its members of other components, are
   filtered by the heads of their sets, and probed.  So no link between
   components is missed; links inside a component add nothing to it.
+* All links.  Every link lies inside a component, so the join's full result
+  comes from the finished components: a component's records are cut into bands
+  of size (a link spans one band or two) and blocks of bounded size, and each
+  pair of blocks is counted by a matrix product over the shingles that occur
+  twice.  Numbers of links leave a pair of blocks as one row per record; the
+  links themselves are made only when they are read.
 
 Shingles and classes are 64-bit hashes.  Defined cases: NULL and empty texts
 have no set, size 0 and are their own component; fewer words than a shingle
@@ -32,6 +38,7 @@ result; other columns are ignored.
 """
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from functools import reduce
 
@@ -49,6 +56,8 @@ from .components import connected_components
 #: Counters of the list-length table, its slices, bits of the filter of wanted
 #: texts, rows held of a list, salts of the rest's join, probes in a block.
 COUNTERS_LOG2, SLICES, WANTED_LOG2, HELD_ROWS, SALTS, PROBES = 25, 64, 22, 50_000, 8, 64
+#: Records and shingles in a block of a component, columns of a matrix product.
+BLOCK_ROWS, BLOCK_SHINGLES, COLUMNS = 256, 500_000, 4096
 _U = np.uint64
 _C1, _C2 = _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
 
@@ -344,12 +353,112 @@ def heads_allow(p: bytes, q: bytes, percent: int) -> bool:
     return (nx - int((~np.isin(x, y)).sum()) >= need) and (ny - int((~np.isin(y, x)).sum()) >= need)
 
 
+def overlaps(sets: list[np.ndarray], first: int) -> np.ndarray:
+    """Shingles in common of each of the ``first`` sets with each of all."""
+    _, at, n = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    column = np.cumsum(n > 1) - 1
+    row, at = row[n[at] > 1], column[at[n[at] > 1]]
+    order = np.argsort(at, kind="stable")
+    row, at = row[order], at[order]
+    out = np.zeros((first, len(sets)), np.int64)
+    for c in range(0, int(at[-1]) + 1 if len(at) else 0, COLUMNS):
+        lo, hi = np.searchsorted(at, (c, c + COLUMNS))
+        m = np.zeros((len(sets), COLUMNS), np.float32)             # sums below 2^24 are exact
+        m[row[lo:hi], at[lo:hi] - c] = 1
+        out += (m[:first] @ m.T).astype(np.int64)
+    return out
+
+
+_KEY = ["component", "band", "i", "j", "spans"]
+_COUNTED_T = [("node", pa.int64()), ("n_links", pa.int64())]
+_PAIRS_T = [("a", pa.int64()), ("b", pa.int64())]
+
+
+def link_blocks(percent: int, pairs: bool) -> Callable:
+    """Sorted rows of pairs of blocks -> each record's weight of linked
+    records (node, n_links), or the links (a, b)."""
+
+    def linked(rows):
+        node, weight, side = (np.array([r[k] for r in rows], np.int64) for k in (0, 1, 2))
+        sets = [np.frombuffer(r[3], np.uint64) for r in rows]
+        first = int((side == 0).sum())
+        alone = first == len(rows)                    # one block against itself
+        if not first or len(rows) < 2:
+            return
+        n = np.array([len(x) for x in sets], np.int64)
+        need = -(-percent * (n[:first, None] + n[None, :]) // (100 + percent))
+        ok = overlaps(sets, first) >= need
+        ok[:, :first] = np.triu(ok[:, :first], 1) if alone else False
+        x, y = np.nonzero(ok)
+        if pairs:
+            for a in range(0, len(x), 100_000):
+                ends = node[x[a:a + 100_000]], node[y[a:a + 100_000]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(*ends)), pa.array(np.maximum(*ends))], ["a", "b"])
+            return
+        total = np.zeros(len(rows), np.int64)
+        np.add.at(total, x, weight[y])
+        np.add.at(total, y, weight[x])
+        yield pa.RecordBatch.from_arrays([pa.array(node[total > 0]), pa.array(total[total > 0])], ["node", "n_links"])
+
+    def run(stream):
+        at, held = None, []
+        for b in stream:
+            keys = zip(*(b.column(k).to_pylist() for k in range(5)))
+            rows = zip(*(b.column(k).to_pylist() for k in (5, 6, 7)), b.column(8))
+            for key, (node, weight, side, data) in zip(keys, rows):
+                if key != at:
+                    yield from linked(held) if held else ()
+                    at, held = key, []
+                held.append((node, weight, side, data.as_py()))
+        yield from linked(held) if held else ()
+        yield _batch(_PAIRS_T if pairs else _COUNTED_T, [])
+    return run
+
+
+def block_pairs(tied: DataFrame, records: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Rows (key, node, texts, side, data) of all pairs of blocks whose records
+    can be linked, sorted by key.  ``records``: node, n and texts; a component
+    that fits one block is one, whatever its sizes."""
+    wide = math.log(100 / percent) + 1e-4             # a little more than a link allows
+    c = (tied.join(records, "node")
+             .withColumn("own", F.floor(F.log(F.col("n").cast("double")) / F.lit(wide)).cast("int")))
+    blocks = F.ceil(F.greatest(F.sum("c") / BLOCK_ROWS, F.sum("s") / BLOCK_SHINGLES)).cast("int")
+    bands = (c.groupBy("component", "own").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s"))
+              .groupBy("component").agg(blocks.alias("all"), F.map_from_entries(F.collect_list(F.struct(
+                  "own", F.ceil(F.greatest(F.col("c") / BLOCK_ROWS, F.col("s") / BLOCK_SHINGLES)).cast("int")))).alias("bands")))
+    c = c.join(bands, "component")
+    c = (c.withColumn("own", F.when(F.col("all") == 1, 0).otherwise(F.col("own")))
+          .withColumn("bands", F.when(F.col("all") == 1, F.create_map(F.lit(0), F.lit(1))).otherwise(F.col("bands")))
+          .withColumn("block", F.pmod(F.xxhash64("node"), F.element_at("bands", F.col("own"))).cast("int")))
+
+    def copies(step, part):
+        n = F.coalesce(F.try_element_at("bands", F.col("own") + step), F.lit(0))
+        return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), part)).otherwise(F.array())
+
+    def key(band, i, j, spans, side):
+        return F.struct(band.cast("int").alias("band"), i.alias("i"), j.alias("j"), F.lit(spans).alias("spans"),
+                        side.cast("int").alias("side"))
+
+    own, block = F.col("own"), F.col("block")
+    inside = copies(0, lambda x: key(own, F.least(x, block), F.greatest(x, block), False, F.when(block > x, 1).otherwise(0)))
+    up = copies(1, lambda x: key(own, block, x, True, F.lit(0)))
+    down = copies(-1, lambda x: key(own - 1, x, block, True, F.lit(1)))
+    rows = (c.join(sets, "node")
+             .select("component", "node", "texts", "data", F.explode(F.concat(inside, up, down)).alias("k"))
+             .select("component", "k.band", "k.i", "k.j", "k.spans", "node", "texts", "k.side", "data"))
+    parts = int(tied.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parts, *_KEY).sortWithinPartitions(*_KEY, "side")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4,
-                    percent: int = 85) -> tuple[DataFrame, DataFrame]:
+                    percent: int = 85, complete: bool = True) -> tuple[DataFrame, DataFrame]:
     """(members, links).  members: doc_id, text_key (hash of the text), node
     (class, NULL without a set), group (the component's least class),
-    n_shingles and component_id of every row; links: the linked classes
-    (a, b) that tie the components."""
+    n_shingles, component_id and n_links of every row, the number of other
+    texts that its text is linked with (texts of equal sets are); links: all
+    linked pairs of classes (a < b).  Not ``complete``: no n_links, and only
+    links that tie the components."""
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
                         ).withColumn("text_key", F.xxhash64("text"))
@@ -382,7 +491,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = (named.join(least, "group", "left")
                     .select("doc_id", "text_key", "node", "group", F.col("n").cast("long").alias("n_shingles"),
                             F.when(F.col("group").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id")))
-    return members, links
+    if not complete:
+        return members, links
+
+    records = (rows.filter("node IS NOT NULL").select("node", "text_key", "n").distinct()
+                   .groupBy("node").agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("texts")))
+    sets = sets_of(texts, classes, tied.select("node"), words, full)
+    paired = block_pairs(tied, records, sets, percent)
+    counted = (paired.mapInArrow(link_blocks(percent, False), "node long, n_links long")
+                     .groupBy("node").agg(F.sum("n_links").alias("linked")))
+    n_links = records.join(counted, "node", "left").select("node", (F.coalesce("linked", F.lit(0)) + F.col("texts") - 1).alias("n_links"))
+    members = members.join(n_links, "node", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0)))
+    return members, paired.mapInArrow(link_blocks(percent, True), "a long, b long")
 
 
 def _rest(members: DataFrame, tied: DataFrame, percent: int) -> DataFrame:
@@ -411,7 +531,7 @@ def _rest(members: DataFrame, tied: DataFrame, percent: int) -> DataFrame:
 def keep_one(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
     """``docs`` with one row of each component: the smallest id (NULL last),
     then the smallest text hash.  Rows without a set all stay."""
-    members, _ = near_duplicates(docs, words=words, percent=percent)
+    members, _ = near_duplicates(docs, words=words, percent=percent, complete=False)
     order = F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "text_key")
     rows = (members.groupBy("group", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("copies")))
     least = rows.filter("group IS NOT NULL").groupBy("group").agg(F.min(order).alias("least"))

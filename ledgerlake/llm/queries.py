@@ -34,7 +34,7 @@ def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     members, _ = jaccard.near_duplicates(_docs(spark, sf_dir), words=4, percent=85)
-    return members.select("doc_id", "n_shingles", "component_id")
+    return members.select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 def tokenizer_path(name: str) -> str:

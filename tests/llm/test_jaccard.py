@@ -142,3 +142,40 @@ def test_components(spark):
             root[b] = a
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: find(x) for x in root}
+
+
+def plain_links(docs):
+    """Linked pairs of sets, by testing all pairs; each row's number of other
+    texts that its text is linked with."""
+    texts = {t: plain_set(t) for _, t in docs}
+    sets = [s for s in dict.fromkeys(texts.values()) if s]
+    copies = collections.Counter(texts.values())
+    links, number = 0, {s: copies[s] - 1 for s in sets}
+    for i, s in enumerate(sets):
+        for o in sets[:i]:
+            n = len(s & o)
+            if 100 * n >= 85 * (len(s) + len(o) - n):
+                links += 1
+                number[s] += copies[o]
+                number[o] += copies[s]
+    return links, collections.Counter((d, number.get(texts[t], 0)) for d, t in docs)
+
+
+@pytest.mark.parametrize("rows", [256, 7])
+def test_all_links(spark, rows, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK_ROWS", rows)  # 7: bands, blocks and pairs of them
+    monkeypatch.setattr(jaccard, "COLUMNS", 4096 if rows == 256 else 50)
+    rng, base = random.Random(9), " ".join(f"v{i}" for i in range(200))
+    docs = list(enumerate(_planted() + [_edited(base, 1 + i % 4, rng) for i in range(60)])) + [(None, "w1 w2 w3 w4"), (7, "W1 w2  w3 w4")]
+    members, links = jaccard.near_duplicates(spark.createDataFrame([(i, t, 1, 2, 3, "x") for i, t in docs], SCHEMA).repartition(3))
+    got = [(r.a, r.b) for r in links.collect()]
+    n, number = plain_links(docs)
+    assert len(got) == len(set(got)) == n > 500 and all(a != b for a, b in got)
+    assert collections.Counter((r.doc_id, r.n_links) for r in members.collect()) == number
+
+
+def test_overlaps():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 9000, rng.integers(1, 6000)).astype(np.uint64)) for _ in range(9)] + [np.array([10**6], np.uint64)]
+    assert jaccard.overlaps(sets, 4).tolist() == [[len(np.intersect1d(a, b)) if a is not b else int((np.isin(a, np.concatenate(
+        [x for x in sets if x is not a]))).sum()) for b in sets] for a in sets[:4]]
