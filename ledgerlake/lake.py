@@ -184,6 +184,33 @@ class Lake:
             self._delete(self.path(layer, table) + "/" + "/".join(f"{c}={v}" for c, v in value.items()))
         return n
 
+    def replace_values(self, df: DataFrame, layer: str, table: str, column: str, values: Sequence[str]) -> int:
+        """W3 for several values of one partition column: afterwards these
+        partitions hold exactly ``df``; those without rows are removed.  A row
+        outside them is an error that stops the write before it replaces."""
+        if not values:
+            return 0
+        refuse = f"rows outside {column} of {layer}.{table}"
+        wanted = [F.lit(v).cast(df.schema[column].dataType) for v in values]
+        inside = F.coalesce(F.col(column).isin(*wanted), F.lit(False))
+        checked = df.filter(F.when(inside, F.lit(True)).otherwise(F.raise_error(F.lit(refuse)).cast("boolean")))
+        seen = Observation()
+        checked = checked.observe(seen, F.collect_set(F.col(column).cast("string")).alias("values"))
+        try:
+            n = self._write(checked, layer, table, "overwrite", [column], dynamic=True)
+        except Exception as e:
+            if refuse in str(e):
+                raise ValueError(refuse) from e
+            raise
+        for v in sorted(set(values) - set(seen.get.get("values") or [])):
+            self._delete(f"{self.path(layer, table)}/{column}={v}")
+        return n
+
+    def cut(self, df: DataFrame) -> DataFrame:
+        """Cut lineage through a reliable checkpoint in the shared folder."""
+        checkpoint_dir(self.spark, f"{self.root}/_checkpoints")
+        return df.checkpoint()
+
     @contextmanager
     def staged(self, df: DataFrame):
         """Cut lineage: write ``df`` to a fresh table in the shared checkpoint

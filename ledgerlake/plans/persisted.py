@@ -172,3 +172,94 @@ def a12_table(spark, sf):
     ni.run_reports(lake)
     latest = lake.read("silver", "dispute_registry")
     return latest.filter(F.col("filed_ts").isNull() | (F.col("filed_ts") > F.lit("2023-12-02").cast("timestamp_ntz")))
+
+
+# ------------------------------------------- events that move or arrive late
+_DAILY = """
+SELECT 'daily' AS table_name, cast(event_ts AS date) AS day, merchant_id AS key_1, CAST(NULL AS varchar) AS key_2,
+       count(*) AS row_count, count(DISTINCT customer_id) AS customers,
+       cast(sum(amount_decimal) AS decimal(18,2)) AS amount
+FROM {src} GROUP BY 2, 3
+UNION ALL
+SELECT 'hourly', cast(event_ts AS date), strftime(date_trunc('hour', event_ts), '%Y-%m-%d %H'),
+       currency || ' ' || region, count(*), 0, cast(sum(amount_decimal) AS decimal(18,2))
+FROM {src} GROUP BY 2, 3, 4"""
+
+
+def _reported(lake) -> DataFrame:
+    """Daily summary and hourly volume of a lake in the columns of ``_DAILY``."""
+    daily = lake.read("gold", "daily_merchant_summary").select(
+        F.lit("daily").alias("table_name"), F.col("report_date").alias("day"), F.col("merchant_id").alias("key_1"),
+        F.lit(None).cast("string").alias("key_2"), F.col("transaction_count").alias("row_count"),
+        F.col("unique_customers").alias("customers"), F.col("total_amount").alias("amount"))
+    hourly = lake.read("gold", "hourly_transaction_volume").select(
+        F.lit("hourly"), F.col("report_date"), F.date_format("hour", "yyyy-MM-dd HH"),
+        F.concat_ws(" ", "currency", "region"), F.col("transaction_count"), F.lit(0).cast("long"),
+        F.col("total_volume"))
+    return daily.union(hourly)
+
+
+def _ledger_rows(lake) -> DataFrame:
+    return lake.read("silver", "reconciliation_ledger", LEDGER_SCHEMA).select(
+        F.lit("ledger").alias("table_name"), F.col("payment_date").alias("day"), F.col("merchant_id").alias("key_1"),
+        F.col("reconciliation_status").alias("key_2"), F.lit(1).cast("long").alias("row_count"),
+        F.lit(0).cast("long").alias("customers"), F.col("payment_amount").alias("amount"))
+
+
+SQL_MOVED = f"""
+moved AS (
+  SELECT * REPLACE (TIMESTAMP '{NEXT_DATE} 10:00:00' AS event_ts) FROM v_clean
+  WHERE cast(event_ts AS date) = DATE '{REPORT_DATE}' AND amount > 50
+  UNION ALL
+  SELECT * FROM v_clean WHERE cast(event_ts AS date) = DATE '{NEXT_DATE}'
+     OR cast(event_ts AS date) = DATE '{REPORT_DATE}' AND NOT amount > 50
+)"""
+
+
+def moved_lakes(spark, sf, modes, where=None):
+    """Lakes of the payments (``where`` holds) in which payments of the report date come again on the next day,
+    after the first night's run ('nightly') or before the only one ('catchup')."""
+    v = fx.v_events(spark, sf).filter(F.col("event_type") == PAYMENT)
+    day = F.to_date(F.try_to_timestamp("timestamp"))
+    v = v if where is None else v.filter(where(day))
+    again = v.filter((day == F.lit(REPORT_DATE).cast("date")) & (F.col("amount") > 50)) \
+             .withColumn("timestamp", F.lit(f"{NEXT_DATE} 10:00:00"))
+    for mode in modes:
+        lake = _scratch_lake(spark, f"moved-{mode}")
+        ni.ingest_batch(lake, wire_from(v), 1, raw_json=True, source="first")
+        if mode == "nightly":
+            ni.run_nightly(lake, REPORT_DATE, "first", clock=_clock())
+        ni.ingest_batch(lake, wire_from(again), 1, raw_json=True, source="again")
+        ni.run_nightly(lake, NEXT_DATE if mode == "nightly" else None, "second", clock=_clock())
+        yield lake
+
+
+@register("r1_moved_id", _sql(_DAILY.format(src="moved") + """
+UNION ALL
+SELECT 'ledger', cast(event_ts AS date), merchant_id, 'awaiting_settlement', 1, 0,
+       cast(sum(amount_decimal) AS decimal(18,2)) FROM moved GROUP BY 2, 3""", *PAY_CTES, SQL_MOVED))
+def r1_moved_id(spark, sf):
+    """Ids reported on one day come again on the next: the second night takes
+    them out of the first day's Gold and ledger too."""
+    lake, = moved_lakes(spark, sf, ["nightly"])
+    return _reported(lake).union(_ledger_rows(lake))
+
+
+@register("m2_late_arrivals", _sql("SELECT * FROM (" + _DAILY.format(src="v_clean") + """
+UNION ALL
+SELECT 'ledger', payment_date, merchant_id, reconciliation_status, 1, 0, payment_amount FROM ledger_st) a
+""" + f"WHERE day IN (DATE '{REPORT_DATE}', DATE '{NEXT_DATE}')", *PAY_CTES, *SQL_EVENT_LEDGER, SQL_LEDGER))
+def m2_late(spark, sf):
+    """A fifth of the first day's payments, and all settlements, arrive after
+    the first night: the second night redoes the first day as well."""
+    lake = _scratch_lake(spark, "m2late")
+    v = fx.v_events(spark, sf).filter(F.col("event_type") == PAYMENT)
+    late = (F.to_date(F.try_to_timestamp("timestamp")) == F.lit(REPORT_DATE).cast("date")) & \
+        (F.substring("event_key", 5, 20).cast("long") % 5 == 0)
+    late = F.coalesce(late, F.lit(False))
+    ni.ingest_batch(lake, wire_from(v.filter(~late)), 1, raw_json=True)
+    ni.run_nightly(lake, REPORT_DATE, "first", clock=_clock())
+    ni.ingest_batch(lake, wire_from(v.filter(late)), 2, raw_json=True)
+    ni.ingest_batch(lake, conform(_settlements(spark, sf), UNION_SCHEMA), 1, source="settlements")
+    ni.run_nightly(lake, NEXT_DATE, "second", clock=_clock())
+    return _reported(lake).union(_ledger_rows(lake))

@@ -62,6 +62,8 @@ def bronze_batch_writer(lake, layer: str = "bronze", table: str = "events",
                         source: str = "stream") -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function; ``source`` names the stream."""
 
+    from ..plans.changes import observed_days, record_commits
+
     def process(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():                                    # T2
             return
@@ -73,9 +75,11 @@ def bronze_batch_writer(lake, layer: str = "bronze", table: str = "events",
         counted = routed.observe(
             obs, F.count(F.lit(1)).alias("consumed"),
             F.count_if(F.col("target_table") != DEAD_LETTER).alias("valid"),
-            F.count_if(F.col("target_table") == DEAD_LETTER).alias("invalid"))
+            F.count_if(F.col("target_table") == DEAD_LETTER).alias("invalid"),
+            observed_days().alias("days"))
         lake.replace_partitions(counted, layer, table, BRONZE_PARTITIONS)
         m = obs.get
+        record_commits(lake, m["days"] or [], source, batch_id)
         audit = lake.spark.createDataFrame(
             [(source, int(batch_id), int(m["consumed"]), int(m["valid"]), int(m["invalid"]))],
             "ingest_source string, ingest_batch long, consumed long, valid long, invalid long")
