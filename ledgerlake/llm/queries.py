@@ -4,7 +4,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html, jaccard, language, mixing, parsing, secrets, tokenstore, topk, toxicity
+from . import (bpe, collocations, html, jaccard, language, linededup, mixing, parsing, secrets, tokenstore, topk,
+               toxicity, whitening)
 from .common import held_out, shared_path, table
 
 
@@ -77,6 +78,23 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenstore.read_all(spark, path)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return done.select("vec_id", "component", F.col("n").cast("long").alias("n"),
+                       F.col("deviation").try_cast("long").alias("deviation"),
+                       "whitened", "explained", "identity_error")
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = linededup.dedup_lines(_docs(spark, sf_dir))
+    return done.select("doc_id", "n_lines", "n_dropped",
+                       F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_docs(spark, sf_dir)).withColumnRenamed("group", "lang")
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_language_id": op2_language_id,
@@ -88,6 +106,9 @@ QUERIES = {
     "op8_exact_topk": op8_exact_topk,
     "op9_fingerprint": op9_fingerprint,
     "op10_token_store": op10_token_store,
+    "op11_whitening": op11_whitening,
+    "op12_line_dedup": op12_line_dedup,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLE = {
@@ -139,5 +160,51 @@ s AS (
   FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+""",
+    "op12_line_dedup": r"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM d),
+k AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+f AS (SELECT key, min(doc_id) AS first FROM k WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
+m AS (SELECT k.*, coalesce(f.first <> k.doc_id, false) AS gone FROM k LEFT JOIN f ON k.key = f.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+""",
+    "op13_collocations": r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                             'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+t AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (
+  SELECT lang, size, phrase, count(*) AS f FROM (
+    SELECT lang, 1 AS size, unnest(ws) AS phrase FROM w
+    UNION ALL
+    SELECT lang, 2, unnest([ws[i] || ' ' || ws[i + 1] for i in range(1, len(ws))]) FROM w
+    UNION ALL
+    SELECT lang, 3, unnest([ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] for i in range(1, len(ws) - 1)]) FROM w) u
+  GROUP BY ALL),
+c AS (SELECT *, string_split(phrase, ' ') AS ws FROM g WHERE size >= 2 AND f >= 10),
+s AS (
+  SELECT c.lang, c.phrase, c.size, c.f AS a, k.k, l.f AS l, r.f AS r,
+         1000000::HUGEINT * c.f * c.f // (l.f::HUGEINT * r.f) AS score
+  FROM c JOIN (VALUES (1), (2)) k(k) ON k.k < c.size
+  JOIN g l ON l.lang = c.lang AND l.phrase = array_to_string(c.ws[1:k.k], ' ')
+  JOIN g r ON r.lang = c.lang AND r.phrase = array_to_string(c.ws[k.k + 1:], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+i AS (
+  SELECT lang, phrase, max(f) AS f FROM (
+    SELECT lang, ws[1] || ' ' || ws[2] AS phrase, f FROM c WHERE size = 3
+    UNION ALL SELECT lang, ws[2] || ' ' || ws[3], f FROM c WHERE size = 3) x GROUP BY ALL),
+o AS (SELECT b.* FROM b LEFT JOIN i ON i.lang = b.lang AND i.phrase = b.phrase AND b.size = 2
+      WHERE i.f IS NULL OR 100 * i.f < 50 * b.a)
+SELECT o.lang, row_number() OVER (PARTITION BY o.lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank,
+       phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM o JOIN t ON t.lang = o.lang QUALIFY rank <= 2000
 """,
 }
