@@ -49,7 +49,7 @@ _MAP = {**{c: END for c in b".,;:!?\n\x0b\x0c\r"}, 0x09: 0x20, **{c: c + 32 for
 #: A-Z in lower case, tabs as spaces, piece ends as ``END``.
 TABLE = bytes(_MAP.get(c, c) for c in range(256))
 #: Bytes split at once, words counted at once in a task, text of a bucket.
-CHUNK, FLUSH, BUCKET_BYTES = 1 << 22, 1 << 22, 1 << 26
+CHUNK, FLUSH, BUCKET_BYTES = 1 << 21, 1 << 21, 1 << 25
 
 
 def _word_ids(data: bytes, vocab: defaultdict) -> Iterator[np.ndarray]:
@@ -217,7 +217,7 @@ def windows(docs: DataFrame, text: str, group: str, order: int, min_count: int,
     counted = src.mapInArrow(_count_windows(order, buckets),
                              "bucket long, group string, words binary, w array<int>, c array<int>")
     words = ", ".join(f"w{i + 1} string" for i in range(order))
-    return counted.repartition("bucket", "group").sortWithinPartitions("bucket", "group") \
+    return counted.repartition(buckets, "bucket", "group").sortWithinPartitions("bucket", "group") \
         .mapInArrow(_merge_windows(order, min_count), f"group string, {words}, c long")
 
 

@@ -19,6 +19,7 @@ gives an empty result; other columns are ignored.
 """
 from __future__ import annotations
 
+import pickle
 import re
 import zlib
 from collections import Counter
@@ -222,10 +223,18 @@ def toxic_words(docs: list[set[str]], y: np.ndarray, min_share: float, odds: flo
 def learn(docs: DataFrame, labels: DataFrame, per_class: int = 1200, max_chars: int = 20_000,
           min_share: float = 0.01, odds: float = 8.0) -> Scorer:
     """Learn from at most ``per_class`` labelled documents of each class of at
-    most ``max_chars`` code points; the sample is the only thing collected."""
+    most ``max_chars`` code points.  One task trains on that sample; the driver
+    receives the scorer (2^HASH_BITS weights) only."""
     d = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     sample, counts = _sample(d, labels.select("doc_id", "toxic"), per_class, max_chars)
-    return fit(sorted((r.text, r.toxic) for r in sample.collect()), counts, min_share, odds)
+
+    def train(stream):
+        rows = [r for b in stream for r in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist())]
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(sorted(rows), counts, min_share, odds))],
+                                                   pa.binary())], ["scorer"])
+
+    trained = sample.repartition(1).mapInArrow(train, "scorer binary").first()
+    return pickle.loads(trained.scorer) if trained else fit([], counts, min_share, odds)
 
 
 def fit(rows: list[tuple[str, int]], counts: dict[int, int], min_share: float = 0.01, odds: float = 8.0) -> Scorer:
