@@ -224,3 +224,54 @@ def asof_totals(df: DataFrame, entity: str, day: Column | str, amount: str, anch
     return df.groupBy(entity).agg(*[
         F.sum(F.when(gap.between(0, n), F.col(amount))).cast(MONEY).alias(f"{prefix}_{n}d")
         for n in windows])
+
+
+def entity_days(payments: DataFrame, entity: str) -> DataFrame:
+    """N4 partials: per (entity, ``day``) the sums that windows are made of
+    and the last second.  They merge by addition, so a day is redone alone."""
+    return payments.groupBy(entity, F.to_date("event_ts").alias("day")).agg(
+        F.sum("amount_decimal").alias("_s"), F.count("transaction_id").alias("_c"),
+        F.count("amount_decimal").alias("_nn"), epoch_seconds(F.max("event_ts")).alias("_last"))
+
+
+def _day_of_epoch(e: Column) -> Column:
+    return F.date_from_unix_date(F.floor(e / DAY).cast("int"))
+
+
+def boundary_days(days: DataFrame, entity: str, windows: Sequence[int]) -> DataFrame:
+    """(entity, day, _n, _from): the day in which each entity's window of
+    ``_n`` days begins, where it has events that day, and the first second
+    inside; only these days are needed by the second."""
+    last = days.groupBy(entity).agg(F.max("_last").alias("_end"))
+    begins = last.select(entity, F.explode(F.array(*[F.lit(n) for n in windows])).alias("_n"), "_end") \
+        .withColumn("_from", F.col("_end") - F.col("_n") * DAY).withColumn("day", _day_of_epoch(F.col("_from")))
+    return begins.join(days.select(entity, "day"), [entity, "day"], "left_semi").select(entity, "day", "_n", "_from")
+
+
+def windows_from_days(days: DataFrame, begins: DataFrame, on_begin_days: DataFrame, entity: str,
+                      windows: Sequence[int] = DEFAULT_WINDOWS, prefix_sum: str = "spend",
+                      prefix_cnt: str = "tx_count", prefix_avg: str | None = None) -> DataFrame:
+    """``windows_at_latest`` from day partials: whole days after a window's
+    first day, plus that day's events from the window's first second on
+    (``on_begin_days``: payments of the days in ``begins``)."""
+    last = days.groupBy(F.col(entity).alias("_le")).agg(F.max("_last").alias("_end"))
+    whole = days.join(last, days[entity] == last["_le"]) \
+        .withColumn("_n", F.explode(F.array(*[F.lit(n) for n in windows]))) \
+        .filter(F.col("day") > _day_of_epoch(F.col("_end") - F.col("_n") * DAY)) \
+        .select(entity, "_n", "_s", "_c", "_nn")
+    points = on_begin_days.select(F.col(entity), F.to_date("event_ts").alias("day"), epoch_seconds("event_ts").alias("_e"),
+                                  "amount_decimal", "transaction_id")
+    part = points.join(begins, [entity, "day"]).filter(F.col("_e") >= F.col("_from")).groupBy(entity, "_n").agg(
+        F.sum("amount_decimal").alias("_s"), F.count("transaction_id").alias("_c"),
+        F.count("amount_decimal").alias("_nn"))
+    parts = whole.unionByName(part)
+    aggs = []
+    for n in windows:
+        s_name, c_name, a_name = _names(prefix_sum, prefix_cnt, prefix_avg, n)
+        here = F.col("_n") == n
+        w_s, w_n = F.sum(F.when(here, F.col("_s"))), F.sum(F.when(here, F.col("_nn")))
+        aggs.append(F.when(w_n > 0, w_s).cast(MONEY).alias(s_name))
+        aggs.append(F.coalesce(F.sum(F.when(here, F.col("_c"))), F.lit(0).cast("bigint")).alias(c_name))
+        if a_name:
+            aggs.append(F.try_divide(F.when(w_n > 0, w_s).cast("double"), w_n.cast("double")).alias(a_name))
+    return parts.groupBy(entity).agg(*aggs)

@@ -62,7 +62,12 @@ def merchant_analytics(payments: DataFrame, refunds: DataFrame, chargebacks: Dat
     All three sides are aggregates on ``merchant_id``; the two left joins
     reuse that hash partitioning, so no extra exchange is planned.
     """
-    r = (merchant_payments(payments)
+    return merchant_ratios(merchant_payments(payments), refunds, chargebacks, computed_at)
+
+
+def merchant_ratios(totals: DataFrame, refunds: DataFrame, chargebacks: DataFrame, computed_at=None) -> DataFrame:
+    """A9 from the merchants' payment totals."""
+    r = (totals
          .join(count_by_merchant(refunds, "refund_id", "refund_count"), "merchant_id", "left")
          .join(count_by_merchant(chargebacks, "dispute_id", "chargeback_count"), "merchant_id", "left")
          .fillna(0, subset=["refund_count", "chargeback_count"])

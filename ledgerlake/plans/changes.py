@@ -19,6 +19,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..schemas import BRONZE_TABLE, PAYMENT, SETTLEMENT
+
 COMMIT = "target_table string, event_day string, ingest_source string, ingest_batch long, commit string"
 COMMIT_KEYS = ["target_table", "event_day", "ingest_source", "ingest_batch", "commit"]
 #: ``ingest_source`` of the rows that say that a day has been processed.
@@ -60,15 +62,38 @@ def open_days(lake) -> DataFrame:
     return consumed(lake).filter(F.col("ingest_source") == OPENED).select("event_day").distinct()
 
 
+#: Inputs of the day-partitioned tables; the others are due whatever their day.
+BY_DAY = (BRONZE_TABLE[PAYMENT], BRONZE_TABLE[SETTLEMENT])
+
+
 def due(lake, report_date: str | None) -> DataFrame:
-    """Pending commits a run for ``report_date`` consumes: those of that day
-    and of days processed before (late arrivals); all for a catch-up."""
+    """Pending commits a run for ``report_date`` consumes: payments and
+    settlements of that day and of days processed before (late arrivals),
+    and all other events; everything for a catch-up."""
     todo = pending(lake)
     if report_date is None:
         return todo
     days = open_days(lake).unionByName(
         lake.spark.createDataFrame([(report_date,)], "event_day string")).distinct()
-    return todo.join(days, "event_day", "left_semi").select(*COMMIT_KEYS)
+    by_day = F.col("target_table").isin(*BY_DAY)
+    return todo.filter(by_day).join(days, "event_day", "left_semi").select(*COMMIT_KEYS) \
+        .unionByName(todo.filter(~by_day))
+
+
+def mark_dirty(lake, days: Iterable[str]) -> None:
+    """Days about to change, noted before they do: a run that fails after the
+    change leaves them for the next one."""
+    lake.append(lake.spark.createDataFrame([(d,) for d in days], "day string").coalesce(1), "silver", "dirty_days")
+
+
+def dirty_days(lake) -> list[str]:
+    if not lake.exists("silver", "dirty_days"):
+        return []
+    return sorted(r[0] for r in lake.read("silver", "dirty_days").distinct().collect())
+
+
+def clear_dirty(lake) -> None:
+    lake._delete(lake.path("silver", "dirty_days"))
 
 
 def days_of(frame: DataFrame, target_table: str) -> list[str]:

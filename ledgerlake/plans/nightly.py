@@ -27,8 +27,8 @@ from ..operators import reconcile as rc
 from ..operators.ingest import bronze_record, conform, decode_events, ingest_frame
 from ..operators.keyindex import KeyIndex
 from ..schemas import (BRONZE_TABLE, CHARGEBACK, DEFAULT_TOLERANCE, DEFAULT_WINDOWS, LEDGER_SCHEMA,
-                       MERCHANT_SCHEMA, PAYMENT, REFUND, SETTLEMENT, SETTLEMENT_SCHEMA,
-                       SILVER_PAYMENT_SCHEMA, UNION_SCHEMA)
+                       MERCHANT_SCHEMA, MONEY, PAYMENT, REFUND, SETTLEMENT, SETTLEMENT_SCHEMA,
+                       SILVER_PAYMENT_SCHEMA, TOTAL, UNION_SCHEMA)
 from ..streaming.ingest import BRONZE_PARTITIONS
 from . import changes as ch
 
@@ -38,6 +38,8 @@ TABLES = (
     ("silver", "reconciliation_ledger", ("merchant_id",), ("payment_date",)),
     ("gold", "daily_merchant_summary", ("merchant_id",), ("report_date",)),
     ("gold", "hourly_transaction_volume", ("hour",), ("report_date",)),
+    ("gold", "customer_days", ("customer_id",), ("day",)),
+    ("gold", "merchant_days", ("merchant_id",), ("day",)),
     ("gold", "ml_feature_store_customers", ("customer_id",), ()),
     ("gold", "ml_feature_store_merchants", ("merchant_id",), ()),
 )
@@ -161,9 +163,11 @@ def merge_silver(lake: Lake, incoming: DataFrame) -> list[str]:
     with lake.staged(incoming) as new:
         if not lake.exists(*table):
             index.clear()
+            days = _days(new, "payment_date")
+            ch.mark_dirty(lake, days)
             lake.overwrite(new, *table, partition_by=["payment_date"])
             index.add(new)
-            return _days(new, "payment_date")
+            return days
         if not index.exists():
             index.add(silver_payments(lake))
         old = index.lookup(new).select(F.col(key).alias("_id"), F.col("payment_date").alias("_day"),
@@ -177,6 +181,7 @@ def merge_silver(lake: Lake, incoming: DataFrame) -> list[str]:
                 return []
             kept = silver_payments(lake).filter(F.col("payment_date").isin([_as_date(d) for d in days])) \
                 .join(winners.select(key), key, "left_anti")
+            ch.mark_dirty(lake, days)
             rows = winners.drop("_day")
             with lake.staged(kept.select(*rows.columns).unionByName(rows)) as merged:
                 lake.replace_values(merged, *table, "payment_date", days)
@@ -274,37 +279,144 @@ def settlements(lake: Lake) -> DataFrame:
     return lake.spark.createDataFrame([], SETTLEMENT_SCHEMA)
 
 
+#: Entity-day partials (N4): table and key column.
+ENTITY_DAYS = (("customer_days", "customer_id"), ("merchant_days", "merchant_id"))
+
+
+def _have_partials(lake: Lake) -> bool:
+    return all(lake.exists("gold", t) for t, _ in ENTITY_DAYS)
+
+
+def run_partials(lake: Lake, days: Days = None) -> dict:
+    """Redo the entity-day partials of ``days`` (None: every day) from
+    those days of Silver alone, and note whose sums changed."""
+    days = _day_list(days) if _have_partials(lake) else None
+    pay = _dated(silver_payments(lake), "payment_date", days)
+    out = {}
+    for table, entity in ENTITY_DAYS:
+        fresh = fe.entity_days(pay, entity)
+        if days is None:
+            out[table] = lake.overwrite(fresh, "gold", table, partition_by=["day"])
+            lake._delete(lake.path("gold", f"{table}_changed"))
+            continue
+        before = lake.read("gold", table).filter(F.col("day").isin([_as_date(d) for d in days]))
+        lake.overwrite(before.select(entity).unionByName(fresh.select(entity)).distinct(), "gold", f"{table}_changed")
+        out[table] = lake.replace_values(fresh, "gold", table, "day", days)
+    return out
+
+
 def run_merchant_analytics(lake: Lake, clock: Column | None = None) -> dict:
-    """A9 with the settlement lag (A11) of each merchant."""
-    pay = silver_payments(lake)
-    out = go.merchant_analytics(pay, bronze(lake, REFUND), bronze(lake, CHARGEBACK),
-                                clock if clock is not None else F.current_timestamp())
-    lag = rc.settlement_lag(rc.daily_payments(pay), rc.daily_settlements(settlements(lake)))
+    """A9 with the settlement lag (A11) of each merchant; payments come from
+    the merchant-day partials where they exist, else from all of Silver."""
+    if _have_partials(lake):
+        per_day = lake.read("gold", "merchant_days")
+        totals = per_day.groupBy("merchant_id").agg(F.sum("_c").alias("total_transactions"),
+                                                    F.sum("_s").cast(TOTAL).alias("total_gmv"))
+        daily = per_day.select("merchant_id", F.col("day").alias("payment_date"),
+                               F.col("_s").cast(MONEY).alias("payment_amount"))
+    else:
+        pay = silver_payments(lake)
+        totals, daily = go.merchant_payments(pay), rc.daily_payments(pay)
+    out = go.merchant_ratios(totals, bronze(lake, REFUND), bronze(lake, CHARGEBACK),
+                             clock if clock is not None else F.current_timestamp())
+    lag = rc.settlement_lag(daily, rc.daily_settlements(settlements(lake)))
     return {"records": lake.overwrite(out.join(lag, "merchant_id", "left"), "gold", "merchant_analytics")}
 
 
-def run_reports(lake: Lake) -> dict:
-    """The dispute registry and the reconciliation report."""
-    disputes = rc.dispute_registry(bronze(lake, CHARGEBACK), silver_payments(lake))
-    ledger = lake.read("silver", "reconciliation_ledger", LEDGER_SCHEMA)
-    return {"disputes": lake.overwrite(disputes, "silver", "dispute_registry"),
-            "report_rows": lake.overwrite(rc.reconciliation_report(ledger), "gold", "reconciliation_report")}
+def _payments_of(lake: Lake, disputes: DataFrame) -> DataFrame:
+    """Silver rows of the payments that ``disputes`` name: the key index gives
+    their days, and only those are read."""
+    ids = disputes.select(F.col("original_tx_id").alias("transaction_id")).filter("transaction_id IS NOT NULL") \
+        .distinct()
+    asked = ids.withColumns({"payment_date": F.lit(None).cast("date"), "event_ts": F.lit(None).cast("timestamp_ntz"),
+                             "ingest_timestamp": F.lit(None).cast("timestamp")})
+    found = payment_index(lake).lookup(asked)
+    days = _days(found, "payment_date")
+    return _dated(silver_payments(lake), "payment_date", days).join(found.select("transaction_id"),
+                                                                    "transaction_id", "left_semi")
 
 
-def run_feature_store(lake: Lake, windows: Sequence[int] = DEFAULT_WINDOWS,
-                      method: str = "latest", clock: Column | None = None) -> dict:
-    """Customer and merchant features, overwritten."""
+def run_reports(lake: Lake, days: Days = None, due: DataFrame | None = None) -> dict:
+    """The dispute registry and the reconciliation report.
+
+    With ``days`` (changed) and ``due`` commits the report is redone for those
+    days alone, and the registry for new disputes and for disputes whose
+    payment lies on a changed day, so an orphan meets a payment that arrives
+    later; without, or the first time, both are made from everything."""
+    ledger = lake.read("silver", "reconciliation_ledger", LEDGER_SCHEMA)
+    report, registry = ("gold", "reconciliation_report"), ("silver", "dispute_registry")
+    days = _day_list(days)
+    if days is None or not lake.exists(*report):
+        n = lake.overwrite(rc.reconciliation_report(ledger), *report, partition_by=["payment_date"])
+    else:
+        n = lake.replace_values(rc.reconciliation_report(_dated(ledger, "payment_date", days)), *report,
+                                "payment_date", days)
+    if days is None or due is None or not lake.exists(*registry) or not payment_index(lake).exists():
+        full = rc.dispute_registry(bronze(lake, CHARGEBACK), silver_payments(lake))
+        return {"disputes": lake.overwrite(full, *registry), "report_rows": n}
+    known = lake.read(*registry)
+    moved = _dated(silver_payments(lake), "payment_date", days).select(F.col("transaction_id").alias("original_tx_id"))
+    new = _bronze_commits(lake, CHARGEBACK, due)
+    touched = new.select("dispute_id").unionByName(
+        known.join(moved, "original_tx_id", "left_semi").select("dispute_id")).distinct()
+    with lake.staged(touched) as ids:
+        same = F.col("a.dispute_id").eqNullSafe(F.col("b.dispute_id"))
+        again = bronze(lake, CHARGEBACK).alias("a").join(ids.alias("b"), same, "left_semi")
+        with lake.staged(rc.dispute_registry(again, _payments_of(lake, again))) as fresh:
+            kept = known.alias("a").join(ids.alias("b"), same, "left_anti")
+            with lake.staged(kept.select(*fresh.columns).unionByName(fresh)) as merged:
+                return {"disputes": lake.overwrite(merged, *registry), "report_rows": n}
+
+
+def _bronze_commits(lake: Lake, kind: str, due: DataFrame) -> DataFrame:
+    """Bronze rows of one kind in the partitions that commits name."""
+    mine = due.filter(F.col("target_table") == BRONZE_TABLE[kind]).select("event_day", "ingest_source", "ingest_batch") \
+        .distinct()
+    rows = bronze(lake, kind).withColumn("event_day", ch.day_of_partition())
+    same = [F.nullif(F.col("r.event_day"), F.lit("")).eqNullSafe(F.col("m.event_day")),
+            F.col("r.ingest_source") == F.col("m.ingest_source"), F.col("r.ingest_batch") == F.col("m.ingest_batch")]
+    return rows.alias("r").join(mine.alias("m"), same, "left_semi").drop("event_day")
+
+
+FEATURES = (("ml_feature_store_customers", "customer_days", "customer_id", fe.customer_features, {}),
+            ("ml_feature_store_merchants", "merchant_days", "merchant_id", fe.merchant_features,
+             {"prefix_sum": "gmv", "prefix_avg": "avg_ticket"}))
+
+
+def run_feature_store(lake: Lake, windows: Sequence[int] = DEFAULT_WINDOWS, method: str = "latest",
+                      clock: Column | None = None, incremental: bool = False) -> dict:
+    """Customer and merchant features.
+
+    ``incremental`` redoes the entities noted by ``run_partials``: their
+    windows are sums of day partials, plus the events of the day in which a
+    window begins; rows of other entities stay as they are, with the time they
+    were computed at."""
     pay = silver_payments(lake)
     ts = clock if clock is not None else F.current_timestamp()
-    c = lake.overwrite(fe.customer_features(pay, windows, method, ts), "gold", "ml_feature_store_customers")
-    m = lake.overwrite(fe.merchant_features(pay, windows, method, ts), "gold", "ml_feature_store_merchants")
-    return {"customer_features": c, "merchant_features": m}
+    out = []
+    for table, partials, entity, whole, names in FEATURES:
+        changed = f"{partials}_changed"
+        if not (incremental and lake.exists("gold", table) and lake.exists("gold", changed)):
+            out.append(lake.overwrite(whole(pay, windows, method, ts), "gold", table))
+            continue
+        ids = lake.read("gold", changed)
+        same = F.col(f"a.{entity}").eqNullSafe(F.col(f"b.{entity}"))
+        with lake.staged(lake.read("gold", partials).alias("a").join(ids.alias("b"), same, "left_semi")) as days, \
+                lake.staged(fe.boundary_days(days, entity, windows)) as begins:
+            on_days = _dated(pay, "payment_date", _days(begins, "day"))
+            fresh = fe.windows_from_days(days, begins, on_days, entity, windows, **names).withColumn("feature_ts", ts)
+            old = lake.read("gold", table)
+            kept = old.alias("a").join(ids.alias("b"), same, "left_anti")
+            with lake.staged(kept.unionByName(fresh.select(*old.columns))) as merged:
+                out.append(lake.overwrite(merged, "gold", table))
+    return {"customer_features": out[0], "merchant_features": out[1]}
 
 
 def run_nightly(lake: Lake, report_date: str | date | None, run_id: str = "manual",
                 clock: Column | None = None, tolerance: str = DEFAULT_TOLERANCE,
                 optimize: bool = False, feature_method: str = "latest") -> dict:
-    """Cleanse -> reconcile -> gold -> merchant analytics -> reports -> features.
+    """Cleanse -> reconcile -> gold -> entity-day partials -> merchant
+    analytics -> reports -> features.
 
     A run for a date also takes the events that have arrived since for days
     processed before, and redoes every day that gained or lost a row
@@ -322,22 +434,25 @@ def run_nightly(lake: Lake, report_date: str | date | None, run_id: str = "manua
             nonlocal days
             done = run_silver_cleanse(lake, rd, run_id or "catchup", due)
             if rd is not None:
-                days = sorted({rd, *done["dirty_days"], *ch.days_of(due, BRONZE_TABLE[SETTLEMENT])})
+                days = sorted({rd, *ch.dirty_days(lake), *ch.days_of(due, BRONZE_TABLE[SETTLEMENT])})
             return done
 
         for name, fn in (
             ("silver_cleanse", silver),
             ("reconciliation", lambda: run_reconciliation(lake, days, tolerance, clock)),
             ("gold_aggregation", lambda: run_gold(lake, days, optimize)),
+            ("entity_days", lambda: run_partials(lake, days)),
             ("merchant_analytics", lambda: run_merchant_analytics(lake, clock)),
-            ("reports", lambda: run_reports(lake)),
-            ("feature_store", lambda: run_feature_store(lake, method=feature_method, clock=clock)),
+            ("reports", lambda: run_reports(lake, days, due)),
+            ("feature_store", lambda: run_feature_store(lake, method=feature_method, clock=clock,
+                                                        incremental=rd is not None)),
         ):
             t0 = time.time()
             out[name] = fn()
             timings[name] = time.time() - t0
-        opened = out["silver_cleanse"]["dirty_days"] if rd is None else [rd]
+        opened = ch.dirty_days(lake) if rd is None else [rd]
         ch.mark_consumed(lake, due, opened)
+        ch.clear_dirty(lake)
     out["redone_days"] = days
     out["timings_s"] = timings
     return out

@@ -263,3 +263,51 @@ def m2_late(spark, sf):
     ni.ingest_batch(lake, conform(_settlements(spark, sf), UNION_SCHEMA), 1, source="settlements")
     ni.run_nightly(lake, NEXT_DATE, "second", clock=_clock())
     return _reported(lake).union(_ledger_rows(lake))
+
+
+def _corrected_lake(spark, sf, tag: str):
+    """A catch-up without a fifth of the report date's payments; these arrive
+    later, and a night for the next day takes them in."""
+    lake = _scratch_lake(spark, tag)
+    v = fx.v_events(spark, sf)
+    late = (F.col("event_type") == PAYMENT) & (F.substring("event_key", 5, 20).cast("long") % 5 == 0) & \
+        (F.to_date(F.try_to_timestamp("timestamp")) == F.lit(REPORT_DATE).cast("date"))
+    late = F.coalesce(late, F.lit(False))
+    ni.ingest_batch(lake, wire_from(v.filter(~late)), 1, raw_json=True)
+    ni.ingest_batch(lake, conform(_settlements(spark, sf), UNION_SCHEMA), 1, source="settlements")
+    ni.run_nightly(lake, None, "catchup", clock=_clock())
+    ni.ingest_batch(lake, wire_from(v.filter(late)), 2, raw_json=True)
+    ni.run_nightly(lake, NEXT_DATE, "night", clock=_clock())
+    return lake
+
+
+@register("n4_incremental", f"""
+SELECT 'merchant' AS kind, merchant_id AS id, gmv_7d AS total_7d, gmv_30d AS total_30d, gmv_90d AS total_90d,
+       tx_count_7d, tx_count_30d, tx_count_90d, avg_ticket_7d, avg_ticket_30d, avg_ticket_90d
+FROM ({ORACLE["n4_merchant_features"]}) m
+UNION ALL
+SELECT 'customer', customer_id, spend_7d, spend_30d, spend_90d, tx_count_7d, tx_count_30d, tx_count_90d, NULL, NULL, NULL
+FROM ({ORACLE["n3_customer_features"]}) c""")
+def n4_incremental(spark, sf):
+    """Features redone from entity-day partials for the entities of the
+    corrected days, equal to a refresh of all entities over all history."""
+    lake = _corrected_lake(spark, sf, "n4")
+    shown = lambda kind, key, total, avg: lake.read("gold", f"ml_feature_store_{kind}s").select(
+        F.lit(kind).alias("kind"), F.col(key).alias("id"),
+        *[F.col(f"{total}_{n}d").alias(f"total_{n}d") for n in (7, 30, 90)],
+        *[F.col(f"tx_count_{n}d") for n in (7, 30, 90)],
+        *[(F.col(f"{avg}_{n}d") if avg else F.lit(None).cast("double")).alias(f"avg_ticket_{n}d") for n in (7, 30, 90)])
+    return shown("merchant", "merchant_id", "gmv", "avg_ticket").unionByName(
+        shown("customer", "customer_id", "spend", None))
+
+
+@register("a12_incremental", ORACLE["a12_registry_table"])
+def a12_incremental(spark, sf):
+    """Disputes whose payment arrives after them turn from orphans to matches."""
+    return _corrected_lake(spark, sf, "a12i").read("silver", "dispute_registry")
+
+
+@register("a13_after_correction", ORACLE["a13_report_table"])
+def a13_after_correction(spark, sf):
+    """The report of corrected days, redone from those days of the ledger."""
+    return _corrected_lake(spark, sf, "a13c").read("gold", "reconciliation_report")

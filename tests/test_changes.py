@@ -126,3 +126,58 @@ def test_key_index_reads_only_buckets_that_may_hold_a_key(spark, lake, monkeypat
     read = index.read_buckets(index.candidates(rows.filter("v = 7")))
     assert read.select("run", "bucket").distinct().count() == 1
     assert "PartitionFilters" in read._jdf.queryExecution().executedPlan().toString()
+
+
+def test_windows_from_day_partials_equal_plain_windows(spark):
+    """Events up to, on and just before the second a window begins at."""
+    from ledgerlake.operators import features as fe
+    secs = [0, 1, 7 * 86400 - 1, 7 * 86400, 7 * 86400 + 1, 30 * 86400, 30 * 86400 + 1, 90 * 86400, 90 * 86400 + 1,
+            90 * 86400 - 3600, 12345, 86399, 86400]
+    rows = [(f"t{e}-{s}", f"c{e}", "m", s * 7 + e * 3601, (s % 50) + 1) for e in range(5) for s in secs]
+    rows += [("t-null", "c9", "m", 5, None)]
+    pay = spark.createDataFrame(rows, "transaction_id string, customer_id string, merchant_id string, back long, a int") \
+        .select("transaction_id", "customer_id", "merchant_id", F.col("a").cast("decimal(18,2)").alias("amount_decimal"),
+                F.timestamp_add("SECOND", -F.col("back"), F.expr("TIMESTAMP_NTZ'2024-06-30 13:00:07'")).alias("event_ts"))
+    pay = pay.unionByName(pay.withColumn("transaction_id", F.concat("transaction_id", F.lit("x")))
+                             .withColumn("event_ts", F.timestamp_add("SECOND", F.lit(-7 * 86400 + 5), F.col("event_ts"))))
+    kw = dict(prefix_sum="gmv", prefix_cnt="tx_count", prefix_avg="avg_ticket")
+    for entity in ("customer_id", "merchant_id"):
+        days = fe.entity_days(pay, entity)
+        begins = fe.boundary_days(days, entity, (7, 30, 90))
+        got = fe.windows_from_days(days, begins, pay, entity, (7, 30, 90), **kw)
+        want = fe.windows_at_latest(pay, entity, windows=(7, 30, 90), **kw)
+        assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+
+
+def test_an_orphan_dispute_meets_its_late_payment(spark, lake):
+    cb = spark.createDataFrame([("chargeback_filed", f"d{i}", f"a{i}", "m1", 10.0, "2024-01-11 09:00:00") for i in range(3)]
+                               + [("chargeback_filed", "d9", None, "m1", 10.0, None)],
+                               "event_type string, dispute_id string, original_tx_id string, merchant_id string, "
+                               "dispute_amount double, timestamp string")
+    ni.ingest_batch(lake, _payments(spark, [("a0", "2024-01-11 08:00:00")]), 1)
+    ni.ingest_batch(lake, cb.filter("dispute_id <> 'd2'"), 1, source="disputes")
+    ni.run_nightly(lake, "2024-01-11", "n1", clock=pe._clock())
+    status = lambda: {r.dispute_id: r.registry_status for r in lake.read("silver", "dispute_registry").collect()}
+    assert status() == {"d0": "matched", "d1": "orphan", "d9": "orphan"}
+    ni.ingest_batch(lake, _payments(spark, [("a1", "2024-01-11 08:00:00"), ("a2", "2024-01-12 08:00:00")]), 2)
+    ni.ingest_batch(lake, cb.filter("dispute_id = 'd2'"), 2, source="disputes")
+    ni.run_nightly(lake, "2024-01-12", "n2", clock=pe._clock())
+    assert status() == {"d0": "matched", "d1": "matched", "d2": "matched", "d9": "orphan"}
+    report = {(str(r.payment_date), r.payment_total) for r in lake.read("gold", "reconciliation_report").collect()}
+    assert {(d, float(a)) for d, a in report} == {("2024-01-11", 20.0), ("2024-01-12", 10.0)}
+
+
+def test_dirty_days_outlive_a_failed_night(spark, lake, monkeypatch):
+    ni.ingest_batch(lake, _payments(spark, [("a", "2024-01-11 08:00:00"), ("b", "2024-01-11 09:00:00")]), 1)
+    ni.run_nightly(lake, "2024-01-11", "n1", clock=pe._clock())
+    ni.ingest_batch(lake, _payments(spark, [("a", "2024-01-12 08:00:00")]), 2)
+    monkeypatch.setattr(ni, "run_reconciliation", lambda *a: 1 / 0)
+    try:
+        ni.run_nightly(lake, "2024-01-12", "n2", clock=pe._clock())
+    except ZeroDivisionError:
+        pass
+    monkeypatch.undo()
+    again = ni.run_nightly(lake, "2024-01-12", "n2", clock=pe._clock())    # Silver has changed already
+    assert again["silver_cleanse"]["dirty_days"] == [] and again["redone_days"] == ["2024-01-11", "2024-01-12"]
+    got = {(str(r.report_date), r.transaction_count) for r in lake.read("gold", "daily_merchant_summary").collect()}
+    assert got == {("2024-01-11", 1), ("2024-01-12", 1)}
