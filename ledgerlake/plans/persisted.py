@@ -15,7 +15,7 @@ from ..schemas import CHARGEBACK, LEDGER_SCHEMA, PAYMENT, SETTLEMENT, UNION_SCHE
 from ..sources import fixtures as fx
 from . import nightly as ni
 from .catalog import (ORACLE, PAY_CTES, REPORT_DATE, SQL_LEDGER, SQL_ROUTED, SQL_V_CHARGEBACKS, SQL_V_EVENTS,
-                      SQL_WIRE, _scratch_lake, _sql, register, wire_events, wire_from)
+                      SQL_WIRE, _scratch_lake, _snapshots, _sql, register, wire_events, wire_from)
 
 NEXT_DATE = "2024-01-16"
 CLOCK = "2024-02-01 00:00:00"
@@ -311,3 +311,14 @@ def a12_incremental(spark, sf):
 def a13_after_correction(spark, sf):
     """The report of corrected days, redone from those days of the ledger."""
     return _corrected_lake(spark, sf, "a13c").read("gold", "reconciliation_report")
+
+
+@register("m4_digest_feed", ORACLE["m4_change_feed"])
+def m4_digest_feed(spark, sf):
+    """The change feed of two stored snapshots, through their digest trees."""
+    from ..operators import digest as di
+    lake = _scratch_lake(spark, "m4")
+    s0, _, s2 = _snapshots(spark, sf)
+    for name, snapshot in (("before", s0), ("after", s2)):
+        di.write_snapshot(lake, snapshot, "silver", name, ["o_orderkey"], buckets=32)
+    return di.snapshot_feed(lake, "silver", "before", "after", ["o_orderkey"])

@@ -1,6 +1,7 @@
 """Change propagation between nights and the key-to-day index."""
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.keyindex import KeyIndex
@@ -181,3 +182,32 @@ def test_dirty_days_outlive_a_failed_night(spark, lake, monkeypatch):
     assert again["silver_cleanse"]["dirty_days"] == [] and again["redone_days"] == ["2024-01-11", "2024-01-12"]
     got = {(str(r.report_date), r.transaction_count) for r in lake.read("gold", "daily_merchant_summary").collect()}
     assert got == {("2024-01-11", 1), ("2024-01-12", 1)}
+
+
+def test_digest_feed_reads_only_differing_buckets(spark, lake):
+    """All files of equal buckets are overwritten with garbage first."""
+    from ledgerlake.operators import digest as di
+    old = spark.range(3000).select(F.col("id").alias("k"), (F.col("id") % 7).alias("a"), F.lit(None).cast("string").alias("b"))
+    new = old.filter("k <> 17").withColumn("a", F.when(F.col("k") == 400, 99).otherwise(F.col("a"))) \
+        .unionByName(spark.createDataFrame([(9000, 1, "x")], old.schema))
+    for name, df in (("old", old), ("new", new), ("same", old.repartition(3).orderBy(F.desc("k")))):
+        di.write_snapshot(lake, df, "silver", name, ["k"], buckets=300)
+    assert di.differing(lake, "silver", "old", "same") == []
+    assert di.snapshot_feed(lake, "silver", "old", "same", ["k"]).count() == 0
+    touched = {r[0] for r in spark.createDataFrame([(17,), (400,), (9000,)], "k long")
+               .select(di.bucket_of(["k"], 300)).collect()}
+    assert set(di.differing(lake, "silver", "old", "new")) == touched
+    for name in ("old", "new"):
+        for part in os.listdir(lake.path("silver", name)):
+            if part.startswith("bucket=") and int(part[7:]) not in touched:
+                for f in os.listdir(f"{lake.path('silver', name)}/{part}"):
+                    if f.endswith(".parquet"):
+                        with open(f"{lake.path('silver', name)}/{part}/{f}", "wb") as out:
+                            out.write(b"not parquet")
+    lake.read = lambda layer, table, schema=None, read=lake.read: read(
+        layer, table, schema or (None if "digests" in table else "k long, a long, b string, bucket int"))
+    feed = {r.k: (r.change_type, r.old_a, r.new_a) for r in di.snapshot_feed(lake, "silver", "old", "new", ["k"]).collect()}
+    assert feed == {17: ("delete", 3, None), 400: ("update", 1, 99), 9000: ("insert", None, 1)}
+    di.write_snapshot(lake, old, "silver", "wide", ["k"], buckets=8)
+    with pytest.raises(ValueError):
+        di.differing(lake, "silver", "old", "wide")

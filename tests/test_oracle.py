@@ -68,7 +68,7 @@ SCRATCH = {"w1_append_read_back", "w3_replace_partitions", "w7_delete_rows", "r1
            "r1_catchup_gold", "r2_gold_with_optimize", "t1_stream_ingest", "t3_stream_batch_counters", "t5_hourly_stream",
            "w6_quarantine_two_days", "s3_two_sources_same_batch", "r1_after_rewrite", "c3_by_day_equals_catchup",
            "r1_ledger", "a13_report_table", "a12_registry_table", "r1_moved_id", "m2_late_arrivals",
-           "n4_incremental", "a12_incremental", "a13_after_correction"}
+           "n4_incremental", "a12_incremental", "a13_after_correction", "m4_digest_feed"}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - SCRATCH))
