@@ -157,3 +157,29 @@ def test_scores_pass_64_bits(spark):
     row = spark.createDataFrame([(big, big, big + 1)], "a long, l long, r long").select(F.call_function(
         "div", F.lit(1_000_000).cast("decimal(7,0)") * (_exact("a") * _exact("a")), _exact("l") * _exact("r"))).first()
     assert row[0] == 1_000_000 * big * big // (big * (big + 1))
+
+
+def test_long_texts_are_cut_between_words(monkeypatch):
+    """Word numbers and windows do not depend on where a text is cut, and the
+    sorting ways of counting agree."""
+    from collections import defaultdict
+    from itertools import count
+
+    import numpy as np
+    text = ("a bb.ccc d\te " * 40 + "x" * 300 + ",Y z\n" + "é É;no-space,at,all " * 9).encode()
+
+    def ids(chunk):
+        monkeypatch.setattr(collocations, "CHUNK", chunk)
+        vocab = defaultdict(count().__next__)
+        vocab[b"\xff"]
+        return np.concatenate(list(collocations._word_ids(text, vocab)))
+
+    whole = ids(1 << 21)
+    for chunk in (1, 7, 100):
+        assert (ids(chunk) == whole).all()
+    cols = collocations._lead_columns(whole, 3)
+    packed, n = collocations._sum_equal(cols, None, int(whole.max()) + 1)
+    sorted_way, m = collocations._sum_equal(cols, None, 1 << 30)
+    weighted, w = collocations._sum_equal(cols, np.full(len(cols[0]), 2), int(whole.max()) + 1)
+    assert (n == m).all() and (w == 2 * n).all() and n.sum() == (whole != 0).sum()
+    assert all((a == b).all() and (a == c).all() for a, b, c in zip(packed, sorted_way, weighted))
