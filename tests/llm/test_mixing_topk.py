@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import queries
+from ledgerlake.llm import queries, topk
 from ledgerlake.llm.mixing import mix_sources
 from ledgerlake.llm.topk import exact_topk, quantise
 from tests.conftest import SF01
@@ -83,6 +83,38 @@ def test_topk_ties_nulls_and_shards(spark, shard_rows):
     assert got == _brute([(i, [int(np.floor(64 * np.float32(x))) for x in e]) for i, e in rows], 5)
 
 
+def test_topk_hot_id_and_hot_vector(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, [int(x) for x in rng.integers(-9, 10, 5)]) for i in range(60)]
+    rows += [(7, [9] * 5)] * 400 + [(7, [int(x), 9, 9, 9, 9]) for x in rng.integers(0, 9, 200)]
+    rows += [(1000 + i, [8] * 5) for i in range(300)]                    # one vector, many ids
+    df = spark.createDataFrame([(i, [x / 64 for x in v]) for i, v in rows], "vec_id long, embedding array<double>")
+    v = quantise(df)
+    got = sorted(map(tuple, exact_topk(v, v.filter("vec_id % 20 = 0"), 25, 50, 3).collect()))
+    asks = {}
+    for i, x in rows:
+        if i % 20 == 0:
+            asks[i] = min(asks.get(i, x), x)
+    want = []
+    for i, q in asks.items():
+        s = sorted((-sum(a * b for a, b in zip(q, x)), j) for j, x in rows if j != i)[:25]
+        want += [(i, n + 1, j, -y) for n, (y, j) in enumerate(s)]
+    assert got == sorted(want)
+
+
+@pytest.mark.parametrize("dense", [0, 0.3, 2])
+def test_topk_probes_equal_products(monkeypatch, dense):
+    monkeypatch.setattr(topk, "DENSE", dense)
+    rng = np.random.default_rng(8)
+    q, x = rng.integers(-60, 60, (30, 16)).astype(float), rng.integers(-60, 60, (500, 16)).astype(float)
+    ids, q_ids = np.arange(500), np.arange(30)
+    theta = topk.first_thresholds(q, q_ids, x[:100], ids[:100], 10)
+    a, b, s = topk.maxscore(q, q_ids, theta[:-1] + [None], x, ids, 10)
+    for i in range(30):
+        want = sorted((-int(v), j) for j, v in enumerate(x @ q[i]) if j != i)[:10]
+        assert [(-v, j) for v, j in zip(s[a == i].tolist(), b[a == i].tolist())] == want
+
+
 def test_topk_large_components_and_empty(spark):
     big = spark.createDataFrame([(0, [1e9, 1.0]), (1, [1.0, 1.0]), (2, [1e6, 3.0])], "vec_id long, embedding array<double>")
     v = quantise(big)
