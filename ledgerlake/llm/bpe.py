@@ -3,7 +3,9 @@
 1. Documents are split into words (a word keeps the space before it) and
    packed into blocks.  A block sends its distinct words, dealt by word hash,
    and (from a second reading, so that they are shuffled once) its documents
-   as positions in that block's word list.
+   as positions in that block's word list.  Each partition is sorted before,
+   so that readings and retried tasks that see its rows in another order make
+   the same blocks.
 2. The task that owns a word encodes it once, whatever number of blocks hold
    it, and returns the ids to each block in the order of its word list.
 3. Per block, ids are joined back by position; decoding joins every id with
@@ -269,7 +271,8 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
     """doc_id, n_tokens, ids (little-endian unsigned 32-bit) and decoded (the
     text decoded from those ids) of every row."""
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+                .sortWithinPartitions("doc_id", F.xxhash64("text"), "text"))
     lists = (rows.mapInArrow(split_blocks(path, 2 * n, documents=False), _WORD_LISTS).repartition(n, "part")
                  .mapInArrow(encode_words(path), _WORD_LISTS))
     blocks = rows.mapInArrow(split_blocks(path, 2 * n, documents=True), _ENCODED)

@@ -7,6 +7,7 @@ import zlib
 import duckdb
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -60,6 +61,22 @@ def test_bpe_odd_texts(spark):
     assert bpe.encode_documents(spark.createDataFrame([], SCHEMA), BYTE).collect() == []
 
 
+def test_bpe_rows_in_another_order_on_every_reading(spark, monkeypatch):
+    monkeypatch.setattr(bpe, "BLOCK_CHARS", 300)
+    texts = [f"word{i} and {i * i} of\n{i % 9}" for i in range(400)] + ["", None] * 5 + ["same text"] * 30
+
+    def shuffled(stream):
+        import os
+        for b in stream:
+            yield b.take(pa.array(np.random.default_rng(int.from_bytes(os.urandom(8), "little")).permutation(b.num_rows)))
+
+    df = spark.createDataFrame([(i // 3 if i % 7 else None, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = bpe.encode_documents(df.repartition(3).mapInArrow(shuffled, df.schema), BYTE).collect()
+    t = Tokenizer.from_file(BYTE)
+    want = [(r.doc_id, np.array(t.encode(r.text or "", add_special_tokens=False).ids, "<u4").tobytes()) for r in df.collect()]
+    assert sorted((str(r.doc_id), bytes(r.ids)) for r in got) == sorted((str(i), x) for i, x in want)
+
+
 def test_word_encoder_equals_library():
     t, enc = Tokenizer.from_file(WORD), tokenstore.WordEncoder(WORD)
     texts = [x or "" for x in ODD] + _random_texts(3000)
