@@ -9,6 +9,9 @@
    leave a source a slot short, closing slots end the schedule; a slot too
    many is dropped.
 
+The schedule is the result: ``mix_schedule`` gives the words that each slot
+takes, and what a row gives to the mix is the sum of its pieces.
+
 Prefix sums run in two levels (digest bucket, then within the bucket), so a
 source that holds a third of all rows never sits in one task.
 
@@ -77,35 +80,37 @@ def slot_schedule(targets: DataFrame, block_tokens: int, grid: int = 1024) -> Da
     spark = targets.sparkSession
     upto = W.orderBy("sid").rowsBetween(W.unboundedPreceding, W.currentRow)
     shares = (targets.withColumn("n", F.ceil(F.col("quota") / block_tokens).cast("long"))
-                     .filter("n > 0").withColumn("hi", F.sum("n").over(upto)))
-    slots = shares.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    shares = (shares.withColumn("lo", (F.col("hi") - F.col("n")) / slots if slots else F.lit(0.0))
-                    .withColumn("hi", F.col("hi") / slots if slots else F.lit(0.0)).select("sid", "n", "lo", "hi"))
+                     .filter("n > 0").withColumn("hi", F.sum("n").over(upto)).select("sid", "n", "hi"))
+    slots = targets.agg(F.coalesce(F.sum(F.ceil(F.col("quota") / block_tokens)), F.lit(0)).cast("long")).first()[0]
+    shares = shares.select("sid", "n", ((F.col("hi") - F.col("n")) / F.lit(max(slots, 1))).alias("lo"),
+                           (F.col("hi") / F.lit(max(slots, 1))).alias("hi"))
     cells = shares.withColumn("cell", F.explode(F.sequence(
         F.floor(F.col("lo") * grid), F.floor(F.col("hi") * grid))))
     points = (spark.range(slots).withColumnRenamed("id", "slot")
                    .withColumn("x", golden_point(F.col("slot")))
                    .withColumn("cell", F.floor(F.col("x") * grid)))
-    placed = (points.join(cells, "cell").filter("x >= lo AND x < hi")
-                    .select("slot", "sid", "n", F.shiftright("slot", 14).alias("chunk")))
-    counts = placed.groupBy("sid", "chunk").agg(F.count(F.lit(1)).alias("c"))
+    placed = cut(points.join(cells, "cell").filter("x >= lo AND x < hi")
+                       .select("slot", "sid", "n", F.shiftright("slot", 14).alias("chunk")))
     before = W.partitionBy("sid").orderBy("chunk").rowsBetween(W.unboundedPreceding, -1)
-    counts = counts.select("sid", "chunk", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("base"), "c")
+    counts = (placed.groupBy("sid", "chunk").agg(F.count(F.lit(1)).alias("c"))
+                    .select("sid", "chunk", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("base")))
     within = W.partitionBy("sid", "chunk").orderBy("slot")
-    ranked = (placed.join(counts.drop("c"), ["sid", "chunk"])
-                    .withColumn("block", F.col("base") + F.row_number().over(within) - 1)
+    ranked = (placed.withColumn("nth", F.row_number().over(within)).join(counts, ["sid", "chunk"])
+                    .withColumn("block", F.col("base") + F.col("nth") - 1)
                     .filter("block < n").select("sid", "block", "slot"))
-    given = counts.groupBy("sid").agg(F.sum("c").alias("given"))
+    given = placed.groupBy("sid").agg(F.count(F.lit(1)).alias("given"))
     closing = (shares.join(given, "sid", "left").withColumn("given", F.coalesce("given", F.lit(0)))
                      .filter("given < n").withColumn("block", F.explode(F.sequence("given", F.col("n") - 1)))
                      .select("sid", "block", (F.lit(slots) + F.col("block")).alias("slot")))
     return ranked.unionByName(closing)
 
 
-def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-                block_tokens: int = 1024, seed: str = "0", keep: list[str] | None = None) -> DataFrame:
-    """doc_id, source, size, source_size, target and taken of every row, with
-    the columns named in ``keep`` passed through (prefixed by ``k_``)."""
+def lay_out(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+            seed: str = "0", keep: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows, targets).  rows: every row of ``docs`` with its size, its place
+    on its source's shuffled line (``start``, and ``bucket`` and ``nth``,
+    which name it within the source ``sid``), the source's sizes, and the
+    columns named in ``keep`` (prefixed by ``k_``)."""
     keep = keep or []
     rows = cut(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
                            word_count(F.col(text_col)).alias("size"),
@@ -113,46 +118,73 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    .withColumn("digest", F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(
                        F.col("doc_id").cast("string"), F.lit("")), F.col("size")).cast("binary")))
                    .withColumn("bucket", F.substring("digest", 1, 3)))
-    targets = cut(source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size"))))
-    lined = rows.join(targets.withColumnRenamed("source", "t_source"),
-                      F.col("source").eqNullSafe(F.col("t_source"))).drop("t_source")
+    tallies = cut(rows.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size")))
+    targets = cut(source_targets(tallies.groupBy("source").agg(F.sum("bucket_size").alias("source_size"))))
     before = W.partitionBy("sid").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
-    bases = (lined.groupBy("sid", "bucket").agg(F.sum("size").alias("bucket_size"))
-                  .select("sid", "bucket", F.coalesce(F.sum("bucket_size").over(before), F.lit(0)).alias("base")))
+    bases = (tallies.join(targets.withColumnRenamed("source", "t_source"), F.col("source").eqNullSafe(F.col("t_source")))
+                    .select(F.col("source").alias("t_source"), F.col("bucket").alias("t_bucket"), "sid", "source_size",
+                            "target", "quota", F.coalesce(F.sum("bucket_size").over(before), F.lit(0)).alias("base")))
     order = W.partitionBy("sid", "bucket").orderBy("digest", "size", "doc_id", *[f"k_{c}" for c in keep])
-    lined = cut(lined.join(bases, ["sid", "bucket"])
-                     .withColumn("nth", F.row_number().over(order))
-                     .withColumn("start", F.col("base") + F.coalesce(F.sum("size").over(
-                         order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))))
-    # the pieces of every document in the blocks of the repeated line, up to the quota
+    lined = (rows.join(bases, F.col("source").eqNullSafe(F.col("t_source")) & (F.col("bucket") == F.col("t_bucket")))
+                 .withColumn("nth", F.row_number().over(order))
+                 .withColumn("start", F.col("base") + F.sum("size").over(
+                     order.rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("size"))
+                 .drop("t_source", "t_bucket", "base", "digest"))
+    return cut(lined), targets
+
+
+def mix_schedule(lined: DataFrame, targets: DataFrame, block_tokens: int = 1024) -> DataFrame:
+    """The mix as the schedule orders it: (slot, sid, bucket, nth, doc_id, pass,
+    from_word, to_word), the words of a row that a slot takes.  ``lined`` and
+    ``targets`` come from ``lay_out``."""
     lo = F.col("start") + F.col("pass") * F.col("source_size")
     hi = F.least(lo + F.col("size"), F.col("quota"))
-    pieces = (lined.filter("size > 0")
+    first, end = F.col("block") * block_tokens, (F.col("block") + 1) * block_tokens
+    pieces = (lined.filter("size > 0").select("sid", "bucket", "nth", "doc_id", "start", "size", "source_size", "quota")
                    .withColumn("pass", F.explode(F.sequence(F.lit(0), F.lit(MAX_PASSES - 1))))
                    .withColumn("lo", lo).withColumn("hi", hi).filter("lo < hi")
                    .withColumn("block", F.explode(F.sequence(
                        F.floor(F.col("lo") / block_tokens), F.floor((F.col("hi") - 1) / block_tokens))))
-                   .select("sid", "bucket", "nth", "block",
-                           (F.least("hi", (F.col("block") + 1) * block_tokens)
-                            - F.greatest("lo", F.col("block") * block_tokens)).alias("tokens")))
-    taken = (pieces.join(slot_schedule(targets, block_tokens), ["sid", "block"])
-                   .groupBy("sid", "bucket", "nth").agg(F.sum("tokens").alias("taken")))
-    return (lined.join(taken, ["sid", "bucket", "nth"], "left")
+                   .select("sid", "bucket", "nth", "doc_id", "pass", "block",
+                           (F.greatest("lo", first) - F.col("lo")).alias("from_word"),
+                           (F.least("hi", end) - F.col("lo")).alias("to_word")))
+    return (pieces.join(slot_schedule(targets, block_tokens), ["sid", "block"])
+                  .select("slot", "sid", "bucket", "nth", "doc_id", "pass", "from_word", "to_word"))
+
+
+def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                block_tokens: int = 1024, seed: str = "0", keep: list[str] | None = None) -> DataFrame:
+    """doc_id, source, size, source_size, target, taken, first_slot (the first
+    slot that takes words of the row; NULL: none does) and slots (that slot
+    in each pass) of every row, with the columns named in ``keep`` passed
+    through (prefixed by ``k_``)."""
+    lined, targets = lay_out(docs, id_col, text_col, source_col, seed, keep)
+    key = ["sid", "bucket", "nth"]
+    in_pass = [F.min(F.when(F.col("pass") == p, F.col("slot"))) for p in range(MAX_PASSES)]
+    taken = (mix_schedule(lined, targets, block_tokens).groupBy(*key)
+             .agg(F.sum(F.col("to_word") - F.col("from_word")).alias("taken"), F.min("slot").alias("first_slot"),
+                  F.array(*in_pass).alias("slots")))
+    return (lined.join(taken, key, "left")
                  .select("doc_id", "source", "size", "source_size", "target",
-                         F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
-                         *[f"k_{c}" for c in keep]))
+                         F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "first_slot", "slots",
+                         *[f"k_{c}" for c in keep or []]))
 
 
 def take_documents(docs: DataFrame, block_tokens: int = 1024, seed: str = "0") -> DataFrame:
     """``docs`` as the mix takes them: each row as often as its taken words
-    make whole copies (rounded), so rows that the mix leaves out go."""
-    key = F.xxhash64("doc_id", "text", "source")
-    keyed = docs.withColumn("_row", key)
-    mixed = mix_sources(keyed, block_tokens=block_tokens, seed=seed, keep=["_row"])
-    copies = F.floor(F.col("taken") / F.greatest("size", F.lit(1)) + 0.5)
-    total = (mixed.groupBy("k__row").agg(F.sum(copies).cast("long").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
-                  .withColumnRenamed("k__row", "_row").filter("_copies > 0"))
-    nth = F.row_number().over(W.partitionBy("_row").orderBy("_row"))      # equal rows share their copies
-    own = F.floor((F.col("_copies") + F.col("_rows") - F.col("_nth")) / F.col("_rows")).cast("int")
-    return (keyed.join(total, "_row").withColumn("_nth", nth).withColumn("_own", own)
-                 .withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_own")))).select(*docs.columns))
+    make whole copies (rounded), so rows that the mix leaves out go, in the
+    order of the schedule (a copy stands at its pass's first slot).
+
+    Rows equal in all columns are one row with its copies summed, so a row
+    that is repeated without end is in no task but once."""
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    key = F.xxhash64(*columns, *[c.isNull() for c in columns])        # NULLs do not enter the hash
+    keyed = docs.select(F.struct(*columns).alias("_doc"), key.alias("_row"))
+    mixed = mix_sources(keyed.select("_row", *[f"_doc.{c}" for c in ("doc_id", "text", "source")]),
+                        block_tokens=block_tokens, seed=seed, keep=["_row"])
+    copies = F.floor(F.col("taken") / F.greatest("size", F.lit(1)) + 0.5).cast("int")
+    slots = F.array_sort(F.filter("slots", lambda s: s.isNotNull()))
+    taken = (mixed.withColumn("copies", copies).filter("copies > 0")
+                  .select(F.col("k__row").alias("_row"), F.explode(F.slice(slots, F.lit(1), F.col("copies"))).alias("_slot")))
+    once = keyed.groupBy("_row").agg(F.first("_doc").alias("_doc"))
+    return once.join(taken, "_row").orderBy("_slot", "_row").select("_doc.*")

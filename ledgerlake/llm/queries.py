@@ -52,7 +52,7 @@ def op5_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (mixing.mix_sources(_docs(spark, sf_dir))
-            .select("doc_id", "size", "source_size", "target", "taken"))
+            .select("doc_id", "size", "source_size", "target", "taken", "first_slot"))
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,7 +119,7 @@ WITH d AS (
   FROM documents),
 s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
-         1 + (row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 AS weight
+         1 + (row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) %% 3 AS weight
   FROM d GROUP BY source),
 o AS (
   SELECT *, sum(source_size) OVER () AS total, sum(weight) OVER () AS weights,
@@ -137,8 +137,20 @@ t AS (
          CASE WHEN is_cut THEN CAST(3 * source_size AS DOUBLE)
               ELSE CAST(weight * (total - cut_cap) AS DOUBLE) / greatest(weights - cut_w, 1) END AS target FROM f),
 q AS (SELECT *, CAST(least(floor(target + 0.5), 3 * source_size) AS BIGINT) AS quota FROM t),
+b AS (
+  SELECT source, n, CAST(sum(n) OVER (ORDER BY encode(source) NULLS LAST) AS BIGINT) AS upto,
+         CAST(sum(n) OVER () AS BIGINT) AS slots
+  FROM (SELECT source, CAST(ceil(quota / 1024) AS BIGINT) AS n FROM q) WHERE n > 0),
+x AS (
+  SELECT slot, y - floor(y) AS x FROM (
+    SELECT slot, (u - floor(u)) + (v - floor(v)) AS y FROM (
+      SELECT slot, (slot // 1048576) * CAST('%r' AS DOUBLE) AS u, (slot %% 1048576) * CAST('%r' AS DOUBLE) AS v
+      FROM (SELECT unnest(range((SELECT coalesce(max(slots), 0) FROM b))) AS slot)))),
+r AS (
+  SELECT b.source, slot, row_number() OVER (PARTITION BY b.source ORDER BY slot) - 1 AS block
+  FROM x JOIN b ON x.x >= (upto - n) / slots AND x.x < upto / slots),
 l AS (
-  SELECT d.doc_id, d.size, q.source_size, q.target, q.quota,
+  SELECT d.doc_id, d.size, q.source, q.source_size, q.target, q.quota,
          coalesce(sum(d.size) OVER (PARTITION BY d.source
            ORDER BY md5('0|' || coalesce(CAST(d.doc_id AS VARCHAR), '') || '|' || d.size), d.size, d.doc_id
            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
@@ -146,9 +158,11 @@ l AS (
 SELECT doc_id, size, source_size, target,
        CAST(greatest(0, least(start + size, quota) - start)
           + greatest(0, least(start + size + source_size, quota) - (start + source_size))
-          + greatest(0, least(start + size + 2 * source_size, quota) - (start + 2 * source_size)) AS BIGINT) AS taken
-FROM l
-""",
+          + greatest(0, least(start + size + 2 * source_size, quota) - (start + 2 * source_size)) AS BIGINT) AS taken,
+       CAST(CASE WHEN size > 0 AND start < quota
+                 THEN coalesce(r.slot, (SELECT max(slots) FROM b) + start // 1024) END AS BIGINT) AS first_slot
+FROM l LEFT JOIN r ON r.source IS NOT DISTINCT FROM l.source AND r.block = l.start // 1024
+""" % (mixing.GOLDEN * (1 << 20) % 1.0, mixing.GOLDEN),
     "op8_exact_topk": r"""
 WITH v AS (
   SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE) for x in embedding] AS v

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import queries, topk
+from ledgerlake.llm import mixing, queries, topk
 from ledgerlake.llm.mixing import mix_sources
 from ledgerlake.llm.topk import exact_topk, quantise
 from tests.conftest import SF01
@@ -55,6 +55,58 @@ def test_mix_targets_and_limits(spark):
     assert sorted(map(str, got)) == sorted(map(str, again))
 
 
+def _mixed_rows(n=4000):
+    return [(i, "w " * (1 + i * 7 % 90), ["a", "b", "b", "b", "c", None][i % 6], 1, 2, "x") for i in range(n)]
+
+
+def test_schedule_keeps_every_stretch_near_the_targets(spark):
+    lined, targets = mixing.lay_out(spark.createDataFrame(_mixed_rows(), DOCS))
+    pieces = mixing.mix_schedule(lined, targets, block_tokens=64).toPandas()
+    quota = {r.sid: r.quota for r in targets.collect()}
+    total = sum(quota.values())
+    pieces["words"] = pieces["to_word"] - pieces["from_word"]
+    assert (pieces["words"] > 0).all() and dict(pieces.groupby("sid")["words"].sum()) == quota
+    by_slot = pieces.groupby(["slot", "sid"])["words"].sum().reset_index()
+    assert by_slot["slot"].is_unique and (by_slot["words"] <= 64).all()
+    slots, seen = by_slot.sort_values("slot"), 0
+    assert len(slots) > 2000
+    for a in range(0, len(slots) - 1000, 250):
+        part = slots.iloc[a:a + 1000].groupby("sid")["words"].sum()
+        for sid, q in quota.items():
+            assert abs(part.get(sid, 0) / part.sum() - q / total) < 0.01
+        seen += 1
+    assert seen > 4
+
+
+def test_another_schedule_gives_another_result(spark, monkeypatch):
+    df = spark.createDataFrame(_mixed_rows(600), DOCS)
+    key = lambda r: (r.doc_id, r.taken, r.first_slot)
+    before = sorted(map(key, mix_sources(df, block_tokens=64).collect()))
+    real = mixing.slot_schedule
+    monkeypatch.setattr(mixing, "slot_schedule", lambda *a: real(*a).withColumn("slot", F.col("slot") + 5))
+    assert [(i, t, s and s - 5) for i, t, s in map(key, sorted(mix_sources(df, block_tokens=64).collect(), key=key))] \
+        == [(i, t, s) for i, t, s in before]
+    monkeypatch.setattr(mixing, "slot_schedule", lambda *a: real(*a).filter("block != 1"))   # one slot a source left out
+    got = mix_sources(df, block_tokens=64).collect()
+    assert sum(t for _, t, _ in before) - sum(r.taken for r in got) == 64 * 4
+
+
+def test_documents_come_in_the_order_of_the_schedule(spark):
+    rows = _mixed_rows(900) + [(7, "same words here", "b", 1, 2, "x")] * 300
+    rows += [(8, "nul", None, 1, 2, None), (8, None, "nul", 1, 2, None), (None, "nul", None, 1, 2, None)]
+    df = spark.createDataFrame(rows, DOCS)
+    out = mixing.take_documents(df, block_tokens=64).collect()
+    mixed = mix_sources(df, block_tokens=64).collect()
+    want = collections.Counter()
+    for r in mixed:
+        want[(r.doc_id, r.source, r.size)] += int(r.taken / max(r.size, 1) + 0.5)
+    got = collections.Counter((r.doc_id, r.source, len((r.text or "").split())) for r in out)
+    assert got == +want
+    slot = {r.doc_id: r.first_slot for r in mixed}
+    once = [r.doc_id for r in out if r.doc_id not in (None, 7, 8) and want[(r.doc_id, r.source, len((r.text or "").split()))] == 1]
+    assert len(once) > 50 and [slot[i] for i in once] == sorted(slot[i] for i in once)
+
+
 def test_mix_empty(spark):
     assert mix_sources(spark.createDataFrame([], DOCS)).collect() == []
     assert [r.taken for r in mix_sources(spark.createDataFrame(
