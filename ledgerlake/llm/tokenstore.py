@@ -76,8 +76,10 @@ class WordEncoder:
         whole = [w for w in words if not w.isascii() and max(w) >= "\u0250"]
         for w, e in zip(whole, self.full.encode_batch_fast(whole, add_special_tokens=False)):
             self.words[w] = np.array(e.ids, self.width).tobytes()
-        split = {w: PIECES.findall(w.lower()) for w in words if w not in self.words}
-        new = [p for p in {p for ps in split.values() for p in ps} if p not in self.pieces]
+        lowered = {w: w.lower() for w in words.difference(self.words)}
+        plain = {w: p for w, p in lowered.items() if p.isalpha()}         # letters alone are one piece
+        split = {w: PIECES.findall(p) for w, p in lowered.items() if w not in plain}
+        new = list(set(plain.values()).union(*split.values()).difference(self.pieces))
         lists = [new[i:i + 500] for i in range(0, len(new), 500)]
         mapped = [" ".join(p.encode().decode("latin-1").translate(self.letters) for p in some) for some in lists]
         for some, e in zip(lists, self.model.encode_batch_fast(mapped, add_special_tokens=False)):
@@ -88,16 +90,17 @@ class WordEncoder:
                 self.pieces[p] = raw[a:b]
                 a = b
         known = self.pieces
+        self.words.update(zip(plain, map(known.__getitem__, plain.values())))
         for w, ps in split.items():
             self.words[w] = b"".join([known[p] for p in ps])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         odd = {i for i, t in enumerate(texts) if _ODD.search(t) or self.special and self.special.search(t)}
         words = [[] if i in odd else t.split() for i, t in enumerate(texts)]
-        new = set().union(*words).difference(self.words)
+        distinct = set().union(*words)
+        new = distinct.difference(self.words)
         if new:
-            kept = set().union(*words) if len(self.words) > KEPT_WORDS else new
-            self._learn(kept)
+            self._learn(distinct if len(self.words) > KEPT_WORDS else new)
         get = self.words.__getitem__
         return [np.array(self.full.encode(t, add_special_tokens=False).ids, self.width).tobytes() if i in odd
                 else b"".join(map(get, w)) for i, (t, w) in enumerate(zip(texts, words))]
