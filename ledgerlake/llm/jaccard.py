@@ -17,12 +17,17 @@ T = ceil(percent * size / 100) shingles with the other.
   (its star), so a group of near copies gives a number of candidates linear in
   its size.  A pair met on a long list only cannot share a short one, which
   bounds its overlap by their long-list shingles; most pairs end there.
+* Signatures.  A class carries SIGNATURE parity bits: a shingle flips one, so
+  two signatures differ in no more bits than the sets in shingles, and a pair
+  whose signatures differ in more than a link allows is none.  Candidates are
+  held against them before any set is read.
 * Probing.  A candidate's shingles are binary-probed in the other's sorted
   set, in blocks, until T is reached or out of reach.
 * The rest.  Once stars are tied into components, the members of a list
-  outside its main component meet all its members of other components, are
-  filtered by the heads of their sets, and probed.  So no link between
-  components is missed; links inside a component add nothing to it.
+  outside its main component meet all its members of other components, in
+  pairs of bounded blocks; what signatures, then the heads of the sets allow
+  is probed.  So no link between components is missed; links inside a
+  component add nothing to it.
 * All links.  Every link lies inside a component, so the join's full result
   comes from the finished components: a component's records are cut into bands
   of size (a link spans one band or two) and blocks of bounded size, and each
@@ -46,16 +51,20 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.skew import salted_join
 from .bpe import _batch
 from .common import cut
 from .components import connected_components
 
 #: Counters of the list-length table, its slices, bits of the filter of wanted
-#: texts, rows held of a list, salts of the rest's join, probes in a block.
-COUNTERS_LOG2, SLICES, WANTED_LOG2, HELD_ROWS, SALTS, PROBES = 25, 64, 22, 50_000, 8, 64
+#: texts, rows held of a list, rows in a block of a list, probes in a block.
+COUNTERS_LOG2, SLICES, WANTED_LOG2, HELD_ROWS, LIST_ROWS, PROBES = 25, 64, 22, 50_000, 1024, 64
+#: Bits of a class's signature, and its columns of 64 bits.
+SIGNATURE = 512
+SIGNS = [f"sign{i}" for i in range(SIGNATURE // 64)]
 #: Records and shingles in a block of a component, columns of a matrix product.
 BLOCK_ROWS, BLOCK_SHINGLES, COLUMNS = 256, 500_000, 4096
 _U = np.uint64
@@ -97,32 +106,42 @@ def _flags(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
 
 
+def signature(s: np.ndarray) -> list[int]:
+    """The set's parity bits, 64 to a number."""
+    odd = np.bincount((s % _U(SIGNATURE)).astype(np.int64), minlength=SIGNATURE) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
 _SEEN_T = [("doc_id", pa.int64()), ("text_key", pa.int64()), ("node", pa.int64()), ("n", pa.int32()),
-           ("slice", pa.int32()), ("total", pa.int64()), ("data", pa.binary())]
-_SEEN = "doc_id long, text_key long, node long, n int, slice int, total long, data binary"
+           ("slice", pa.int32()), ("total", pa.int64()), ("data", pa.binary()), *((c, pa.int64()) for c in SIGNS)]
+_SEEN = ("doc_id long, text_key long, node long, n int, slice int, total long, data binary, "
+         + ", ".join(f"{c} long" for c in SIGNS))
 
 
 def count_lists(words: int) -> Callable:
-    """(doc_id, text_key, text) -> each document's class and size; and, per
-    task, the counters of its classes' shingles in slices."""
+    """(doc_id, text_key, text) -> each document's class and size, a class's
+    signature where the task meets it first; and, per task, the counters of
+    its classes' shingles in slices."""
 
     def run(stream):
         counters, seen = np.zeros(1 << COUNTERS_LOG2, np.uint16), set()
+        none = [None] * len(SIGNS)
         for b in stream:
             out = []
             for doc, key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
                 s = shingles(text.as_py(), words)
-                node = class_of(s) if len(s) else None
+                node, signs = class_of(s) if len(s) else None, none
                 if len(s) and node not in seen:
                     seen.add(node)
                     at = _slot(s)
                     counters[at] += counters[at] < 65_535       # stays at its most
-                out.append((doc, key, node, len(s), None, None, None))
+                    signs = signature(s)
+                out.append((doc, key, node, len(s), None, None, None, *signs))
             yield _batch(_SEEN_T, out)
         pack = zstandard.ZstdCompressor(level=1).compress
         parts = counters.reshape(SLICES, -1)
         for i in np.flatnonzero(parts.any(axis=1)):
-            yield _batch(_SEEN_T, [(None, None, None, None, int(i), int(parts[i].sum()), pack(parts[i].tobytes()))])
+            yield _batch(_SEEN_T, [(None, None, None, None, int(i), int(parts[i].sum()), pack(parts[i].tobytes()), *none)])
     return run
 
 
@@ -301,6 +320,20 @@ def _nodes(pairs: DataFrame) -> DataFrame:
     return reduce(DataFrame.union, ends).distinct()
 
 
+def _signs_allow(n, x_n, signs: list, x_signs: list, percent: int) -> Column:
+    """Whether the signatures differ in as few bits as a link's sets may in shingles."""
+    need = F.ceil(percent * (n + x_n) / (100 + percent))
+    return reduce(Column.__add__, (F.bit_count(a.bitwiseXOR(b)) for a, b in zip(signs, x_signs))) <= n + x_n - 2 * need
+
+
+def _signed(pairs: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that sizes and signatures allow."""
+    end = lambda c: signs.select(F.col("node").alias(c), *(F.col(k).alias(f"{c}_{k}") for k in ["n", *SIGNS]))
+    both = pairs.join(end("b"), "b").join(end("a"), "a")
+    return both.filter(_signs_allow(F.col("a_n"), F.col("b_n"), [F.col(f"a_{c}") for c in SIGNS],
+                                    [F.col(f"b_{c}") for c in SIGNS], percent)).select("a", "b")
+
+
 def _paired(pairs: DataFrame, sets: DataFrame, test: Callable) -> DataFrame:
     """Pairs that pass ``test(data of a, data of b)``.  Both joins have a
     unique side, so Spark can split a record with many pairs."""
@@ -473,12 +506,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     merged = cut(lists.mapInArrow(merge_lists(long, percent), _MERGED))
     full = lambda s: s.tobytes()
 
-    stars = merged.filter("h IS NULL").select("a", "b").distinct()
+    signs = seen.filter(F.col(SIGNS[0]).isNotNull()).groupBy("node").agg(*(F.first(c).alias(c) for c in ["n", *SIGNS]))
+    stars = cut(_signed(merged.filter("h IS NULL").select("a", "b").distinct(), signs, percent))
     star_sets = sets_of(texts, classes, _nodes(stars), words, full)
     star_links = cut(_paired(stars, star_sets, lambda p, q: reaches(p, q, percent)))
     tied = connected_components(star_links)
 
-    rest = cut(_rest(merged.filter("h IS NOT NULL"), tied, percent))
+    rest = cut(_rest(merged.filter("h IS NOT NULL"), tied, signs, percent))
     rest_heads = sets_of(texts, classes, _nodes(rest), words, lambda s: head(s, long.value, percent))
     rest = cut(_paired(rest, rest_heads, lambda p, q: heads_allow(p, q, percent)))
     rest_sets = sets_of(texts, classes, _nodes(rest), words, full)
@@ -486,45 +520,54 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = star_links.unionByName(rest_links)
 
     tied = connected_components(links)
-    named = rows.join(tied, "node", "left").withColumn("group", F.coalesce("component", "node"))
-    least = (named.filter("group IS NOT NULL").groupBy("group").agg(F.min("doc_id").alias("least")))
-    members = (named.join(least, "group", "left")
-                    .select("doc_id", "text_key", "node", "group", F.col("n").cast("long").alias("n_shingles"),
-                            F.when(F.col("group").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id")))
-    if not complete:
-        return members, links
-
-    records = (rows.filter("node IS NOT NULL").select("node", "text_key", "n").distinct()
-                   .groupBy("node").agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("texts")))
-    sets = sets_of(texts, classes, tied.select("node"), words, full)
-    paired = block_pairs(tied, records, sets, percent)
-    counted = (paired.mapInArrow(link_blocks(percent, False), "node long, n_links long")
-                     .groupBy("node").agg(F.sum("n_links").alias("linked")))
-    n_links = records.join(counted, "node", "left").select("node", (F.coalesce("linked", F.lit(0)) + F.col("texts") - 1).alias("n_links"))
-    members = members.join(n_links, "node", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0)))
-    return members, paired.mapInArrow(link_blocks(percent, True), "a long, b long")
-
-
-def _rest(members: DataFrame, tied: DataFrame, percent: int) -> DataFrame:
+    records = (rows.filter("node IS NOT NULL").groupBy("node", "text_key").agg(F.first("n").alias("n"), F.min("doc_id").alias("least"))
+                   .groupBy("node").agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("texts"), F.min("least").alias("least")))
+    grouped = (records.join(tied, "node", "left")
+                      .select("node", "texts", "least", F.coalesce("component", "node").alias("group")))
+    least = grouped.groupBy(F.col("group").alias("_group")).agg(F.min("least").alias("component_id"))
+    named = salted_join(grouped.drop("least"), least, "group", "_group", salt_cols=["node"]).drop("_group")
+    if complete:
+        sets = sets_of(texts, classes, tied.select("node"), words, full)
+        paired = block_pairs(tied, records.select("node", "n", "texts"), sets, percent)
+        counted = (paired.mapInArrow(link_blocks(percent, False), "node long, n_links long")
+                         .groupBy("node").agg(F.sum("n_links").alias("linked")))
+        named = (named.join(counted, "node", "left")
+                      .withColumn("n_links", F.coalesce("linked", F.lit(0)) + F.col("texts") - 1).drop("linked"))
+    named = cut(named.drop("texts").withColumnRenamed("node", "_node"))
+    members = salted_join(rows, named, "node", "_node", salt_cols=["doc_id", "text_key"])
+    members = members.select("doc_id", "text_key", "node", "group", F.col("n").cast("long").alias("n_shingles"),
+                             F.when(F.col("group").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+                             *([F.coalesce("n_links", F.lit(0)).alias("n_links")] if complete else []))
+    return members, paired.mapInArrow(link_blocks(percent, True), "a long, b long") if complete else links
+
+
+def _rest(members: DataFrame, tied: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
     """Candidates between components: in each list of three and more, the
-    members outside its main component against all members of others."""
+    members outside its main component against all members of others.  A
+    list's rows are dealt into blocks of bounded size, by node, and each block
+    of the one side meets each of the other."""
     m = (members.withColumnRenamed("a", "node").drop("b").join(tied, "node", "left")
                 .withColumn("component", F.coalesce("component", "node")))
+    blocks = lambda c: F.ceil(c / LIST_ROWS).cast("int")
     main = (m.groupBy("h", "component").agg(F.count(F.lit(1)).alias("c"))
-             .groupBy("h").agg(F.max_by("component", F.struct("c", "component")).alias("main"), F.count(F.lit(1)).alias("k"))
+             .groupBy("h").agg(F.max_by("component", F.struct("c", "component")).alias("main"), F.count(F.lit(1)).alias("k"),
+                               blocks(F.sum("c") - F.max("c")).alias("odd"), blocks(F.sum("c")).alias("all"))
              .filter("k > 1").drop("k"))
-    m = m.join(main, "h")
-    salt = F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")
-    odd = (m.filter("component != main").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-            .select("h", "salt", *[F.col(c).alias(f"x_{c}") for c in ("node", "n", "short", "component")]))
-    all_ = m.withColumn("salt", salt)
+    m = m.join(main, "h").join(signs.drop("n"), "node")
+    own = lambda c: F.pmod(F.xxhash64("node"), F.col(c)).cast("int")
+    each = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    values = ["node", "n", "short", "component", *SIGNS]
+    odd = (m.filter("component != main").withColumn("i", own("odd")).withColumn("j", each("all"))
+            .select("h", "i", "j", *[F.col(c).alias(f"x_{c}") for c in values]))
+    all_ = m.withColumn("j", own("all")).withColumn("i", each("odd")).select("h", "i", "j", "main", "long", *values)
     need = F.ceil(percent * (F.col("n") + F.col("x_n")) / (100 + percent))
     reach = F.least("n", "x_n") >= need
     both_long = F.least(F.col("n") - F.col("short"), F.col("x_n") - F.col("x_short")) >= need
-    return (odd.join(all_, ["h", "salt"])
+    return (odd.join(all_, ["h", "i", "j"])
                .filter((F.col("component") != F.col("x_component"))
                        & ((F.col("component") == F.col("main")) | (F.col("node") < F.col("x_node")))
-                       & F.when(F.col("long"), both_long).otherwise(reach))
+                       & F.when(F.col("long"), both_long).otherwise(reach)
+                       & _signs_allow(F.col("n"), F.col("x_n"), [F.col(c) for c in SIGNS], [F.col(f"x_{c}") for c in SIGNS], percent))
                .select(F.least("node", "x_node").alias("a"), F.greatest("node", "x_node").alias("b")).distinct())
 
 

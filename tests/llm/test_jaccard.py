@@ -85,9 +85,10 @@ def _planted():
     return texts
 
 
-@pytest.mark.parametrize("held", [50_000, 3])
-def test_planted_groups(spark, held, monkeypatch):
+@pytest.mark.parametrize("held, block", [(50_000, 1024), (3, 20)])
+def test_planted_groups(spark, held, block, monkeypatch):
     monkeypatch.setattr(jaccard, "HELD_ROWS", held)
+    monkeypatch.setattr(jaccard, "LIST_ROWS", block)
     texts = _planted()
     ids = [i * 3 % 1009 for i in range(len(texts))]
     docs = [(None if i % 41 == 5 else i, t) for i, t in zip(ids, texts)] + [(7, "w1 w2 w3 w4"), (7, "w1 w2 w3 w4"), (7, "other")]
@@ -120,6 +121,8 @@ def test_probe_and_heads_never_lose_a_link():
         linked = 100 * both >= 85 * (len(x) + len(y) - both)
         near += linked
         assert jaccard.reaches(x.tobytes(), y.tobytes(), 85) == linked
+        differ = sum(((a ^ b) & 2**64 - 1).bit_count() for a, b in zip(jaccard.signature(x), jaccard.signature(y)))
+        assert differ <= len(np.setxor1d(x, y))
         if linked:
             assert jaccard.heads_allow(jaccard.head(x, long, 85), jaccard.head(y, long, 85), 85)
     assert near > 50
