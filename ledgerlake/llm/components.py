@@ -20,20 +20,22 @@ def connected_components(links: DataFrame) -> DataFrame:
     a small-star step its smaller ones; repeated until nothing changes, every
     node points at its component's smallest.  A step is one aggregate and one
     equi-join; no node's neighbours are collected.  Each round is
-    checkpointed in the shared folder.
+    checkpointed in the shared folder.  Rounds end when the edges' number and
+    128 bits of their hashes stay the same.
     """
+    def state(e):
+        return tuple(e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u"))).first())
+
     edges = cut(links.filter("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    while True:
+    before, now = None, state(edges)
+    while now != before:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = (both.join(_least(both), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                      .filter("u != v").distinct())
         small = large.join(_least(large), "u")
         new = (small.select(F.col("v").alias("u"), F.col("m").alias("v"))
                     .unionByName(small.select("u", F.col("m").alias("v"))).filter("u != v").distinct())
-        new = cut(new)
-        changed = new.exceptAll(edges).limit(1).count() + edges.exceptAll(new).limit(1).count()
-        edges = new
-        if not changed:
-            break
+        edges = cut(new)
+        before, now = now, state(edges)
     parts = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return parts.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()

@@ -449,13 +449,12 @@ def link_blocks(percent: int, pairs: bool) -> Callable:
     return run
 
 
-def block_pairs(tied: DataFrame, records: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def block_pairs(records: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Rows (key, node, texts, side, data) of all pairs of blocks whose records
-    can be linked, sorted by key.  ``records``: node, n and texts; a component
+    can be linked, sorted by key.  ``records``: node, n, texts and component; one
     that fits one block is one, whatever its sizes."""
     wide = math.log(100 / percent) + 1e-4             # a little more than a link allows
-    c = (tied.join(records, "node")
-             .withColumn("own", F.floor(F.log(F.col("n").cast("double")) / F.lit(wide)).cast("int")))
+    c = records.withColumn("own", F.floor(F.log(F.col("n").cast("double")) / F.lit(wide)).cast("int"))
     blocks = F.ceil(F.greatest(F.sum("c") / BLOCK_ROWS, F.sum("s") / BLOCK_SHINGLES)).cast("int")
     bands = (c.groupBy("component", "own").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s"))
               .groupBy("component").agg(blocks.alias("all"), F.map_from_entries(F.collect_list(F.struct(
@@ -480,7 +479,7 @@ def block_pairs(tied: DataFrame, records: DataFrame, sets: DataFrame, percent: i
     rows = (c.join(sets, "node")
              .select("component", "node", "texts", "data", F.explode(F.concat(inside, up, down)).alias("k"))
              .select("component", "k.band", "k.i", "k.j", "k.spans", "node", "texts", "k.side", "data"))
-    parts = int(tied.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return rows.repartition(parts, *_KEY).sortWithinPartitions(*_KEY, "side")
 
 
@@ -497,7 +496,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                         ).withColumn("text_key", F.xxhash64("text"))
     seen = cut(texts.select("doc_id", "text_key", "text").mapInArrow(count_lists(words), _SEEN))
     rows = seen.filter("slice IS NULL").select("doc_id", "text_key", "node", "n")
-    classes = rows.filter("node IS NOT NULL").groupBy("node").agg(F.min("text_key").alias("text_key"))
+    classes = cut(seen.filter("node IS NOT NULL").groupBy("node")      # read by several jobs
+                      .agg(F.min("text_key").alias("text_key"), *(F.first(c, True).alias(c) for c in ["n", *SIGNS])))
+    signs = classes.select("node", "n", *SIGNS)
     long = spark.sparkContext.broadcast(long_lists(seen.filter("slice IS NOT NULL")))   # 2^COUNTERS_LOG2 flags
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -506,11 +507,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     merged = cut(lists.mapInArrow(merge_lists(long, percent), _MERGED))
     full = lambda s: s.tobytes()
 
-    signs = seen.filter(F.col(SIGNS[0]).isNotNull()).groupBy("node").agg(*(F.first(c).alias(c) for c in ["n", *SIGNS]))
     stars = cut(_signed(merged.filter("h IS NULL").select("a", "b").distinct(), signs, percent))
     star_sets = sets_of(texts, classes, _nodes(stars), words, full)
     star_links = cut(_paired(stars, star_sets, lambda p, q: reaches(p, q, percent)))
-    tied = connected_components(star_links)
+    tied = cut(connected_components(star_links))
 
     rest = cut(_rest(merged.filter("h IS NOT NULL"), tied, signs, percent))
     rest_heads = sets_of(texts, classes, _nodes(rest), words, lambda s: head(s, long.value, percent))
@@ -519,16 +519,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rest_links = cut(_paired(rest, rest_sets, lambda p, q: reaches(p, q, percent)))
     links = star_links.unionByName(rest_links)
 
-    tied = connected_components(links)
+    tied = cut(connected_components(links))
     records = (rows.filter("node IS NOT NULL").groupBy("node", "text_key").agg(F.first("n").alias("n"), F.min("doc_id").alias("least"))
                    .groupBy("node").agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("texts"), F.min("least").alias("least")))
-    grouped = (records.join(tied, "node", "left")
-                      .select("node", "texts", "least", F.coalesce("component", "node").alias("group")))
+    grouped = cut(records.join(tied, "node", "left").withColumn("group", F.coalesce("component", "node")))
     least = grouped.groupBy(F.col("group").alias("_group")).agg(F.min("least").alias("component_id"))
-    named = salted_join(grouped.drop("least"), least, "group", "_group", salt_cols=["node"]).drop("_group")
+    named = salted_join(grouped.select("node", "texts", "group"), least, "group", "_group", salt_cols=["node"]).drop("_group")
     if complete:
         sets = sets_of(texts, classes, tied.select("node"), words, full)
-        paired = block_pairs(tied, records.select("node", "n", "texts"), sets, percent)
+        paired = block_pairs(grouped.filter("component IS NOT NULL").select("node", "n", "texts", "component"), sets, percent)
         counted = (paired.mapInArrow(link_blocks(percent, False), "node long, n_links long")
                          .groupBy("node").agg(F.sum("n_links").alias("linked")))
         named = (named.join(counted, "node", "left")
