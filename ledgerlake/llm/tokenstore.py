@@ -20,6 +20,7 @@ import re
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,12 +33,16 @@ from .bpe import _batch, byte_alphabet, tokenizer
 from .common import batches
 
 SHARD_IDS, SHARD_DOCS = 1_000_000, 65_536
-#: Words kept by an encoding worker, and characters encoded together.
-KEPT_WORDS, CHARS = 900_000, 4_000_000
+#: Words kept by an encoding worker, and characters encoded together (few, so
+#: that their words stay in the processor's cache).
+KEPT_WORDS, CHARS = 900_000, 250_000
 #: FIXED VALUES: the file's word pattern.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 #: Separators that Python's split takes for white space and the file's pattern does not.
 _ODD = re.compile("[\x1c-\x1f]")
+_WIDE = re.compile("[^\x00-\u024f]")
+#: A stop between a letter or number and white space (or the end): a piece of its own.
+_STOP = re.compile(r"[.,;:!?](?<=[^\W_].)(?=[ \n]|\Z)")
 _NULL_KEY = np.uint64(0xC2B2AE3D27D4EB4F)
 #: Constants of the 64-bit mix, and seeds tried together for a bucket.
 _STEP, _START, SEEDS = np.array([0x9E3779B97F4A7C15], np.uint64), np.uint64(0x632BE59BD9B4E019), 64
@@ -51,6 +56,8 @@ class WordEncoder:
     are its words' ids in order.  Words below U+0250 are normalised here
     (there NFC changes nothing and lower case is per character); others, and
     texts with special tokens or odd separators, go through the library whole.
+    A text below U+0250 is lower-cased at once and the stop after a word
+    becomes a word, as in the file's pattern, so fewer distinct words remain.
     """
 
     def __init__(self, path: str):
@@ -65,45 +72,47 @@ class WordEncoder:
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for p, i in vocab.items() if p.endswith("</w>")]] = True
         self.letters = str.maketrans({chr(b): c for c, b in byte_alphabet().items()})
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}                # a piece of the pattern is a word too
 
     def _learn(self, words: set[str]) -> None:
         if len(self.words) > KEPT_WORDS:
             self.words.clear()
-        if len(self.pieces) > KEPT_WORDS:
-            self.pieces.clear()
-        whole = [w for w in words if not w.isascii() and max(w) >= "\u0250"]
+        known = self.words
+        whole = [w for w in words if _WIDE.search(w)]
         for w, e in zip(whole, self.full.encode_batch_fast(whole, add_special_tokens=False)):
-            self.words[w] = np.array(e.ids, self.width).tobytes()
-        lowered = {w: w.lower() for w in words.difference(self.words)}
+            known[w] = np.array(e.ids, self.width).tobytes()
+        lowered = {w: w.lower() for w in words.difference(whole)}
         plain = {w: p for w, p in lowered.items() if p.isalpha()}         # letters alone are one piece
         split = {w: PIECES.findall(p) for w, p in lowered.items() if w not in plain}
-        new = list(set(plain.values()).union(*split.values()).difference(self.pieces))
-        lists = [new[i:i + 500] for i in range(0, len(new), 500)]
-        mapped = [" ".join(p.encode().decode("latin-1").translate(self.letters) for p in some) for some in lists]
-        for some, e in zip(lists, self.model.encode_batch_fast(mapped, add_special_tokens=False)):
-            ids = np.array(e.ids, self.width)
+        new = list(set(plain.values()).union(*split.values()).difference(known))
+        for a in range(0, len(new), 500):
+            some = new[a:a + 500]
+            mapped = " ".join([p.translate(self.letters) if p.isascii() else
+                               p.encode().decode("latin-1").translate(self.letters) for p in some])
+            ids = np.array(self.model.encode_batch_fast([mapped], add_special_tokens=False)[0].ids, self.width)
             stops = np.flatnonzero(self.ends[ids]) + 1
             size, raw, a = self.width.itemsize, ids.tobytes(), 0
             for p, b in zip(some, (stops * size).tolist()):
-                self.pieces[p] = raw[a:b]
+                known[p] = raw[a:b]
                 a = b
-        known = self.pieces
-        self.words.update(zip(plain, map(known.__getitem__, plain.values())))
-        for w, ps in split.items():
-            self.words[w] = b"".join([known[p] for p in ps])
+        known.update([(w, known[p]) for w, p in plain.items() if w != p])
+        known.update([(w, b"".join([known[p] for p in ps])) for w, ps in split.items() if ps != [w]])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         odd = {i for i, t in enumerate(texts) if _ODD.search(t) or self.special and self.special.search(t)}
-        words = [[] if i in odd else t.split() for i, t in enumerate(texts)]
-        distinct = set().union(*words)
-        new = distinct.difference(self.words)
+        words = [[] if i in odd else
+                 _STOP.sub(r" \g<0>", t.lower()).split() if not _WIDE.search(t) else t.split()
+                 for i, t in enumerate(texts)]
+        flat = list(chain.from_iterable(words))
+        ids = list(map(self.words.get, flat))
+        new = [i for i, x in enumerate(ids) if x is None]
         if new:
-            self._learn(distinct if len(self.words) > KEPT_WORDS else new)
-        get = self.words.__getitem__
+            self._learn({flat[i] for i in new})
+            for i in new:
+                ids[i] = self.words[flat[i]]
+        ends = list(accumulate(map(len, words)))
         return [np.array(self.full.encode(t, add_special_tokens=False).ids, self.width).tobytes() if i in odd
-                else b"".join(map(get, w)) for i, (t, w) in enumerate(zip(texts, words))]
+                else b"".join(ids[a:b]) for i, (t, a, b) in enumerate(zip(texts, [0, *ends], ends))]
 
 
 @lru_cache(maxsize=2)

@@ -127,3 +127,14 @@ def test_minimal_perfect_hash(n):
     seeds, slots = tokenstore.build_mph(keys)
     assert sorted(slots.tolist()) == list(range(n))
     assert (tokenstore.find_slots(keys, seeds, n) == slots).all()
+
+
+def test_stops_and_case_make_no_word_of_their_own():
+    """A stop after a word is a piece of its own, so a word is kept once,
+    whatever stop follows; ids are the library's also next to odd characters."""
+    enc = tokenstore.WordEncoder(P.path("word_bpe_49k.json"))
+    texts = ["Elephant. elephant, ELEPHANT; elephant: elephant! elephant?", "\u0130. a_. (b). c...\nd.,\xa0e. 9. \xb2, it's.",
+             "\u00c9t\u00e9, \u00e9t\u00e9. \u65e5\u672c. na\u00efve, x.", "a.\x1cb, c.", "", "."]
+    want = [enc.full.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, enc.width).tolist() for x in enc.encode(texts)] == want
+    assert [w for w in enc.words if "lephant" in w.lower()] == ["elephant"]
