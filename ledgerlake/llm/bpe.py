@@ -36,7 +36,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches
+from .common import batches, giving_back
 
 #: Characters of a block, distinct words kept by an encoding task at a time,
 #: and characters of an output batch.
@@ -273,8 +273,8 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
                 .sortWithinPartitions("doc_id", F.xxhash64("text"), "text"))
-    lists = (rows.mapInArrow(split_blocks(path, 2 * n, documents=False), _WORD_LISTS).repartition(n, "part")
-                 .mapInArrow(encode_words(path), _WORD_LISTS))
-    blocks = rows.mapInArrow(split_blocks(path, 2 * n, documents=True), _ENCODED)
+    lists = (rows.mapInArrow(giving_back(split_blocks(path, 2 * n, documents=False)), _WORD_LISTS).repartition(n, "part")
+                 .mapInArrow(giving_back(encode_words(path)), _WORD_LISTS))
+    blocks = rows.mapInArrow(giving_back(split_blocks(path, 2 * n, documents=True)), _ENCODED)
     return (blocks.unionByName(lists, allowMissingColumns=True).repartition(n, "block")
-                  .sortWithinPartitions("block", "part").mapInArrow(join_positions(path), _RESULT))
+                  .sortWithinPartitions("block", "part").mapInArrow(giving_back(join_positions(path)), _RESULT))

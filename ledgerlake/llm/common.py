@@ -1,10 +1,12 @@
 """Helpers shared by the operators of this folder."""
 from __future__ import annotations
 
+import ctypes
 import os
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,3 +53,23 @@ def batches(rows: Iterable, weight, limit: int) -> Iterator[list]:
             group, total = [], 0
     if group:
         yield group
+
+
+def give_back() -> None:
+    """Freed memory that the allocators still hold goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)        # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def giving_back(run: Callable) -> Callable:
+    """``run`` of a mapInArrow step that needs much memory.  Its Python worker
+    stays for tasks of other steps, so it gives back what the task freed."""
+
+    def task(stream):
+        try:
+            yield from run(stream)
+        finally:
+            give_back()
+    return task

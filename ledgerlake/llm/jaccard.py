@@ -56,7 +56,7 @@ from pyspark.sql import functions as F
 
 from ..functions.skew import salted_join
 from .bpe import _batch
-from .common import cut
+from .common import cut, giving_back
 from .components import connected_components
 
 #: Counters of the list-length table, its slices, bits of the filter of wanted
@@ -311,7 +311,7 @@ def sets_of(texts: DataFrame, classes: DataFrame, nodes: DataFrame, words: int,
                     yield _batch([("node", pa.int64()), ("data", pa.binary())], [(class_of(s), shape(s))])
 
     rows = texts.select("text_key", "text", F.pmod(F.xxhash64("text_key"), F.lit(1 << WANTED_LOG2)).alias("bit"))
-    return (rows.mapInArrow(run, "node long, data binary").join(nodes, "node", "left_semi")
+    return (rows.mapInArrow(giving_back(run), "node long, data binary").join(nodes, "node", "left_semi")
                 .groupBy("node").agg(F.first("data").alias("data")))
 
 
@@ -494,7 +494,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
                         ).withColumn("text_key", F.xxhash64("text"))
-    seen = cut(texts.select("doc_id", "text_key", "text").mapInArrow(count_lists(words), _SEEN))
+    seen = cut(texts.select("doc_id", "text_key", "text").mapInArrow(giving_back(count_lists(words)), _SEEN))
     rows = seen.filter("slice IS NULL").select("doc_id", "text_key", "node", "n")
     classes = cut(seen.filter("node IS NOT NULL").groupBy("node")      # read by several jobs
                       .agg(F.min("text_key").alias("text_key"), *(F.first(c, True).alias(c) for c in ["n", *SIGNS])))
@@ -502,9 +502,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     long = spark.sparkContext.broadcast(long_lists(seen.filter("slice IS NOT NULL")))   # 2^COUNTERS_LOG2 flags
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    lists = (texts.select("text").mapInArrow(postings(long, words, percent), "h long, node long, n int, short int")
+    lists = (texts.select("text").mapInArrow(giving_back(postings(long, words, percent)), "h long, node long, n int, short int")
                   .repartition(parts, "h").sortWithinPartitions("h", "short", "n", "node"))
-    merged = cut(lists.mapInArrow(merge_lists(long, percent), _MERGED))
+    merged = cut(lists.mapInArrow(giving_back(merge_lists(long, percent)), _MERGED))
     full = lambda s: s.tobytes()
 
     stars = cut(_signed(merged.filter("h IS NULL").select("a", "b").distinct(), signs, percent))
@@ -528,7 +528,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if complete:
         sets = sets_of(texts, classes, tied.select("node"), words, full)
         paired = block_pairs(grouped.filter("component IS NOT NULL").select("node", "n", "texts", "component"), sets, percent)
-        counted = (paired.mapInArrow(link_blocks(percent, False), "node long, n_links long")
+        counted = (paired.mapInArrow(giving_back(link_blocks(percent, False)), "node long, n_links long")
                          .groupBy("node").agg(F.sum("n_links").alias("linked")))
         named = (named.join(counted, "node", "left")
                       .withColumn("n_links", F.coalesce("linked", F.lit(0)) + F.col("texts") - 1).drop("linked"))

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bpe import _batch
-from .common import batches, held_out
+from .common import batches, giving_back, held_out
 
 SEQUENCE, HASH_BITS, CHARS, KEPT_WORDS = 64, 18, 1_000_000, 400_000
 _EDGE = re.compile(r"^\W+|\W+$")
@@ -233,7 +233,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = 1200, max_chars:
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(sorted(rows), counts, min_share, odds))],
                                                    pa.binary())], ["scorer"])
 
-    trained = sample.repartition(1).mapInArrow(train, "scorer binary").first()
+    trained = sample.repartition(1).mapInArrow(giving_back(train), "scorer binary").first()
     return pickle.loads(trained.scorer) if trained else fit([], counts, min_share, odds)
 
 
@@ -286,7 +286,7 @@ def score_texts(docs: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_co
                                      for (i, t), s, p in zip(some, score, tagged)])
 
     return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-                .mapInArrow(run, f"doc_id long, {_RESULT}"))
+                .mapInArrow(giving_back(run), f"doc_id long, {_RESULT}"))
 
 
 def append_scores(docs: DataFrame, scorer: Scorer, text_col: str = "text", score_col: str = "toxicity") -> DataFrame:
@@ -301,4 +301,4 @@ def append_scores(docs: DataFrame, scorer: Scorer, text_col: str = "text", score
                 scores += shared.value.score([(texts[i].as_py() or "").split() for i in some])[0]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores, pa.float64())], [*b.schema.names, score_col])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(giving_back(run), schema)
