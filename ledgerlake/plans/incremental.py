@@ -21,6 +21,7 @@ def refresh_daily_summary(old_summary: DataFrame, payments: DataFrame, dates: Da
     date it prunes to the changed partitions, so work scales with the
     changed days, not with history.  Equal to a full recompute.
     """
+    dates = F.broadcast(dates)                        # one row per day: payments are not shuffled by day
     touched = payments.withColumn("report_date", F.to_date("event_ts")) \
         .join(dates, "report_date", "left_semi").drop("report_date")
     fresh = gold.daily_merchant_summary(touched, merchants)
@@ -56,11 +57,14 @@ def refresh_ledger(lake, payments: DataFrame, settlements: DataFrame, dates: Dat
     from ..operators import reconcile as rc
     from ..schemas import DEFAULT_TOLERANCE
     unit = payment_month if monthly else (lambda d: d)
-    dates = dates.select(unit(F.col("payment_date")).alias("_unit")).distinct()
+    # one row per day or month: payments and settlements are not shuffled by it
+    dates = F.broadcast(dates.select(unit(F.col("payment_date")).alias("_unit")).distinct())
     touched = lambda df, day: (df.withColumn("_unit", unit(F.to_date(day)))
                                  .join(dates, "_unit", "left_semi").drop("_unit"))
-    led = rc.reconcile(touched(payments, F.col("event_ts")), touched(settlements, parse_event_ts("timestamp")),
-                       tolerance or DEFAULT_TOLERANCE)
+    day = parse_event_ts("timestamp")
+    if "settlement_date" not in settlements.columns:  # parsed once, for the days and for the daily sums
+        settlements, day = settlements.withColumn("settlement_date", F.to_date(day)), F.col("settlement_date")
+    led = rc.reconcile(touched(payments, F.col("event_ts")), touched(settlements, day), tolerance or DEFAULT_TOLERANCE)
     if not monthly:
         return lake.replace_partitions(led, table[0], table[1], ["payment_date"])
     return lake.replace_partitions(led.withColumn("payment_month", unit(F.col("payment_date"))),

@@ -211,3 +211,33 @@ def test_digest_feed_reads_only_differing_buckets(spark, lake):
     di.write_snapshot(lake, old, "silver", "wide", ["k"], buckets=8)
     with pytest.raises(ValueError):
         di.differing(lake, "silver", "old", "wide")
+
+
+def test_changed_days_are_broadcast_and_settlements_parsed_once(spark):
+    """Rows of the changed days are found without shuffling the payments or
+    settlements by day, and a settlement's timestamp is parsed once."""
+    from pyspark.sql import functions as F
+
+    from ledgerlake.plans import incremental
+
+    written = []
+
+    class Lake:
+        def replace_partitions(self, df, *a, **k):
+            written.append(df)
+            return 0
+
+    pay = spark.createDataFrame([("m", "2024-01-05 10:00:00")] * 3 + [(None, None)], "merchant_id string, t string") \
+        .select("merchant_id", F.col("t").cast("timestamp_ntz").alias("event_ts"),
+                F.lit(5).cast("decimal(18,2)").alias("amount_decimal"))
+    st = spark.createDataFrame([("m", "2024-01-05T11:00:00Z", 15.0), ("m", "never", 1.0), ("m", "2024-02-05T11:00:00Z", 1.0)],
+                               "merchant_id string, timestamp string, gross_amount double")
+    days = spark.createDataFrame([("2024-01-20",), (None,)], "d string").select(F.to_date("d").alias("payment_date"))
+    incremental.refresh_ledger(Lake(), pay, st, days, monthly=True)
+    plan = written[0]._jdf.queryExecution().executedPlan().toString()
+    joins = [x for x in plan.split("\n") if "LeftSemi" in x]
+    assert joins and all("BroadcastHashJoin" in x for x in joins)
+    optimized = written[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("endswith(timestamp" in x.lower() for x in optimized.split("\n") if "Project" in x or "Aggregate" in x) == 1
+    assert [(r.merchant_id, str(r.payment_date), str(r.settled_amount), r.reconciliation_status)
+            for r in written[0].collect()] == [("m", "2024-01-05", "15.00", "reconciled")]
